@@ -30,6 +30,9 @@ from cohort_engine.functions.hashing import hash_order
 ENCOUNTER_FEATURES = ("ENCOUNTERCLASS", "COST", "PROVIDER_ZIP", "START_YEAR")
 PATIENT_FEATURES = ("RACE", "GENDER", "ZIP", "patient_age")
 
+# An iteration of a fit costs a task per partition, so small training sets are packed.
+ROWS_PER_TASK = 50_000
+
 # Bounds of the search, as logarithms of the parameters.
 SEARCH_BOUNDS = {"tol": (-3.0, 0.0), "C": (-2.0, 0.0), "l1_ratio": (-3.0, -1.0)}
 
@@ -167,14 +170,16 @@ class _Folds:
 
     def __init__(self, df, stages, label, key, folds):
         fold = F.pmod(F.xxhash64(hash_order(key)), F.lit(folds)).cast("int")
+        counts = df.groupBy(fold.alias("fold")).count().collect()
+        self.rows = {r.fold: r["count"] for r in counts}
+        self.total = sum(self.rows.values())
         self.encoder = stages.fit(df)
         self.data = (
             self.encoder.transform(df)
             .select("features", F.col(label).cast("double").alias("label"), fold.alias("fold"))
+            .coalesce(math.ceil(self.total / ROWS_PER_TASK) or 1)
             .persist(StorageLevel.MEMORY_AND_DISK)
         )
-        self.rows = {r.fold: r["count"] for r in self.data.groupBy("fold").count().collect()}
-        self.total = sum(self.rows.values())
 
     def fit(self, params, fold=None):
         """Model of all rows, or of all but one fold."""
@@ -210,8 +215,8 @@ def tune(
 ) -> TuneResult:
     """Try parameter settings; the loss is minus the worst F1 of label 1 over folds.
 
-    ``df`` is encoded once. Each fit is a Spark job over all executors, and
-    ``parallelism`` settings are in flight at a time.
+    ``df`` should be a stored table; it is encoded once. Each fit is a series of Spark
+    jobs over all executors, and ``parallelism`` settings are in flight at a time.
     """
     f1 = MulticlassClassificationEvaluator(metricName="fMeasureByLabel", metricLabel=1.0)
     space = search_space() if space is None else list(space)

@@ -11,7 +11,7 @@ from cohort_engine.config import RiskConfig
 from cohort_engine.operators import cohorts, features, ml, stats
 from cohort_engine.sources import models
 from cohort_engine.sources.dataset import CohortDataset
-from cohort_engine.sources.io import load, save_features
+from cohort_engine.sources.io import load, save, save_features
 
 
 def comorbid_names(encounters: DataFrame, config: RiskConfig) -> list[str]:
@@ -59,7 +59,8 @@ def run_study(
 ) -> Study:
     """Build and store features, tune, train, store and log the model.
 
-    Everything is below ``dataset.root``: encounter_features, models and runs.
+    Everything is below ``dataset.root``: encounter_features, training_set, models
+    and runs.
     """
     config = config or RiskConfig()
     spark, run_id = dataset.spark, uuid.uuid4().hex
@@ -76,6 +77,8 @@ def run_study(
     rows = ml.training_set(
         features.balance(stored, mode=balance_mode, seed=43), names, keep=["Enc_Id"]
     )
+    save(rows, dataset.path("training_set"), dataset.fmt, "overwrite")
+    rows = load(spark, dataset.path("training_set"), dataset.fmt)
     tuned = ml.tune(
         rows, names, ml.search_space(n_evals), folds, parallelism=parallelism, **encoder_options
     )

@@ -18,7 +18,10 @@ def zorder(
     sample_rows: int = 20_000,
     seed: int = 17,
 ) -> DataFrame:
-    """``df`` with the same rows, range-partitioned and sorted along a Z-curve.
+    """A stored table with the same rows, range-partitioned and sorted along a Z-curve.
+
+    ``df`` must read one table, since it is read four times and rows are told apart
+    by the file they come from. Columns of the key may be of any ordered type.
 
     Every column is cut into 2**bits ranges of about equal row counts. The cuts come
     from a sample of about ``sample_rows`` rows, the only data the driver sees; they
@@ -61,10 +64,8 @@ def _cuts(df, keys: Sequence[Column], bits, sample_rows, seed):
 def _tie(df) -> Column:
     # Splits a Z-value that many rows share over several files. The file block is
     # part of it, so that equal rows are split as well; recomputing a lost task
-    # reads the same block and gives the same value. Maps and the like have no hash.
-    hashable = [
-        f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()
-    ]
+    # reads the same block and gives the same value. Maps have no hash.
+    hashable = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
     return F.xxhash64(
         F.input_file_name(), F.input_file_block_start(), *[F.col(c) for c in hashable]
     )

@@ -12,7 +12,7 @@ from cohort_engine.operators.sampling import take_by_hash
 from cohort_engine.plans import dashboard, risk
 from cohort_engine.session import scratch_dir, tune_session
 from cohort_engine.sources import layout, models
-from cohort_engine.sources.io import load, row_counts, save_features
+from cohort_engine.sources.io import load, row_counts, save, save_features
 from verification import binding
 from verification.binding import INDEX_CONDITION, SECOND_CONDITION
 
@@ -31,31 +31,41 @@ def _shown(df: DataFrame) -> DataFrame:
     )
 
 
-def _conditions(spark, sf_dir):
-    return risk.comorbid_names(binding.patient_encounters(spark, sf_dir), CONFIG)
+def _stored(spark, df, name):
+    """``df`` as a table of files: the analyses read their input several times."""
+    path = scratch_dir(spark, name)
+    save(df, path)
+    return load(spark, path, "parquet")
+
+
+def _encounters(spark, sf_dir):
+    return _stored(spark, binding.patient_encounters(spark, sf_dir), "patient_encounters")
 
 
 def _flagged(spark, sf_dir):
-    return features.add_comorbidities(
-        binding.patient_encounters(spark, sf_dir), _conditions(spark, sf_dir)
-    )
+    encounters = _encounters(spark, sf_dir)
+    return features.add_comorbidities(encounters, risk.comorbid_names(encounters, CONFIG))
 
 
 def _features(spark, sf_dir):
-    return risk.encounter_features(binding.patient_encounters(spark, sf_dir), CONFIG)
+    return risk.encounter_features(_encounters(spark, sf_dir), CONFIG)
 
 
 def _stored_features(spark, sf_dir):
-    path = scratch_dir(spark, "features")
+    path = scratch_dir(spark, "encounter_features")
     save_features(_features(spark, sf_dir), path, {"run_id": "verification"})
     return load(spark, path, "parquet")
 
 
-def _training_rows(spark, sf_dir):
+def _training_rows(spark, stored_features):
     names = ml.feature_names(CONFIG.num_conditions)
-    return names, ml.training_set(
-        features.balance(_stored_features(spark, sf_dir)), names, keep=["Enc_Id"]
-    )
+    return names, ml.training_set(features.balance(stored_features), names, keep=["Enc_Id"])
+
+
+def _clustered(spark, df, columns):
+    path = scratch_dir(spark, "clustered")
+    layout.zorder_write(_stored(spark, df, "stored"), columns, path)
+    return _shown(load(spark, path, "parquet"))
 
 
 def curate_encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -200,7 +210,7 @@ def balanced_label_distribution(spark, sf_dir):
 
 
 def training_set(spark, sf_dir):
-    return _training_rows(spark, sf_dir)[1]
+    return _training_rows(spark, _stored_features(spark, sf_dir))[1]
 
 
 def first_encounters_by_hash(spark, sf_dir):
@@ -240,24 +250,23 @@ def chi_square_uncorrected(spark, sf_dir):
 
 
 def zorder_write(spark, sf_dir):
-    path = scratch_dir(spark, "zorder")
-    columns = ["REASONDESCRIPTION", "START_TIME", "ZIP", "PATIENT"]
-    layout.zorder_write(binding.patient_encounters(spark, sf_dir), columns, path)
-    return _shown(load(spark, path, "parquet"))
+    return _clustered(
+        spark,
+        binding.patient_encounters(spark, sf_dir),
+        ["REASONDESCRIPTION", "START_TIME", "ZIP", "PATIENT"],
+    )
 
 
 def zorder_patients(spark, sf_dir):
-    path = scratch_dir(spark, "zorder")
-    layout.zorder_write(
-        binding.patients(spark, sf_dir), ["BIRTHDATE", "ZIP", "GENDER", "RACE"], path
+    return _clustered(
+        spark, binding.patients(spark, sf_dir), ["BIRTHDATE", "ZIP", "GENDER", "RACE"]
     )
-    return _shown(load(spark, path, "parquet"))
 
 
 def risk_scores(spark, sf_dir):
     stored = _stored_features(spark, sf_dir)
-    names = ml.feature_names(CONFIG.num_conditions)
-    rows = ml.training_set(features.balance(stored), names, keep=["Enc_Id"])
+    names, rows = _training_rows(spark, stored)
+    rows = _stored(spark, rows, "training_set")
     model, _ = ml.train(rows, names, ml.search_space(1)[0], folds=1)
     root = scratch_dir(spark, "models")
     models.save_model(model, root, CONFIG.model_name)
@@ -265,7 +274,8 @@ def risk_scores(spark, sf_dir):
 
 
 def tune_results(spark, sf_dir):
-    names, rows = _training_rows(spark, sf_dir)
+    names, rows = _training_rows(spark, _stored_features(spark, sf_dir))
+    rows = _stored(spark, rows, "training_set")
     return ml.tune(rows, names, ml.search_space(4), folds=5).to_frame(spark)
 
 
