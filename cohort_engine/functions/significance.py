@@ -5,16 +5,22 @@ from __future__ import annotations
 import math
 
 import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
-@F.pandas_udf("double")
-def chi_square_p_value(statistic: pd.Series) -> pd.Series:
+def chi_square_p_value(statistic: str | Column) -> Column:
     """P(X >= statistic), df = 1. Applied to one row per test, never to data rows.
 
     Spark has no complementary error function, and 1 - erf would lose the small
     p-values that the verdict is about.
     """
-    return statistic.map(lambda x: math.erfc(math.sqrt(x / 2.0)), na_action="ignore").astype(
-        "float64"
-    )
+
+    # Local, so that it is shipped by value and executors need not have this package.
+    def tail(values: pd.Series) -> pd.Series:
+        return values.map(lambda x: math.erfc(math.sqrt(x / 2.0)), na_action="ignore").astype(
+            "float64"
+        )
+
+    return F.pandas_udf(tail, T.DoubleType())(statistic)

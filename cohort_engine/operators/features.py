@@ -178,6 +178,7 @@ def _attach_history(df: DataFrame, columns: dict) -> DataFrame:
     values are 0 are dropped again, and the rest is joined to the encounters by
     patient and day, a key that AQE can split.
     """
+    df = df.drop(*columns)  # as withColumn would replace them
     daily = df.groupBy("PATIENT", "day").agg(
         *[
             aggregate(flag).alias(name) for name, (aggregate, flag, _) in columns.items()
@@ -198,7 +199,7 @@ def _attach_history(df: DataFrame, columns: dict) -> DataFrame:
         & F.col("day").eqNullSafe(F.col("history_day")),
         "left",
     ).select(
-        *[F.col(c) for c in df.columns if c not in columns],
+        *[F.col(c) for c in df.columns],
         *[F.coalesce(F.col(name), F.lit(0)).alias(name) for name in columns],
     )
 

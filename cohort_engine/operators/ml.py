@@ -173,6 +173,8 @@ class _Folds:
         counts = df.groupBy(fold.alias("fold")).count().collect()
         self.rows = {r.fold: r["count"] for r in counts}
         self.total = sum(self.rows.values())
+        if self.total == 0:
+            raise ValueError("no training rows: is any label 1?")
         self.encoder = stages.fit(df)
         self.data = (
             self.encoder.transform(df)

@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 from cohort_engine.operators import curation
-from cohort_engine.sources.io import drop_table, quoted, read_tables, register_external, text_literal
+from cohort_engine.sources.io import (
+    SCHEME,
+    drop_table,
+    quoted,
+    read_tables,
+    register_external,
+    text_literal,
+)
 from cohort_engine.sources.layout import zorder_write
 from cohort_engine.sources.schemas import ENTITIES
 
@@ -97,10 +105,10 @@ class CohortDataset:
 
     def purge_storage(self) -> None:
         """Delete everything below ``root``."""
+        if not re.sub(SCHEME, "", self.root).strip("/"):
+            raise ValueError(f"refusing to delete {self.root!r}")
         context = self.spark.sparkContext
         folder = context._jvm.org.apache.hadoop.fs.Path(self.root)
-        if folder.getParent() is None:
-            raise ValueError(f"refusing to delete {self.root!r}")
         folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
 
     def refresh(

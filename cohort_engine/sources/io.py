@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from cohort_engine.sources.schemas import RAW_TYPES
 
-_SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
+SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
 
 
 def discover_tables(spark: SparkSession, path: str) -> dict[str, str]:
@@ -21,8 +21,8 @@ def discover_tables(spark: SparkSession, path: str) -> dict[str, str]:
     listing job: file contents are not read, and the driver gets one row per entry.
     """
     root = path.rstrip("/")
-    below = re.sub(_SCHEME, "", root) + "/"
-    inside = F.regexp_replace("path", _SCHEME, "")
+    below = re.sub(SCHEME, "", root) + "/"
+    inside = F.regexp_replace("path", SCHEME, "")
     entry = F.substring_index(
         F.substr(inside, F.instr(inside, below) + F.lit(len(below))), "/", 1
     )

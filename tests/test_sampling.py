@@ -1,0 +1,56 @@
+import hashlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from cohort_engine.operators.sampling import row_count, take_by_hash
+
+
+def md5(text):
+    return hashlib.md5(text.encode()).hexdigest()
+
+
+@pytest.mark.parametrize("n", [0, 1, 17, 299, 300, 301, 10_000])
+def test_equals_sorting(spark, n):
+    df = spark.range(300)
+    expected = sorted(range(300), key=lambda i: md5(str(i)))[:n]
+    assert sorted(r.id for r in take_by_hash(df, "id", n).collect()) == sorted(expected)
+
+
+def test_number_may_come_from_another_table(spark):
+    n = row_count(spark.range(13))
+    assert take_by_hash(spark.range(100), "id", n).count() == 13
+
+
+def test_seed_and_several_keys(spark):
+    df = spark.range(200).selectExpr("id % 10 AS a", "id AS b")
+    one, two = (take_by_hash(df, ["a", "b"], 50, seed=s).collect() for s in (1, 2))
+    assert len(one) == len(two) == 50 and set(one) != set(two)
+    expected = sorted(range(200), key=lambda i: md5(f"1|{i % 10}|{i}"))[:50]
+    assert sorted(r.b for r in one) == sorted(expected)
+
+
+def test_independent_of_partitioning(spark):
+    df = spark.range(500)
+    few = take_by_hash(df.repartition(2), "id", 40).collect()
+    many = take_by_hash(df.repartition(9, F.col("id") % 7), "id", 40).collect()
+    assert set(few) == set(many)
+
+
+def test_rows_with_equal_keys_stay_together(spark):
+    # a third of all rows has the same key
+    df = spark.range(900).withColumn("key", F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")))
+    order = sorted({-1} | {i for i in range(900) if i % 3}, key=lambda k: md5(str(k)))
+    sizes = {k: 300 if k == -1 else 1 for k in order}
+    for n in (5, 250, 450, 700):
+        kept, expected = take_by_hash(df, "key", n).count(), 0
+        for k in order:
+            if expected >= n:
+                break
+            expected += sizes[k]
+        assert kept == expected
+        assert kept == n or kept - n < 300
+
+
+def test_empty_table(spark):
+    assert take_by_hash(spark.range(0), "id", 5).count() == 0
