@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 
 from cohort_engine.config import RiskConfig
 from cohort_engine.operators import cohorts, features, ml, stats
+from cohort_engine.session import scratch_dir
 from cohort_engine.sources import models
 from cohort_engine.sources.dataset import CohortDataset
 from cohort_engine.sources.io import load, save, save_features
@@ -23,15 +24,36 @@ def comorbid_names(encounters: DataFrame, config: RiskConfig) -> list[str]:
     return [row[cohorts.CONDITION] for row in top.collect()]
 
 
+def stored_cohort(encounters: DataFrame, config: RiskConfig, path: str, fmt: str) -> DataFrame:
+    """Cases and controls, written to ``path`` and read from there.
+
+    The features join the cohort three times. As a table it is made once, and Spark
+    knows its size when it chooses how to join it.
+    """
+    cohort = cohorts.case_control(encounters, config.condition)
+    save(cohort, path, fmt, "overwrite")
+    return load(encounters.sparkSession, path, fmt)
+
+
 def encounter_features(
-    encounters: DataFrame, config: RiskConfig, exclude_current: bool = False
+    encounters: DataFrame,
+    config: RiskConfig,
+    exclude_current: bool = False,
+    cohort: DataFrame | None = None,
 ) -> DataFrame:
-    """Features and label of all encounters of cases and controls."""
-    studied = cohorts.qualified_encounters(
-        encounters, cohorts.case_control(encounters, config.condition)
-    )
+    """Features and label of all encounters of cases and controls.
+
+    ``encounters`` should be a stored table. Runs the job of ``comorbid_names`` and,
+    unless ``cohort`` is given, one that stores the cohort in the scratch folder.
+    """
+    if cohort is None:
+        path = scratch_dir(encounters.sparkSession, "cohort")
+        cohort = stored_cohort(encounters, config, path, "parquet")
     return features.build(
-        studied, comorbid_names(encounters, config), config, exclude_current=exclude_current
+        cohorts.qualified_encounters(encounters, cohort),
+        comorbid_names(encounters, config),
+        config,
+        exclude_current=exclude_current,
     )
 
 
@@ -59,14 +81,16 @@ def run_study(
 ) -> Study:
     """Build and store features, tune, train, store and log the model.
 
-    Everything is below ``dataset.root``: encounter_features, training_set, models
-    and runs.
+    Everything is below ``dataset.root``: cohort, encounter_features, training_set,
+    models and runs.
     """
     config = config or RiskConfig()
     spark, run_id = dataset.spark, uuid.uuid4().hex
     path, runs = dataset.path("encounter_features"), dataset.path("runs")
+    encounters = dataset.patient_encounters
+    cohort = stored_cohort(encounters, config, dataset.path("cohort"), dataset.fmt)
     save_features(
-        encounter_features(dataset.patient_encounters, config),
+        encounter_features(encounters, config, cohort=cohort),
         path,
         {**(tags or {}), "run_id": run_id},
         dataset.fmt,

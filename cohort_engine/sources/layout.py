@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -14,7 +15,7 @@ def zorder(
     df: DataFrame,
     columns: Sequence[str],
     files: int | None = None,
-    bits: int = 6,
+    bits: int | None = None,
     sample_rows: int = 20_000,
     seed: int = 17,
 ) -> DataFrame:
@@ -23,12 +24,14 @@ def zorder(
     ``df`` must read one table, since it is read four times and rows are told apart
     by the file they come from. Columns of the key may be of any ordered type.
 
-    Every column is cut into 2**bits ranges of about equal row counts. The cuts come
-    from a sample of about ``sample_rows`` rows, the only data the driver sees; they
-    affect which file a row lands in and nothing else. Runs a count and the sample.
+    Every column is cut into 2**bits ranges of about equal row counts; by default
+    there are some more cells than files. The cuts come from a sample of about
+    ``sample_rows`` rows, the only data the driver sees; they affect which file a row
+    lands in and nothing else. Runs a count and the sample.
 
     ``files`` is the number of files to aim at; without it AQE merges small ones.
     """
+    bits = bits or _bits(files or _partitions(df), len(columns))
     types = {f.name: f.dataType for f in df.schema.fields}
     keys = [sortable(c, types[c]) for c in columns]
     z = z_value(keys, _cuts(df, keys, bits, sample_rows, seed), bits)
@@ -54,6 +57,15 @@ def zorder_write(
     zorder(df, columns, files, **options).write.save(path, format=fmt, mode=mode)
 
 
+def _partitions(df):
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _bits(files, dimensions):
+    # Few comparisons per row keep the generated code small enough to be compiled.
+    return max(2, min(8, math.ceil(math.log2(max(files, 1)) / dimensions) + 1))
+
+
 def _cuts(df, keys: Sequence[Column], bits, sample_rows, seed):
     fraction = min(1.0, sample_rows / max(df.count(), 1))
     named = [k.alias(f"k{i}") for i, k in enumerate(keys)]

@@ -19,6 +19,16 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _spread(lines: DataFrame) -> DataFrame:
+    """A file of one row group is read by one task; share its rows out in that case.
+
+    Data of many files is left as it is: its scan is parallel without a shuffle.
+    """
+    if len(lines.inputFiles()) >= lines.sparkSession.sparkContext.defaultParallelism:
+        return lines
+    return lines.repartition("l_orderkey", "l_partkey", "l_linenumber")
+
+
 def raw_patients(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("Id"),
@@ -55,8 +65,10 @@ def raw_providers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_encounters(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
     lines = _table(spark, sf_dir, "lineitem")
+    if spread:
+        lines = _spread(lines)
     orders = _table(spark, sf_dir, "orders")
     parts = _table(spark, sf_dir, "part")
     return (
@@ -91,11 +103,12 @@ def organizations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curation.curate_organizations(raw_organizations(spark, sf_dir))
 
 
-def encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return curation.curate_encounters(raw_encounters(spark, sf_dir))
+def encounters(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+    return curation.curate_encounters(raw_encounters(spark, sf_dir, spread))
 
 
-def patient_encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
+def patient_encounters(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+    """``spread`` is for results which keep all encounters with all columns."""
     return curation.patient_encounters(
-        encounters(spark, sf_dir), patients(spark, sf_dir), organizations(spark, sf_dir)
+        encounters(spark, sf_dir, spread), patients(spark, sf_dir), organizations(spark, sf_dir)
     )

@@ -39,7 +39,8 @@ def _stored(spark, df, name):
 
 
 def _encounters(spark, sf_dir):
-    return _stored(spark, binding.patient_encounters(spark, sf_dir), "patient_encounters")
+    wide = binding.patient_encounters(spark, sf_dir, spread=True)
+    return _stored(spark, wide, "patient_encounters")
 
 
 def _flagged(spark, sf_dir):
@@ -69,7 +70,7 @@ def _clustered(spark, df, columns):
 
 
 def curate_encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _shown(binding.encounters(spark, sf_dir))
+    return _shown(binding.encounters(spark, sf_dir, spread=True))
 
 
 def curate_patients(spark, sf_dir):
@@ -90,7 +91,7 @@ def deid_patients(spark, sf_dir):
 
 
 def patient_encounters(spark, sf_dir):
-    return _shown(binding.patient_encounters(spark, sf_dir))
+    return _shown(binding.patient_encounters(spark, sf_dir, spread=True))
 
 
 def table_row_counts(spark, sf_dir):
@@ -149,7 +150,7 @@ def case_control(spark, sf_dir):
 
 
 def qualified_encounters(spark, sf_dir):
-    encounters = binding.patient_encounters(spark, sf_dir)
+    encounters = binding.patient_encounters(spark, sf_dir, spread=True)
     return _shown(
         cohorts.qualified_encounters(
             encounters, cohorts.case_control(encounters, INDEX_CONDITION)
@@ -214,7 +215,8 @@ def training_set(spark, sf_dir):
 
 
 def first_encounters_by_hash(spark, sf_dir):
-    rows = take_by_hash(binding.patient_encounters(spark, sf_dir), "Enc_Id", 100)
+    encounters = binding.patient_encounters(spark, sf_dir, spread=True)
+    rows = take_by_hash(encounters, "Enc_Id", 100)
     return _shown(rows.select("Enc_Id", "PATIENT", "START_TIME"))
 
 
@@ -252,7 +254,7 @@ def chi_square_uncorrected(spark, sf_dir):
 def zorder_write(spark, sf_dir):
     return _clustered(
         spark,
-        binding.patient_encounters(spark, sf_dir),
+        binding.patient_encounters(spark, sf_dir, spread=True),
         ["REASONDESCRIPTION", "START_TIME", "ZIP", "PATIENT"],
     )
 
