@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohort_engine.functions.hashing import hash_order
+from cohort_engine.operators.sampling import take_by_hash
 
 # Feature columns besides the numbered ones.
 ENCOUNTER_FEATURES = ("ENCOUNTERCLASS", "COST", "PROVIDER_ZIP", "START_YEAR")
@@ -189,14 +190,17 @@ class _Folds:
         rows = self.total - (0 if fold is None else self.rows[fold])
         return LogisticRegression(**params_to_lr(params, rows)).fit(data)
 
-    def scores(self, params, evaluator):
-        """The metric on each fold, by a model of the others."""
-        return [
-            evaluator.evaluate(
-                self.fit(params, fold).transform(self.data.filter(F.col("fold") == fold))
-            )
-            for fold in sorted(self.rows)
-        ]
+    def scores(self, space, evaluator, parallelism):
+        """Per parameter setting the metric on each fold, by a model of the others."""
+
+        @inheritable_thread_target(self.data.sparkSession)
+        def held_out(params, fold):
+            tested = self.data.filter(F.col("fold") == fold)
+            return evaluator.evaluate(self.fit(params, fold).transform(tested))
+
+        with ThreadPoolExecutor(max_workers=parallelism) as pool:
+            jobs = [[pool.submit(held_out, p, fold) for fold in self.rows] for p in space]
+            return [[job.result() for job in row] for row in jobs]
 
     def __enter__(self):
         return self
@@ -212,24 +216,19 @@ def tune(
     folds: int = 5,
     label: str = "label",
     key: str | Sequence[str] = "Enc_Id",
-    parallelism: int = 4,
+    parallelism: int = 8,
     **encoder_options,
 ) -> TuneResult:
     """Try parameter settings; the loss is minus the worst F1 of label 1 over folds.
 
     ``df`` should be a stored table; it is encoded once. Each fit is a series of Spark
-    jobs over all executors, and ``parallelism`` settings are in flight at a time.
+    jobs over all executors, and ``parallelism`` fits are in flight at a time.
     """
     f1 = MulticlassClassificationEvaluator(metricName="fMeasureByLabel", metricLabel=1.0)
     space = search_space() if space is None else list(space)
     with _Folds(df, encoder(df, features, **encoder_options), label, key, folds) as split:
-
-        def trial(params):
-            return {**params, "loss": -min(split.scores(params, f1))}
-
-        with ThreadPoolExecutor(max_workers=parallelism) as pool:
-            jobs = [pool.submit(inheritable_thread_target(df.sparkSession)(trial), p) for p in space]
-            return TuneResult([job.result() for job in jobs])
+        scores = split.scores(space, f1, parallelism)
+    return TuneResult([{**p, "loss": -min(row)} for p, row in zip(space, scores)])
 
 
 def train(
@@ -239,12 +238,13 @@ def train(
     folds: int = 5,
     label: str = "label",
     key: str | Sequence[str] = "Enc_Id",
+    parallelism: int = 8,
     **encoder_options,
 ) -> tuple[PipelineModel, float]:
     """(model of all rows, mean accuracy over ``folds``; nan without folds)."""
     accuracy = MulticlassClassificationEvaluator(metricName="accuracy")
     with _Folds(df, encoder(df, features, **encoder_options), label, key, max(folds, 1)) as split:
-        scores = split.scores(params, accuracy) if folds > 1 else [math.nan]
+        scores = split.scores([params], accuracy, parallelism)[0] if folds > 1 else [math.nan]
         model = PipelineModel([*split.encoder.stages, split.fit(params)])
     return model, sum(scores) / len(scores)
 
@@ -261,6 +261,6 @@ def score(
     ``limit`` scores that many rows only, chosen by md5 of ``key``.
     """
     if limit is not None:
-        df = df.orderBy(hash_order(key)).limit(limit)
+        df = take_by_hash(df, key, limit)
     risk = vector_to_array(F.col("probability"))[1]
     return model.transform(df).select(*keep, risk.alias("risk_score"))

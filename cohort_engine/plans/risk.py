@@ -74,7 +74,7 @@ def run_study(
     config: RiskConfig | None = None,
     n_evals: int = 32,
     folds: int = 5,
-    parallelism: int = 4,
+    parallelism: int = 8,
     balance_mode: str = "exact",
     tags: dict | None = None,
     **encoder_options,
@@ -108,7 +108,9 @@ def run_study(
     )
     best = min(t["loss"] for t in tuned.trials)
     models.log_run(spark, runs, "tuning", {**asdict(config), **tuned.best}, {"loss": best})
-    model, accuracy = ml.train(rows, names, tuned.best, folds, **encoder_options)
+    model, accuracy = ml.train(
+        rows, names, tuned.best, folds, parallelism=parallelism, **encoder_options
+    )
     location = models.save_model(model, dataset.path("models"), config.model_name, run_id)
     models.log_run(
         spark, runs, "training", {**asdict(config), **tuned.best}, {"accuracy": accuracy}, location
