@@ -16,6 +16,7 @@ from pyspark.ml.feature import (
     FeatureHasher,
     OneHotEncoder,
     QuantileDiscretizer,
+    SQLTransformer,
     StringIndexer,
     VectorAssembler,
 )
@@ -26,6 +27,7 @@ from pyspark.sql import types as T
 
 from cohort_engine.functions.hashing import hash_order
 from cohort_engine.operators.sampling import take_by_hash
+from cohort_engine.sources.io import quoted
 
 # Feature columns besides the numbered ones.
 ENCOUNTER_FEATURES = ("ENCOUNTERCLASS", "COST", "PROVIDER_ZIP", "START_YEAR")
@@ -95,9 +97,15 @@ def encoder(
         ]
         parts += named(exact, "onehot")
     if ranged:
+        # A missing number has a class of its own, as nan; null would stop the encoder.
+        numbers = ", ".join(
+            f"coalesce(CAST({quoted(c)} AS DOUBLE), double('NaN')) AS {quoted(f'{c}__number')}"
+            for c in ranged
+        )
         stages += [
+            SQLTransformer(statement=f"SELECT *, {numbers} FROM __THIS__"),
             QuantileDiscretizer(
-                inputCols=ranged,
+                inputCols=named(ranged, "number"),
                 outputCols=named(ranged, "range"),
                 numBuckets=buckets,
                 handleInvalid="keep",

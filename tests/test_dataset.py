@@ -69,3 +69,5 @@ def test_cluster_keeps_rows(dataset, csv_folder):
     assert sorted(map(str, dataset.patients.collect())) == before
     dataset.cluster("patients", ["ZIP"])
     assert sorted(map(str, dataset.patients.collect())) == before
+    dataset.patients = dataset.providers
+    assert dataset.patients.count() == 1

@@ -61,6 +61,18 @@ def test_encoder_bounds_wide_features(rows):
     assert size in (2 + 4 + 16, 2 + 5 + 16, 2 + 6 + 16)
 
 
+def test_missing_and_unseen_values_are_scored(spark, rows, tmp_path):
+    small = {"max_categories": 10, "buckets": 4, "hash_size": 16}
+    model, _ = ml.train(rows, NAMES, ml.search_space(1)[0], folds=1, **small)
+    models.save_model(model, str(tmp_path), "small")
+    unseen = spark.createDataFrame(
+        [("A", None, None), (None, 1e9, "zzz"), ("Z", float("nan"), "")],
+        "site string, cost double, code string",
+    )
+    scores = ml.score(models.load_model(str(tmp_path), "small"), unseen, keep=["site"]).collect()
+    assert len(scores) == 3 and all(0 <= r.risk_score <= 1 for r in scores)
+
+
 def test_search_space_is_seeded_and_bounded():
     space = ml.search_space(32, seed=123)
     assert space == ml.search_space(32, seed=123) != ml.search_space(32, seed=1)
