@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from cohort_engine.llm import (
+    automaton_dedup,
     bpe,
     exact_dedup,
     mixing,
@@ -13,6 +14,7 @@ from cohort_engine.llm import (
     quality_model,
     quality_rules,
     secrets,
+    suffix_dedup,
 )
 from cohort_engine.llm.oracle import ORACLE
 
@@ -48,6 +50,10 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -62,6 +68,10 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.identifiers_digest(pii.scan_identifiers(_table(spark, sf_dir, "documents")))
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return automaton_dedup.remove_passages(_table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(
         _table(spark, sf_dir, "documents"),
@@ -77,9 +87,11 @@ QUERIES = {
         op1_quality_rules,
         op2_secret_scans,
         op3_mixing,
+        op4_suffix_array_dedup,
         op5_exact_dedup,
         op6_quality_classifier,
         op8_pii,
+        op9_substring_dedup,
         op10_bpe,
     )
 }
