@@ -9,6 +9,7 @@ from cohort_engine.llm import (
     automaton_dedup,
     bpe,
     exact_dedup,
+    jaccard,
     mixing,
     pii,
     quality_model,
@@ -64,6 +65,12 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.score(docs, model)
 
 
+def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_documents(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_shingles", "component_id", "n_links"
+    )
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.identifiers_digest(pii.scan_identifiers(_table(spark, sf_dir, "documents")))
 
@@ -90,6 +97,7 @@ QUERIES = {
         op4_suffix_array_dedup,
         op5_exact_dedup,
         op6_quality_classifier,
+        op7_ngram_jaccard,
         op8_pii,
         op9_substring_dedup,
         op10_bpe,
