@@ -48,6 +48,26 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def numbered(docs: DataFrame, name: str, *more: Column) -> DataFrame:
+    """(row, doc, more): ``docs`` stored with a number for each row.
+
+    All columns stand in the struct ``doc``, so that none can clash with another's name.
+    """
+    return stored(
+        docs.select(
+            F.monotonically_increasing_id().alias("row"),
+            F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
+            *more,
+        ),
+        name,
+    )
+
+
+def rows_in(documents: DataFrame, rows: DataFrame) -> DataFrame:
+    """The documents of a ``numbered`` table whose row is in ``rows``, as they came."""
+    return documents.join(rows, "row", "left_semi").select("doc.*")
+
+
 def chunks(
     batches: Iterator[pa.RecordBatch], text: str, limit: int = 1 << 20
 ) -> Iterator[pa.RecordBatch]:

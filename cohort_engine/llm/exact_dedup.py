@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohort_engine.llm.common import stored, text_of
+from cohort_engine.llm.common import numbered, rows_in, stored, text_of
 
 # Counters of the frequent-items sketch, and the most digests it may report. A digest
 # with over 3.5 / TRACKED of all rows is always among them; there are fewer than REPORTED
@@ -35,10 +35,33 @@ def exact_duplicates(
         docs.select(
             F.col(id_col).alias("id"),
             F.monotonically_increasing_id().alias("row"),
-            F.sha2(text_of(text_col).cast("binary"), 256).alias("digest"),
+            _digest(text_col),
         ),
         "digests",
     )
+    return grouped(rows).select(
+        F.col("id").alias(id_col), "keep_id", "group_size", "kept", "text_sha256"
+    )
+
+
+def without_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The rows of ``docs`` that stay by ``exact_duplicates``, with all their columns.
+
+    Runs a job that stores the documents with row numbers.
+    """
+    documents = numbered(docs, "documents", F.col(id_col).alias("id"), _digest(text_col))
+    rows = grouped(documents.select("id", "row", "digest"))
+    return rows_in(documents, rows.filter("kept").select("row"))
+
+
+def _digest(text_col: str) -> Column:
+    return F.sha2(text_of(text_col).cast("binary"), 256).alias("digest")
+
+
+def grouped(rows: DataFrame) -> DataFrame:
+    """Groups of equal digests of the stored rows (id, row, digest)."""
     frequent = rows.agg(
         F.expr(f"approx_top_k(digest, {REPORTED}, {TRACKED})").alias("items")
     ).select(F.explode("items.item").alias("digest"))
@@ -52,9 +75,10 @@ def exact_duplicates(
     )
     settled = rows.join(F.broadcast(verified), "digest")
     rest = rows.join(F.broadcast(verified), "digest", "left_anti")
-    grouped = rest.join(rest.groupBy("digest").agg(winner, size), "digest")
-    return settled.unionByName(grouped).select(
-        F.col("id").alias(id_col),
+    small = rest.join(rest.groupBy("digest").agg(winner, size), "digest")
+    return settled.unionByName(small).select(
+        "id",
+        "row",
         F.col("winner.id").alias("keep_id"),
         F.col("size").alias("group_size"),
         (F.col("row") == F.col("winner.row")).alias("kept"),

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from cohort_engine.llm import blocks as B
 from cohort_engine.llm.anchors import mixed
-from cohort_engine.llm.common import stored
+from cohort_engine.llm.common import numbered, rows_in, stored
 from cohort_engine.llm.components import components
 from cohort_engine.llm.repeats import together
 from cohort_engine.llm.words import word_hashes, word_spans
@@ -485,3 +485,22 @@ def similar_documents(
         "n_links",
         (F.col("key") == F.col("component")).alias("first"),
     )
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The row with the smallest id of each component, with all its columns.
+
+    Null ids come last; of equal ids the row that was read first stays. Runs jobs, one of
+    which stores the documents with row numbers.
+    """
+    documents = numbered(docs, "documents")
+    texts = documents.select("row", F.col("doc")[text_col].alias("text"))
+    found = similar_documents(texts, "row").select("row", "component")
+    names = documents.select("row", F.col("doc")[id_col].alias("id"))
+    kept = (
+        found.join(names, "row")
+        .groupBy("component")
+        .agg(F.min(F.struct(F.col("id").isNull(), "id", "row")).alias("first"))
+        .select("first.row")
+    )
+    return rows_in(documents, kept)

@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohort_engine.llm.common import WORD, stored, text_of
+from cohort_engine.llm.common import WORD, numbered, stored, text_of
 
 # Passes over one source at most.
 MAX_PASSES = 3
@@ -57,6 +57,7 @@ def mix(
     max_passes: int = MAX_PASSES,
     weight=rotating_weight,
     seed: str = "mix",
+    row_col: str | None = None,
 ) -> DataFrame:
     """How often a mix takes each document, so that sources come near their targets.
 
@@ -76,13 +77,14 @@ def mix(
     result. Other columns are ignored. Runs jobs that store ids and sizes.
 
     Result, a row for each input row: id, size, source_size, target, taken (words,
-    repeats counted), passes (how often it is taken).
+    repeats counted), passes (how often it is taken), and row, which is ``row_col`` if
+    the caller has numbered the rows.
     """
     rows = stored(
         docs.select(
             F.col(id_col).alias("id"),
             F.struct(F.col(source_col).alias("source")).alias("key"),
-            F.monotonically_increasing_id().alias("row"),
+            (F.col(row_col) if row_col else F.monotonically_increasing_id()).alias("row"),
             F.size(F.regexp_extract_all(text_of(text_col), F.lit(WORD), 0))
             .cast("long")
             .alias("size"),
@@ -160,10 +162,29 @@ def mix(
             "target",
             (F.col("size") * F.col("passes")).alias("taken"),
             "passes",
+            "row",
         )
     )
 
 
+def mixed_documents(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source"
+) -> DataFrame:
+    """The rows of ``docs`` as often as ``mix`` takes them, with all their columns.
+
+    Runs jobs, one of which stores the documents with row numbers.
+    """
+    documents = numbered(docs, "documents")
+    fields = [F.col("doc")[c].alias(c) for c in (id_col, text_col, source_col)]
+    found = mix(documents.select("row", *fields), id_col, text_col, source_col, row_col="row")
+    times = found.filter("passes > 0").select("row", "passes")
+    return (
+        documents.join(times, "row")
+        .select("doc", F.explode(F.sequence(F.lit(1), F.col("passes").cast("int"))))
+        .select("doc.*")
+    )
+
+
 def _starts(sums: DataFrame, by: list[str], place: str = "bucket") -> DataFrame:
     """The sum of all earlier places, for each place; a short row for each place."""
     before = (

@@ -198,7 +198,7 @@ def score(
     sent = docs.sparkSession.sparkContext.broadcast(model)
     source = docs.select(
         F.col(id_col).alias("id"),
-        F.struct(F.lit(0).alias("none"), *[F.col(c) for c in keep]).alias("kept"),
+        F.struct(F.lit(0).alias("__none"), *[F.col(f"`{c}`") for c in keep]).alias("kept"),
         text_of(text_col).alias("text"),
     )
 
@@ -219,3 +219,17 @@ def score(
         (F.col("score") >= threshold).cast("int").alias("predicted"),
         *(["kept"] if keep else []),
     )
+
+
+def accepted(
+    docs: DataFrame,
+    model: Model,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    threshold: float = THRESHOLD,
+) -> DataFrame:
+    """The rows of ``docs`` that the model predicts label 1 for, with all their columns."""
+    found = score(docs, model, id_col, text_col, threshold, tuple(docs.columns))
+    return found.filter("predicted = 1").select(
+        *[F.col("kept")[c].alias(c) for c in docs.columns]
+    )
