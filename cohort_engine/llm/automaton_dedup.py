@@ -108,7 +108,7 @@ def repeated_windows(passages: list[bytes], length: int, shard: int = SHARD) ->
             automaton.add(symbols[i], times[distinct[i]])
         automaton.finish()
         for total, passage in zip(totals, symbols, strict=True):
-            total += automaton.occurrences(passage, length)
+            total += np.array(automaton.occurrences(passage, length), np.int64)
     found = {p: total > 1 for p, total in zip(distinct, totals, strict=True)}
     return [found[p] for p in passages]
 
