@@ -35,19 +35,25 @@ def non_cases(encounters: DataFrame, cases: DataFrame) -> DataFrame:
 
 def controls(
     encounters: DataFrame,
-    cases: DataFrame,
+    cases: DataFrame | str,
     n: int | None = None,
     seed: str | int | None = None,
+    literal: bool = False,
 ) -> DataFrame:
     """As many patients without the condition as there are cases (or ``n``).
 
-    The choice is by md5 of the patient id: random-like, yet the same in each run.
-    All patients without the condition are returned when there are fewer.
+    ``cases`` is the condition, or a table of cases. With the condition, as in
+    ``case_control``, one aggregation by patient answers "case or not" for everybody.
+    The choice is by md5 of the patient id: random-like, yet the same in each run. All
+    patients without the condition are returned when there are fewer.
     """
-    wanted = row_count(cases) if n is None else F.lit(n)
-    return take_by_hash(non_cases(encounters, cases), "PATIENT", wanted, seed).withColumn(
-        "is_positive", F.lit(False)
-    )
+    if isinstance(cases, str):
+        status = patient_status(encounters, cases, literal)
+        ones, others = status.filter("is_positive"), status.filter("NOT is_positive")
+    else:
+        ones, others = cases, non_cases(encounters, cases).withColumn("is_positive", F.lit(False))
+    wanted = row_count(ones) if n is None else F.lit(n)
+    return take_by_hash(others, "PATIENT", wanted, seed)
 
 
 def case_control(

@@ -104,10 +104,11 @@ def build(
 ) -> DataFrame:
     """All features and the label for the encounters of a cohort.
 
-    Fewer conditions than ``config.num_conditions`` give as many flags.
+    There are as many flags as conditions. ``literal`` takes their names as plain text,
+    as names found in data are.
     """
     config = config or RiskConfig()
-    conditions = list(conditions)[: config.num_conditions]
+    conditions = list(conditions)
     if not conditions:
         raise ValueError("no comorbid conditions: nobody has the condition of interest")
     if target == "comorbidity_0" and config.condition.lower() not in conditions[0].lower():

@@ -4,26 +4,26 @@ from __future__ import annotations
 
 import math
 import random
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import (
     FeatureHasher,
     OneHotEncoder,
     QuantileDiscretizer,
     SQLTransformer,
     StringIndexer,
+    StringIndexerModel,
     VectorAssembler,
 )
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from cohort_engine.functions.hashing import hash_order
 from cohort_engine.operators.sampling import take_by_hash
@@ -33,8 +33,11 @@ from cohort_engine.sources.io import quoted
 ENCOUNTER_FEATURES = ("ENCOUNTERCLASS", "COST", "PROVIDER_ZIP", "START_YEAR")
 PATIENT_FEATURES = ("RACE", "GENDER", "ZIP", "patient_age")
 
-# An iteration of a fit costs a task per partition, so small training sets are packed.
-ROWS_PER_TASK = 50_000
+# How features are encoded unless the caller says otherwise; all others are exact.
+ENCODINGS = {"COST": "ranges", "patient_age": "ranges"}
+
+# An exact feature with more values than this is an error: they all live on the driver.
+MAX_VOCABULARY = 1_000_000
 
 # Bounds of the search, as logarithms of the parameters.
 SEARCH_BOUNDS = {"tol": (-3.0, 0.0), "C": (-2.0, 0.0), "l1_ratio": (-3.0, -1.0)}
@@ -58,25 +61,29 @@ def training_set(
 
 
 def encoder(
-    df: DataFrame,
     features: Sequence[str],
-    max_categories: int = 10_000,
+    encodings: Mapping[str, str] | None = None,
     buckets: int = 256,
     hash_size: int = 1 << 18,
 ) -> Pipeline:
     """Unfitted stages which one-hot encode every feature, numbers included.
 
-    A value unknown at fitting time gives all zeros. The vocabulary of a feature
-    lives on the driver, so features with more than about ``max_categories`` values
-    are reduced first: numbers to ``buckets`` quantile ranges, text by hashing. Runs
-    one job which estimates the number of values of all features.
+    ``encodings`` (default ``ENCODINGS``) says how; the number of rows or values never
+    does:
+
+    exact   a slot for each value; the values are brought to the driver
+    ranges  numbers in ``buckets`` quantile ranges
+    hashed  values hashed to ``hash_size`` slots
+
+    Features without an entry are exact. A value unknown at fitting time gives all zeros.
     """
-    sizes = df.agg(*[F.approx_count_distinct(c).alias(c) for c in features]).first()
-    wide = [c for c in features if sizes[c] > max_categories]
-    exact = [c for c in features if c not in wide]
-    numeric = {f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)}
-    ranged = [c for c in wide if c in numeric]
-    hashed = [c for c in wide if c not in numeric]
+    encodings = ENCODINGS if encodings is None else encodings
+    kinds = {c: encodings.get(c, "exact") for c in features}
+    if unknown := sorted(set(kinds.values()) - {"exact", "ranges", "hashed"}):
+        raise ValueError(f"unknown encodings {unknown}")
+    exact, ranged, hashed = (
+        [c for c in features if kinds[c] == kind] for kind in ("exact", "ranges", "hashed")
+    )
 
     def named(columns, suffix):
         return [f"{c}__{suffix}" for c in columns]
@@ -120,12 +127,38 @@ def encoder(
         parts += named(ranged, "onehot")
     if hashed:
         stages.append(
-            FeatureHasher(inputCols=hashed, outputCol="hashed__onehot", numFeatures=hash_size)
+            FeatureHasher(
+                inputCols=hashed,
+                outputCol="hashed__onehot",
+                numFeatures=hash_size,
+                categoricalCols=hashed,
+            )
         )
         parts.append("hashed__onehot")
     return Pipeline(stages=[*stages, VectorAssembler(inputCols=parts, outputCol="features")])
 
 
+def fit_encoder(df: DataFrame, stages: Pipeline) -> PipelineModel:
+    """The fitted stages; raises if an exact feature has too many values."""
+    model = stages.fit(df)
+    for stage in model.stages:
+        if isinstance(stage, StringIndexerModel):
+            for name, values in zip(stage.getInputCols(), stage.labelsArray):
+                if len(values) > MAX_VOCABULARY:
+                    raise ValueError(
+                        f"{name} has {len(values)} values; declare it as ranges or hashed"
+                    )
+    return model
+
+
+def encoded_features(df: DataFrame, features: Sequence[str], keep: Sequence[str]) -> DataFrame:
+    """``keep`` and for each exact feature the number of its value, from 0."""
+    model = fit_encoder(df, encoder(features, {}))
+    return model.transform(df).select(
+        *keep, *[F.col(f"{c}__index").cast("int").alias(c) for c in features]
+    )
+
+
 def params_to_lr(params: dict[str, float], rows: int) -> dict:
     """Search parameters (logarithms) -> arguments of ``LogisticRegression``.
 
@@ -152,8 +185,8 @@ def search_space(n_evals: int = 32, seed: int = 123) -> list[dict[str, float]]:
 
 @dataclass(frozen=True)
 class TuneResult:
-    """``trials``: the tried parameters with their loss; ``best``: the parameters
-    of the lowest loss."""
+    """``trials``: the tried parameters with their loss and the rows of the training
+    set; ``best``: the parameters of the lowest loss."""
 
     trials: list[dict[str, float]]
 
@@ -171,25 +204,62 @@ class TuneResult:
         )
 
 
-class _Folds:
-    """An encoded, persisted training set that is split by a hash of the row key.
+def stratified_folds(
+    df: DataFrame, label: str, key: str | Sequence[str], folds: int
+) -> DataFrame:
+    """``df`` with a column ``fold``: each label is spread evenly over the folds.
 
-    The split is random-like and close to stratified on large data.
+    Rows are ordered by md5 of ``key``. The histogram of its first four digits, at most
+    65,536 rows for each label, says which part of the order a digit group lies in; the
+    table of groups is broadcast.
     """
+    group = F.substring(hash_order(key), 1, 4).alias("group")
+    of_label = Window.partitionBy("of").orderBy("group")
+    before = F.coalesce(
+        F.sum("rows").over(of_label.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+    )
+    total = F.sum("rows").over(Window.partitionBy("of"))
+    groups = (
+        df.groupBy(F.col(label).alias("of"), group)
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .select("of", "group", F.floor(before * folds / total).cast("int").alias("fold"))
+    )
+    return df.join(
+        F.broadcast(groups),
+        (F.col(label) == F.col("of")) & (F.substring(hash_order(key), 1, 4) == F.col("group")),
+    ).drop("of", "group")
+
+
+def f1_of_ones(predictions: DataFrame) -> float:
+    """F1 of label 1; 0 if there is neither a label nor a prediction of 1."""
+    label, guess = F.col("label") == 1, F.col("prediction") == 1
+    hit, wrong = predictions.agg(
+        F.count_if(label & guess), F.count_if(label != guess)
+    ).first()
+    return 2 * hit / (2 * hit + wrong) if hit or wrong else 0.0
+
+
+def accuracy(predictions: DataFrame) -> float:
+    """Share of predictions that equal the label."""
+    right = F.avg((F.col("label") == F.col("prediction")).cast("double"))
+    return predictions.agg(right).first()[0]
+
 
-    def __init__(self, df, stages, label, key, folds):
-        fold = F.pmod(F.xxhash64(hash_order(key)), F.lit(folds)).cast("int")
-        counts = df.groupBy(fold.alias("fold")).count().collect()
-        self.rows = {r.fold: r["count"] for r in counts}
+class _Folds:
+    """An encoded, persisted training set in stratified folds."""
+
+    def __init__(self, df, stages, label, key, folds, partitions):
+        split = stratified_folds(df, label, key, folds)
+        self.rows = {r.fold: r["count"] for r in split.groupBy("fold").count().collect()}
         self.total = sum(self.rows.values())
         if self.total == 0:
             raise ValueError("no training rows: is any label 1?")
-        self.encoder = stages.fit(df)
-        self.data = (
-            self.encoder.transform(df)
-            .select("features", F.col(label).cast("double").alias("label"), fold.alias("fold"))
-            .coalesce(math.ceil(self.total / ROWS_PER_TASK) or 1)
-            .persist(StorageLevel.MEMORY_AND_DISK)
+        self.encoder = fit_encoder(df, stages)
+        data = self.encoder.transform(split).select(
+            "features", F.col(label).cast("double").alias("label"), "fold"
+        )
+        self.data = (data.coalesce(partitions) if partitions else data).persist(
+            StorageLevel.MEMORY_AND_DISK
         )
 
     def fit(self, params, fold=None):
@@ -198,13 +268,13 @@ class _Folds:
         rows = self.total - (0 if fold is None else self.rows[fold])
         return LogisticRegression(**params_to_lr(params, rows)).fit(data)
 
-    def scores(self, space, evaluator, parallelism):
+    def scores(self, space, metric, parallelism):
         """Per parameter setting the metric on each fold, by a model of the others."""
 
         @inheritable_thread_target(self.data.sparkSession)
         def held_out(params, fold):
             tested = self.data.filter(F.col("fold") == fold)
-            return evaluator.evaluate(self.fit(params, fold).transform(tested))
+            return metric(self.fit(params, fold).transform(tested))
 
         with ThreadPoolExecutor(max_workers=parallelism) as pool:
             jobs = [[pool.submit(held_out, p, fold) for fold in self.rows] for p in space]
@@ -225,18 +295,22 @@ def tune(
     label: str = "label",
     key: str | Sequence[str] = "Enc_Id",
     parallelism: int = 8,
+    partitions: int | None = None,
     **encoder_options,
 ) -> TuneResult:
     """Try parameter settings; the loss is minus the worst F1 of label 1 over folds.
 
     ``df`` should be a stored table; it is encoded once. Each fit is a series of Spark
-    jobs over all executors, and ``parallelism`` fits are in flight at a time.
+    jobs over all executors, and ``parallelism`` fits are in flight at a time. An
+    iteration costs a task for each partition; ``partitions`` packs the encoded rows of a
+    small training set into so many.
     """
-    f1 = MulticlassClassificationEvaluator(metricName="fMeasureByLabel", metricLabel=1.0)
     space = search_space() if space is None else list(space)
-    with _Folds(df, encoder(df, features, **encoder_options), label, key, folds) as split:
-        scores = split.scores(space, f1, parallelism)
-    return TuneResult([{**p, "loss": -min(row)} for p, row in zip(space, scores)])
+    stages = encoder(features, **encoder_options)
+    with _Folds(df, stages, label, key, folds, partitions) as split:
+        scores = split.scores(space, f1_of_ones, parallelism)
+        rows = split.total
+    return TuneResult([{**p, "loss": -min(row), "rows": rows} for p, row in zip(space, scores)])
 
 
 def train(
@@ -247,11 +321,12 @@ def train(
     label: str = "label",
     key: str | Sequence[str] = "Enc_Id",
     parallelism: int = 8,
+    partitions: int | None = None,
     **encoder_options,
 ) -> tuple[PipelineModel, float]:
     """(model of all rows, mean accuracy over ``folds``; nan without folds)."""
-    accuracy = MulticlassClassificationEvaluator(metricName="accuracy")
-    with _Folds(df, encoder(df, features, **encoder_options), label, key, max(folds, 1)) as split:
+    stages = encoder(features, **encoder_options)
+    with _Folds(df, stages, label, key, max(folds, 1), partitions) as split:
         scores = split.scores([params], accuracy, parallelism)[0] if folds > 1 else [math.nan]
         model = PipelineModel([*split.encoder.stages, split.fit(params)])
     return model, sum(scores) / len(scores)

@@ -10,9 +10,11 @@ from pyspark.sql.window import Window
 
 from cohort_engine.functions.hashing import hash_order
 
-# 16**4 buckets: the histogram has at most 65,536 rows, whatever the data size,
-# and one bucket holds about 1/65,536 of the keys because md5 spreads evenly.
-_PREFIX = 4
+# Hex digits of a hash that one histogram tells apart: at most 65,536 buckets.
+DIGITS = 4
+# Histograms, one inside the bucket that the one before has chosen. What is left after
+# them is ranked: of n keys about n / 16 ** (DIGITS * LEVELS).
+LEVELS = 2
 _BELOW_ALL, _ABOVE_ALL = "", "g"
 
 
@@ -21,28 +23,33 @@ def hash_cutoff(
 ) -> Column:
     """Largest md5 among the ``n`` smallest of ``df``, as a scalar subquery.
 
-    Two map-side-combined aggregations find it: a histogram by hash prefix tells
-    which bucket holds the n-th key, then only that bucket's hashes are ranked.
-    Repeated keys are counted before they are shuffled, so they cannot fill a task.
+    A cascade of map-side-combined aggregations finds it. A histogram by the first
+    digits of the hash tells which bucket holds the n-th key, the next histogram does
+    the same inside that bucket, and the hashes of the last bucket are ranked. Rows
+    with the same hash are counted before they are shuffled. No window sees more than
+    the buckets of a histogram or the hashes of the last bucket.
     """
     hashed = df.select(hash_order(keys, seed).alias("h"))
-    prefix = F.substring("h", 1, _PREFIX)
     running = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
-    edge = (
-        hashed.groupBy(prefix.alias("bucket"))
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .withColumn("upto", F.sum("rows").over(running))
-        .filter(F.col("upto") >= n)
-        .agg(F.min(F.struct("bucket", "rows", "upto")).alias("e"))
-        .select(
-            F.col("e.bucket").alias("bucket"), (F.col("e.upto") - F.col("e.rows")).alias("before")
+    inside = hashed.withColumn("before", F.lit(0).cast("long"))
+    for level in range(LEVELS):
+        bucket = F.substring("h", 1, DIGITS * (level + 1))
+        edge = (
+            inside.groupBy(bucket.alias("bucket"), "before")
+            .agg(F.count(F.lit(1)).alias("rows"))
+            .withColumn("upto", F.col("before") + F.sum("rows").over(running))
+            .filter(F.col("upto") >= n)
+            .agg(F.min(F.struct("bucket", "rows", "upto")).alias("e"))
+            .select(
+                F.col("e.bucket").alias("bucket"),
+                (F.col("e.upto") - F.col("e.rows")).alias("before"),
+            )
         )
-    )
+        # An aggregate without keys: one row.
+        inside = hashed.join(F.broadcast(edge), bucket == F.col("bucket")).select("h", "before")
     by_hash = Window.orderBy("h").rowsBetween(Window.unboundedPreceding, 0)
     return (
-        hashed.withColumn("bucket", prefix)
-        .join(F.broadcast(edge), "bucket")  # an aggregate without keys: one row
-        .groupBy("h", "before")
+        inside.groupBy("h", "before")
         .agg(F.count(F.lit(1)).alias("rows"))
         .withColumn("upto", F.col("before") + F.sum("rows").over(by_hash))
         .filter(F.col("upto") - F.col("rows") < n)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 
 from cohort_engine.config import RiskConfig
 from cohort_engine.operators import cohorts, features, ml, stats
-from cohort_engine.session import scratch_dir
+from cohort_engine.session import scratch_dir, tune_session
 from cohort_engine.sources import models
 from cohort_engine.sources.dataset import CohortDataset
 from cohort_engine.sources.io import load, save, save_features
@@ -27,6 +27,8 @@ def comorbid_names(encounters: DataFrame, config: RiskConfig) -> list[str]:
 def stored_cohort(encounters: DataFrame, config: RiskConfig, path: str, fmt: str) -> DataFrame:
     """Cases and controls, written to ``path`` and read from there.
 
+    ``encounters`` may as well be their distinct pairs of patient and condition.
+
     The features join the cohort three times. As a table it is made once, and Spark
     knows its size when it chooses how to join it.
     """
@@ -40,20 +42,38 @@ def encounter_features(
     config: RiskConfig,
     exclude_current: bool = False,
     cohort: DataFrame | None = None,
+    storage: str | None = None,
+    fmt: str = "parquet",
 ) -> DataFrame:
     """Features and label of all encounters of cases and controls.
 
-    ``encounters`` should be a stored table. Runs the job of ``comorbid_names`` and,
-    unless ``cohort`` is given, one that stores the cohort in the scratch folder.
+    ``encounters`` should be a stored table; it is read twice. The first pass stores its
+    distinct pairs of patient and condition, from which the cohort and the names of the
+    comorbid conditions follow; the second stores the encounters of the cohort, from
+    which all features are made. ``storage`` is a folder for these tables, by default the
+    scratch folder. Runs the jobs that store them and the one of ``comorbid_names``.
     """
+    spark = encounters.sparkSession
+    storage = storage or scratch_dir(spark, "features")
+
+    def stored(df, name):
+        save(df, f"{storage}/{name}", fmt, "overwrite")
+        return load(spark, f"{storage}/{name}", fmt)
+
+    pairs = stored(
+        encounters.select("PATIENT", cohorts.CONDITION).distinct(), "patient_conditions"
+    )
     if cohort is None:
-        path = scratch_dir(encounters.sparkSession, "cohort")
-        cohort = stored_cohort(encounters, config, path, "parquet")
+        cohort = stored_cohort(pairs, config, f"{storage}/cohort", fmt)
+    qualified = stored(
+        cohorts.qualified_encounters(encounters, cohort), "qualified_encounters"
+    )
     return features.build(
-        cohorts.qualified_encounters(encounters, cohort),
-        comorbid_names(encounters, config),
+        qualified,
+        comorbid_names(pairs, config),
         config,
         exclude_current=exclude_current,
+        literal=True,
     )
 
 
@@ -81,16 +101,17 @@ def run_study(
 ) -> Study:
     """Build and store features, tune, train, store and log the model.
 
-    Everything is below ``dataset.root``: cohort, encounter_features, training_set,
-    models and runs.
+    Everything is below ``dataset.root``: patient_conditions, cohort,
+    qualified_encounters, encounter_features, training_set, models and runs. The table of
+    runs has a row for each trial, one for the best and one for the model.
     """
     config = config or RiskConfig()
-    spark, run_id = dataset.spark, uuid.uuid4().hex
+    spark, run_id = tune_session(dataset.spark), uuid.uuid4().hex
     path, runs = dataset.path("encounter_features"), dataset.path("runs")
-    encounters = dataset.patient_encounters
-    cohort = stored_cohort(encounters, config, dataset.path("cohort"), dataset.fmt)
     save_features(
-        encounter_features(encounters, config, cohort=cohort),
+        encounter_features(
+            dataset.patient_encounters, config, storage=dataset.root, fmt=dataset.fmt
+        ),
         path,
         {**(tags or {}), "run_id": run_id},
         dataset.fmt,
@@ -107,13 +128,27 @@ def run_study(
         rows, names, ml.search_space(n_evals), folds, parallelism=parallelism, **encoder_options
     )
     best = min(t["loss"] for t in tuned.trials)
-    models.log_run(spark, runs, "tuning", {**asdict(config), **tuned.best}, {"loss": best})
+    settings = {**asdict(config), "run_id": run_id}
+    models.log_runs(
+        spark,
+        runs,
+        [
+            (
+                f"trial-{i}",
+                {**settings, **trial, **ml.params_to_lr(trial, trial["rows"])},
+                {"loss": trial["loss"]},
+                None,
+            )
+            for i, trial in enumerate(tuned.trials)
+        ],
+    )
+    models.log_run(spark, runs, "tuning", {**settings, **tuned.best}, {"loss": best})
     model, accuracy = ml.train(
         rows, names, tuned.best, folds, parallelism=parallelism, **encoder_options
     )
     location = models.save_model(model, dataset.path("models"), config.model_name, run_id)
     models.log_run(
-        spark, runs, "training", {**asdict(config), **tuned.best}, {"accuracy": accuracy}, location
+        spark, runs, "training", {**settings, **tuned.best}, {"accuracy": accuracy}, location
     )
     return Study(
         run_id, path, config.model_name, run_id, location, tuned.best, best, accuracy

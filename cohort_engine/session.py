@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -26,16 +25,20 @@ def tune_session(spark: SparkSession) -> SparkSession:
 
 
 def scratch_dir(spark: SparkSession, prefix: str) -> str:
-    """A new path for intermediate tables, below ``spark.checkpoint.dir``.
+    """A new path for intermediate tables, deleted when the session's process ends.
 
-    That folder is shared by all executors of a cluster. Only a local session
-    without the setting falls back to a folder of this machine.
+    It is below ``spark.checkpoint.dir``, the folder that all executors of a cluster
+    share; without that setting below the warehouse, which they share as well.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir"
+    root = (
+        spark.conf.get("spark.checkpoint.dir", None)
+        or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+        or spark.conf.get("spark.sql.warehouse.dir")
     )
-    if root is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="cohort-scratch-")
-    return f"{root.rstrip('/')}/{prefix}-{uuid.uuid4().hex}"
+    context = spark.sparkContext
+    folder = f"{root.rstrip('/')}/scratch-{context.applicationId}"
+    path = context._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(context._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return f"{folder}/{prefix}-{uuid.uuid4().hex}"

@@ -7,8 +7,10 @@ import uuid
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cohort_engine.operators import curation
+from cohort_engine.session import tune_session
 from cohort_engine.sources.io import (
     SCHEME,
     drop_table,
@@ -16,6 +18,7 @@ from cohort_engine.sources.io import (
     read_tables,
     register_external,
     text_literal,
+    unparsed_values,
 )
 from cohort_engine.sources.layout import zorder_write
 from cohort_engine.sources.schemas import ENTITIES
@@ -81,6 +84,8 @@ class CohortDataset:
             partitionBy=list(partition_by or []) or None,
             path=self.path(entity),
         )
+        if entity in self._locations():
+            self._record(entity, self.path(entity))
 
     def create_database(self, comment: str = "Curated records of events") -> None:
         self.spark.sql(
@@ -96,12 +101,29 @@ class CohortDataset:
         drop_table(self.spark, self.db, entity)
 
     def register(self, entities: Iterable[str] = ENTITIES) -> None:
-        """Create tables over files that a former ``refresh`` has written."""
+        """Create tables over files that a former ``refresh`` or ``cluster`` has written."""
         self.create_database()
+        moved = self._locations()
         for entity in entities:
-            register_external(
-                self.spark, self.db, entity, self.path(entity), self.fmt
-            )
+            path = moved.get(entity, self.path(entity))
+            register_external(self.spark, self.db, entity, path, self.fmt)
+
+    def _locations(self) -> dict[str, str]:
+        """Where the tables are now, for those that ``cluster`` has moved or ``save`` has
+        brought back; a row was appended for each such change."""
+        table = f"{self.root}/_locations"
+        context = self.spark.sparkContext
+        folder = context._jvm.org.apache.hadoop.fs.Path(table)
+        if not folder.getFileSystem(context._jsc.hadoopConfiguration()).exists(folder):
+            return {}
+        last = F.max_by("path", "moved_at").alias("path")
+        rows = self.spark.read.parquet(table).groupBy("entity").agg(last).collect()
+        return {r.entity: r.path for r in rows}
+
+    def _record(self, entity: str, path: str) -> None:
+        row = self.spark.createDataFrame([(entity, path)], "entity string, path string")
+        row = row.withColumn("moved_at", F.current_timestamp()).coalesce(1)
+        row.write.mode("append").parquet(f"{self.root}/_locations")
 
     def purge_storage(self) -> None:
         """Delete everything below ``root``."""
@@ -117,12 +139,24 @@ class CohortDataset:
         types: Mapping[str, Mapping[str, str]] | None = None,
         infer_schema: bool = False,
         purge: bool = False,
+        strict: bool = False,
     ) -> None:
         """Rebuild all tables from a folder of CSV files.
 
         Each table is overwritten; files of tables that are no longer written are
-        removed only with ``purge``.
+        removed only with ``purge``, which refuses if the CSV files are among them.
+        ``strict`` raises if a value does not parse, before anything is changed.
         """
+        tune_session(self.spark)
+        if purge and _is_below(path, self.root):
+            raise ValueError(f"refusing to delete {self.root!r}, which holds {path!r}")
+        if strict and not infer_schema:
+            lost = unparsed_values(self.spark, path, types).collect()
+            if lost:
+                raise ValueError(
+                    "values that do not parse: "
+                    + ", ".join(f"{r.table}.{r.column} {r['values']}" for r in lost)
+                )
         raw = read_tables(self.spark, path, types, infer_schema)
         self.drop_all_tables()
         if purge:
@@ -140,7 +174,10 @@ class CohortDataset:
 
     def cluster(self, entity: str, columns: Sequence[str], files: int | None = None) -> None:
         """Store an entity clustered by several columns, so that filters on any of
-        them skip files."""
+        them skip files.
+
+        A ``delta`` table is clustered by its own command, which needs that format's
+        package; that branch is not covered by the tests."""
         if self.fmt == "delta":
             by = ", ".join(quoted(c) for c in columns)
             self.spark.sql(f"OPTIMIZE {quoted(self.db)}.{quoted(entity)} ZORDER BY ({by})")
@@ -151,3 +188,10 @@ class CohortDataset:
         zorder_write(self.table(entity), columns, path, files, self.fmt)
         self.drop(entity)
         register_external(self.spark, self.db, entity, path, self.fmt)
+        self._record(entity, path)
+
+
+def _is_below(path: str, root: str) -> bool:
+    """Whether ``path`` is ``root`` or inside it."""
+    path, root = (re.sub(SCHEME, "", p).rstrip("/") + "/" for p in (path, root))
+    return path.startswith(root)

@@ -52,14 +52,15 @@ def read_tables(
 ) -> dict[str, DataFrame]:
     """One DataFrame per CSV table of a folder, columns by header name.
 
-    Declared columns are cast by name, a value that does not parse becomes null, and
-    all others stay text; that keeps leading zeros of codes. ``infer_schema`` lets
-    Spark guess all types instead, at the cost of reading every file once more.
+    Declared columns are cast by name, a value that does not parse becomes null (see
+    ``unparsed_values``), and all others stay text; that keeps leading zeros of codes.
+    ``infer_schema`` lets Spark guess all types instead, at the cost of reading every
+    file once more. Part files of a table must have the same header; reading one with
+    another fails.
     """
     types = RAW_TYPES if types is None else types
     tables = {}
-    for name, location in discover_tables(spark, path).items():
-        df = spark.read.csv(location, header=True, inferSchema=infer_schema)
+    for name, df in _raw_tables(spark, path, infer_schema).items():
         declared = {} if infer_schema else types.get(name, {})
         tables[name] = df.withColumns(
             {c: F.col(c).try_cast(t) for c, t in declared.items() if c in df.columns}
@@ -67,6 +68,46 @@ def read_tables(
     return tables
 
 
+def _raw_tables(spark, path, infer_schema=False):
+    return {
+        name: spark.read.csv(
+            location, header=True, inferSchema=infer_schema, enforceSchema=False
+        )
+        for name, location in discover_tables(spark, path).items()
+    }
+
+
+def unparsed_values(
+    spark: SparkSession, path: str, types: Mapping[str, Mapping[str, str]] | None = None
+) -> DataFrame:
+    """(table, column, values): how many values ``read_tables`` turns into null.
+
+    A row for each declared column that has any; each table is aggregated once.
+    """
+    types = RAW_TYPES if types is None else types
+    counts = []
+    for name, df in _raw_tables(spark, path).items():
+        declared = {c: t for c, t in types.get(name, {}).items() if c in df.columns}
+        if declared:
+            lost = [
+                F.struct(
+                    F.lit(c).alias("column"),
+                    F.count_if(F.col(c).isNotNull() & F.col(c).try_cast(t).isNull()).alias(
+                        "values"
+                    ),
+                )
+                for c, t in declared.items()
+            ]
+            counts.append(
+                df.agg(F.array(*lost).alias("lost"))
+                .select(F.lit(name).alias("table"), F.explode("lost").alias("lost"))
+                .select("table", "lost.*")
+            )
+    if not counts:
+        return spark.createDataFrame([], "table string, column string, values long")
+    return reduce(DataFrame.unionByName, counts).filter(F.col("values") > 0)
+
+
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """(table, rows), counted by one job for all tables."""
     return reduce(

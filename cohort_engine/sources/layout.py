@@ -17,6 +17,7 @@ def zorder(
     files: int | None = None,
     bits: int | None = None,
     sample_rows: int = 20_000,
+    file_bytes: int = 256 << 20,
     seed: int = 17,
 ) -> DataFrame:
     """A stored table with the same rows, range-partitioned and sorted along a Z-curve.
@@ -26,12 +27,19 @@ def zorder(
 
     Every column is cut into 2**bits ranges of about equal row counts; by default
     there are some more cells than files. The cuts come from a sample of about
-    ``sample_rows`` rows, the only data the driver sees; they affect which file a row
-    lands in and nothing else. Runs a count and the sample.
+    ``sample_rows`` rows, or four for each range if these are more, the only data the
+    driver sees; they affect which file a row lands in and nothing else. Runs a count and
+    the sample.
 
-    ``files`` is the number of files to aim at; without it AQE merges small ones.
+    ``files`` is the number of files to aim at. Without it there is one for every
+    ``file_bytes`` of the table; where that is less than the shuffle partitions, AQE
+    merges small ones.
     """
-    bits = bits or _bits(files or _partitions(df), len(columns))
+    needed = files or math.ceil(table_bytes(df) / file_bytes)
+    if files is None and needed > _partitions(df):
+        files = needed
+    bits = bits or bits_for(max(needed, _partitions(df)), len(columns))
+    sample_rows = max(sample_rows, 4 << bits)
     types = {f.name: f.dataType for f in df.schema.fields}
     keys = [sortable(c, types[c]) for c in columns]
     z = z_value(keys, _cuts(df, keys, bits, sample_rows, seed), bits)
@@ -61,9 +69,16 @@ def _partitions(df):
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _bits(files, dimensions):
-    # Few comparisons per row keep the generated code small enough to be compiled.
-    return max(2, min(8, math.ceil(math.log2(max(files, 1)) / dimensions) + 1))
+def table_bytes(df: DataFrame) -> int:
+    """Bytes of the files that ``df`` reads, as the optimizer has them."""
+    statistics = df._jdf.queryExecution().optimizedPlan().stats()
+    return int(str(statistics.sizeInBytes()))
+
+
+def bits_for(files: int, dimensions: int) -> int:
+    """Bits of each column that give some more cells than files."""
+    wanted = math.ceil(math.log2(max(files, 1)) / dimensions) + 1
+    return max(2, min(62 // dimensions, wanted))
 
 
 def _cuts(df, keys: Sequence[Column], bits, sample_rows, seed):

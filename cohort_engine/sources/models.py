@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import SparkSession
@@ -33,17 +33,28 @@ def log_run(
     fmt: str = "parquet",
 ) -> None:
     """Append one row (run_name, params, metrics, model, logged_at) to the run table."""
-    row = [
+    log_runs(spark, path, [(run_name, params, metrics, model)], fmt)
+
+
+def log_runs(
+    spark: SparkSession,
+    path: str,
+    runs: Sequence[tuple[str, Mapping[str, object], Mapping[str, float], str | None]],
+    fmt: str = "parquet",
+) -> None:
+    """Append a row for each (run_name, params, metrics, model), as one file."""
+    rows = [
         (
-            run_name,
+            name,
             {k: str(v) for k, v in params.items()},
             {k: float(v) for k, v in metrics.items()},
             model,
         )
+        for name, params, metrics, model in runs
     ]
     schema = "run_name string, params map<string,string>, metrics map<string,double>, model string"
     (
-        spark.createDataFrame(row, schema)
+        spark.createDataFrame(rows, schema)
         .withColumn("logged_at", F.current_timestamp())
         .coalesce(1)
         .write.save(path, format=fmt, mode="append")

@@ -47,23 +47,74 @@ def test_feature_names():
 
 
 def test_encoder_sizes_and_unknown_values(spark, rows):
-    fitted = ml.encoder(rows, NAMES).fit(rows)
+    fitted = ml.encoder(NAMES).fit(rows)
     known = fitted.transform(rows).select("features").first().features
     assert known.size == 2 + 40 + 30 and known.numNonzeros() == 3
     unknown = spark.createDataFrame([("Z", -1.0, None)], "site string, cost double, code string")
     assert fitted.transform(unknown).first().features.numNonzeros() == 0
 
 
-def test_encoder_bounds_wide_features(rows):
-    stages = ml.encoder(rows, NAMES, max_categories=10, buckets=4, hash_size=16)
+SMALL = {"encodings": {"cost": "ranges", "code": "hashed"}, "buckets": 4, "hash_size": 16}
+
+
+def test_encodings_are_declared(rows):
+    stages = ml.encoder(NAMES, **SMALL)
     size = stages.fit(rows).transform(rows).select("features").first().features.size
     # site exactly, cost in 4 ranges (one more for nan), code hashed
     assert size in (2 + 4 + 16, 2 + 5 + 16, 2 + 6 + 16)
+    with pytest.raises(ValueError, match="unknown encodings"):
+        ml.encoder(NAMES, {"cost": "other"})
+
+
+@pytest.mark.parametrize("n", [1_000, 1_000_000])
+def test_stages_do_not_depend_on_the_size(spark, n):
+    wide = spark.range(n).select(
+        F.col("id").cast("double").alias("COST"), (F.col("id") % 3).cast("string").alias("RACE")
+    )
+    fitted = ml.fit_encoder(wide, ml.encoder(["COST", "RACE"]))
+    assert [type(s).__name__ for s in fitted.stages] == [
+        "StringIndexerModel",
+        "OneHotEncoderModel",
+        "SQLTransformer",
+        "Bucketizer",
+        "OneHotEncoderModel",
+        "VectorAssembler",
+    ]
+
+
+def test_too_many_exact_values_are_an_error(rows, monkeypatch):
+    monkeypatch.setattr(ml, "MAX_VOCABULARY", 10)
+    with pytest.raises(ValueError, match="cost has 40 values"):
+        ml.fit_encoder(rows, ml.encoder(NAMES))
+
+
+def test_encoded_features(rows):
+    out = {r.Enc_Id: r for r in ml.encoded_features(rows, NAMES, ["Enc_Id"]).collect()}
+    order = sorted({str(r.cost) for r in rows.collect()})
+    for r in rows.collect():
+        assert out[r.Enc_Id].site == "AB".index(r.site)
+        assert out[r.Enc_Id].cost == order.index(str(r.cost))
+
+
+def test_folds_are_stratified(rows):
+    counts = ml.stratified_folds(rows, "label", "Enc_Id", 5).groupBy("label", "fold").count()
+    for label in (0, 1):
+        sizes = [r["count"] for r in counts.filter(F.col("label") == label).collect()]
+        assert len(sizes) == 5 and max(sizes) - min(sizes) <= 6
+
+
+def test_one_positive_row(spark):
+    few = spark.range(40).select(
+        F.col("id").cast("string").alias("Enc_Id"),
+        (F.col("id") % 4).cast("string").alias("site"),
+        (F.col("id") == 7).cast("int").alias("label"),
+    )
+    result = ml.tune(few, ["site"], ml.search_space(1), folds=5, parallelism=2)
+    assert result.trials[0]["loss"] == 0
 
 
 def test_missing_and_unseen_values_are_scored(spark, rows, tmp_path):
-    small = {"max_categories": 10, "buckets": 4, "hash_size": 16}
-    model, _ = ml.train(rows, NAMES, ml.search_space(1)[0], folds=1, **small)
+    model, _ = ml.train(rows, NAMES, ml.search_space(1)[0], folds=1, **SMALL)
     models.save_model(model, str(tmp_path), "small")
     unseen = spark.createDataFrame(
         [("A", None, None), (None, 1e9, "zzz"), ("Z", float("nan"), "")],
@@ -124,7 +175,7 @@ def test_tune(spark, rows):
 
 def test_no_rows(rows):
     with pytest.raises(ValueError, match="no training rows"):
-        ml.train(rows.limit(0), NAMES, ml.search_space(1)[0])
+        ml.train(rows.filter(F.lit(False)), NAMES, ml.search_space(1)[0])
 
 
 def test_log_run(spark, tmp_path):

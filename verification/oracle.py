@@ -150,6 +150,31 @@ _BALANCED = {
     " WHERE place <= (SELECT count(*) FROM features WHERE label = 1)",
 }
 _NUMBERED = ", ".join(f"{c}_{i}" for c in ("recent", "comorbidity") for i in range(_N))
+# Folds of the rows with a race: each label is spread by the order of md5.
+_FOLDS = {
+    **_BALANCED,
+    "races": "SELECT Enc_Id, RACE, label, substr(md5(Enc_Id), 1, 4) AS part FROM balanced"
+    " WHERE RACE IS NOT NULL AND label IS NOT NULL",
+    "parts": "SELECT label, part, count(*) AS n FROM races GROUP BY label, part",
+    "numbered": """
+        SELECT label, part, CAST(floor(
+                 coalesce(sum(n) OVER (PARTITION BY label ORDER BY part
+                                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+                 * 5 / sum(n) OVER (PARTITION BY label)) AS INTEGER) AS fold
+        FROM parts""",
+    "folded": "SELECT Enc_Id, RACE, label, fold FROM races JOIN numbered USING (label, part)",
+    # The others' label rate of a race is the risk that their model gives it.
+    "guessed": """
+        SELECT f.fold, f.label,
+               (SELECT avg(o.label) FROM folded o
+                WHERE o.RACE = f.RACE AND o.fold <> f.fold) > 0.5 AS guess
+        FROM folded f""",
+    "judged": """
+        SELECT fold, 2.0 * count(*) FILTER (WHERE label = 1 AND guess)
+                     / nullif(count(*) FILTER (WHERE label = 1)
+                              + count(*) FILTER (WHERE guess), 0) AS f1
+        FROM guessed GROUP BY fold""",
+}
 _MODEL_COLUMNS = (
     f"ENCOUNTERCLASS, COST, PROVIDER_ZIP, START_YEAR, RACE, GENDER, ZIP, patient_age, {_NUMBERED}"
 )
@@ -160,37 +185,45 @@ def _mentions(condition: str) -> str:
     return f"lower(REASONDESCRIPTION) LIKE '%{condition}%'"
 
 
-_PAIRS = {
-    "pairs": f"""
-        SELECT PATIENT, CASE WHEN a THEN '{INDEX_CONDITION}' ELSE 'none' END AS first,
-               CASE WHEN b THEN '{SECOND_CONDITION}' ELSE 'none' END AS second
-        FROM (SELECT PATIENT,
-                     PATIENT IN (SELECT PATIENT FROM pe WHERE {_mentions(INDEX_CONDITION)}) AS a,
-                     PATIENT IN (SELECT PATIENT FROM pe WHERE {_mentions(SECOND_CONDITION)}) AS b
-              FROM patients)""",
-    "grid": f"""
-        SELECT a.v AS first, b.v AS second
-        FROM (VALUES ('{INDEX_CONDITION}'), ('none')) a(v),
-             (VALUES ('{SECOND_CONDITION}'), ('none')) b(v)""",
-    "cells": """
-        SELECT grid.first, grid.second, count(pairs.PATIENT) AS patients
-        FROM grid LEFT JOIN pairs ON grid.first = pairs.first AND grid.second = pairs.second
-        GROUP BY grid.first, grid.second""",
-}
+def _pairs(second: str) -> dict[str, str]:
+    return {
+        "pairs": f"""
+            SELECT PATIENT, CASE WHEN a THEN '{INDEX_CONDITION}' ELSE 'none' END AS first,
+                   CASE WHEN b THEN '{second}' ELSE 'none' END AS second
+            FROM (SELECT PATIENT,
+                         PATIENT IN (SELECT PATIENT FROM pe WHERE {_mentions(INDEX_CONDITION)}) AS a,
+                         PATIENT IN (SELECT PATIENT FROM pe WHERE {_mentions(second)}) AS b
+                  FROM patients)""",
+        "grid": f"""
+            SELECT a.v AS first, b.v AS second
+            FROM (VALUES ('{INDEX_CONDITION}'), ('none')) a(v),
+                 (VALUES ('{second}'), ('none')) b(v)""",
+        "cells": """
+            SELECT grid.first, grid.second, count(pairs.PATIENT) AS patients
+            FROM grid LEFT JOIN pairs ON grid.first = pairs.first AND grid.second = pairs.second
+            GROUP BY grid.first, grid.second""",
+    }
+
 
+_PAIRS = _pairs(SECOND_CONDITION)
 
-def _chi_square(correction: float) -> str:
+
+def _chi_square(
+    correction: float,
+    pairs: dict[str, str] = _PAIRS,
+    shown: str = "round(statistic, 8) AS statistic, 1 AS df, round(p, 8) AS p_value",
+) -> str:
     # Sum over the four cells, as the test is usually written down. The p-value is
     # 1 - erf(z), z = sqrt(statistic / 2), by the series of erf in positive terms.
     return _with(
-        """
-        SELECT round(statistic, 8) AS statistic, 1 AS df, round(p, 8) AS p_value,
+        f"""
+        SELECT {shown},
                CASE WHEN p < 1e-10 THEN 'highly significant'
                     WHEN p < 0.05 THEN 'significant' ELSE 'not significant' END AS verdict
         FROM tested""",
         "pe",
         extra={
-            **_PAIRS,
+            **pairs,
             "expected": """
                 SELECT CAST(patients AS DOUBLE) AS o,
                        sum(patients) OVER (PARTITION BY first)
@@ -230,6 +263,7 @@ ORACLE = {
                 ("organizations", "organizations"),
                 ("patient_encounters", "pe"),
                 ("patients", "patients"),
+                ("providers", "supplier"),
             )
         ),
         "pe",
@@ -333,4 +367,39 @@ ORACLE = {
     "chi_square_uncorrected": _chi_square(0.0),
     "zorder_write": _with(f"SELECT {_WIDE} FROM pe", "pe"),
     "zorder_patients": _with(f"SELECT PATIENT, {_PATIENT} FROM patients", "patients"),
+    "encoded_features": _with(
+        "SELECT Enc_Id, "
+        + ", ".join(
+            f"CAST(dense_rank() OVER (ORDER BY CAST({c.strip()} AS VARCHAR)) - 1 AS INTEGER)"
+            f" AS {c.strip()}"
+            for c in _MODEL_COLUMNS.split(",")
+        )
+        + f" FROM balanced WHERE {_NOT_NULL}",
+        "qualified",
+        "comorbid",
+        extra=_BALANCED,
+    ),
+    "fold_counts": _with(
+        'SELECT label, fold, count(*) AS "count" FROM folded GROUP BY label, fold',
+        "qualified",
+        "comorbid",
+        extra=_FOLDS,
+    ),
+    "risk_of_group": _with(
+        "SELECT Enc_Id, RACE, round(avg(label) OVER (PARTITION BY RACE), 3) AS risk_score"
+        " FROM races",
+        "qualified",
+        "comorbid",
+        extra=_FOLDS,
+    ),
+    "tune_of_group": _with(
+        "SELECT CAST(trial AS INTEGER) AS trial, round(-min(coalesce(f1, 0)), 8) AS loss"
+        " FROM judged, range(2) AS trials(trial) GROUP BY trial",
+        "qualified",
+        "comorbid",
+        extra=_FOLDS,
+    ),
+    "chi_square_strong": _chi_square(
+        0.5, _pairs(INDEX_CONDITION.split()[0]), "round(statistic, 6) AS statistic, 1 AS df"
+    ),
 }

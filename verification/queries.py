@@ -39,7 +39,7 @@ def _stored(spark, df, name):
 
 
 def _encounters(spark, sf_dir):
-    wide = binding.patient_encounters(spark, sf_dir, spread=True)
+    wide = binding.patient_encounters(spark, sf_dir)
     return _stored(spark, wide, "patient_encounters")
 
 
@@ -70,7 +70,7 @@ def _clustered(spark, df, columns):
 
 
 def curate_encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _shown(binding.encounters(spark, sf_dir, spread=True))
+    return _shown(binding.encounters(spark, sf_dir))
 
 
 def curate_patients(spark, sf_dir):
@@ -91,7 +91,7 @@ def deid_patients(spark, sf_dir):
 
 
 def patient_encounters(spark, sf_dir):
-    return _shown(binding.patient_encounters(spark, sf_dir, spread=True))
+    return _shown(binding.patient_encounters(spark, sf_dir))
 
 
 def table_row_counts(spark, sf_dir):
@@ -101,6 +101,7 @@ def table_row_counts(spark, sf_dir):
             "organizations": binding.organizations(spark, sf_dir),
             "patient_encounters": binding.patient_encounters(spark, sf_dir),
             "patients": binding.patients(spark, sf_dir),
+            "providers": curate_providers(spark, sf_dir),
         }
     )
 
@@ -141,8 +142,7 @@ def non_cases(spark, sf_dir):
 
 
 def controls(spark, sf_dir):
-    encounters = binding.patient_encounters(spark, sf_dir)
-    return cohorts.controls(encounters, cohorts.cases(encounters, INDEX_CONDITION))
+    return cohorts.controls(binding.patient_encounters(spark, sf_dir), INDEX_CONDITION)
 
 
 def case_control(spark, sf_dir):
@@ -150,7 +150,7 @@ def case_control(spark, sf_dir):
 
 
 def qualified_encounters(spark, sf_dir):
-    encounters = binding.patient_encounters(spark, sf_dir, spread=True)
+    encounters = binding.patient_encounters(spark, sf_dir)
     return _shown(
         cohorts.qualified_encounters(
             encounters, cohorts.case_control(encounters, INDEX_CONDITION)
@@ -215,7 +215,7 @@ def training_set(spark, sf_dir):
 
 
 def first_encounters_by_hash(spark, sf_dir):
-    encounters = binding.patient_encounters(spark, sf_dir, spread=True)
+    encounters = binding.patient_encounters(spark, sf_dir)
     rows = take_by_hash(encounters, "Enc_Id", 100)
     return _shown(rows.select("Enc_Id", "PATIENT", "START_TIME"))
 
@@ -254,7 +254,7 @@ def chi_square_uncorrected(spark, sf_dir):
 def zorder_write(spark, sf_dir):
     return _clustered(
         spark,
-        binding.patient_encounters(spark, sf_dir, spread=True),
+        binding.patient_encounters(spark, sf_dir),
         ["REASONDESCRIPTION", "START_TIME", "ZIP", "PATIENT"],
     )
 
@@ -269,7 +269,7 @@ def risk_scores(spark, sf_dir):
     stored = _stored_features(spark, sf_dir)
     names, rows = _training_rows(spark, stored)
     rows = _stored(spark, rows, "training_set")
-    model, _ = ml.train(rows, names, ml.search_space(1)[0], folds=1)
+    model, _ = ml.train(rows, names, ml.search_space(1)[0])
     root = scratch_dir(spark, "models")
     models.save_model(model, root, CONFIG.model_name)
     return _shown(ml.score(models.load_model(root, CONFIG.model_name), stored))
@@ -278,7 +278,53 @@ def risk_scores(spark, sf_dir):
 def tune_results(spark, sf_dir):
     names, rows = _training_rows(spark, _stored_features(spark, sf_dir))
     rows = _stored(spark, rows, "training_set")
-    return ml.tune(rows, names, ml.search_space(4), folds=5).to_frame(spark)
+    return ml.tune(rows, names).to_frame(spark)
+
+
+# Almost no penalty: with one categorical feature the fitted risk is the label rate.
+_FREE = [{"tol": -14.0, "C": 25.0, "l1_ratio": -25.0}, {"tol": -14.0, "C": 20.0, "l1_ratio": -20.0}]
+
+
+def _race_rows(spark, sf_dir):
+    balanced = features.balance(_stored_features(spark, sf_dir))
+    return _stored(spark, ml.training_set(balanced, ["RACE"], keep=["Enc_Id"]), "training_set")
+
+
+def encoded_features(spark, sf_dir):
+    names, rows = _training_rows(spark, _stored_features(spark, sf_dir))
+    return ml.encoded_features(rows, names, ["Enc_Id"])
+
+
+def fold_counts(spark, sf_dir):
+    split = ml.stratified_folds(_race_rows(spark, sf_dir), "label", "Enc_Id", 5)
+    return split.groupBy("label", "fold").agg(F.count(F.lit(1)).alias("count"))
+
+
+def risk_of_group(spark, sf_dir):
+    rows = _race_rows(spark, sf_dir)
+    model, _ = ml.train(rows, ["RACE"], _FREE[0])
+    risk = ml.score(model, rows, keep=["Enc_Id", "RACE"])
+    return risk.withColumn("risk_score", F.round("risk_score", 3))
+
+
+def tune_of_group(spark, sf_dir):
+    tuned = ml.tune(_race_rows(spark, sf_dir), ["RACE"], _FREE)
+    return tuned.to_frame(spark).select("trial", F.round("loss", 8).alias("loss"))
+
+
+def chi_square_strong(spark, sf_dir):
+    """Of two conditions of which one is part of the other; p is too small to compare."""
+    return (
+        dashboard.association(
+            binding.patient_encounters(spark, sf_dir),
+            binding.patients(spark, sf_dir),
+            INDEX_CONDITION,
+            INDEX_CONDITION.split()[0],
+            True,
+        )
+        .withColumn("statistic", F.round("statistic", 6))
+        .drop("p_value")
+    )
 
 
 _QUERIES = (
@@ -319,6 +365,11 @@ _QUERIES = (
     zorder_patients,
     risk_scores,
     tune_results,
+    encoded_features,
+    fold_counts,
+    risk_of_group,
+    tune_of_group,
+    chi_square_strong,
 )
 
 
