@@ -71,3 +71,32 @@ def test_cluster_keeps_rows(dataset, csv_folder):
     assert sorted(map(str, dataset.patients.collect())) == before
     dataset.patients = dataset.providers
     assert dataset.patients.count() == 1
+
+
+def test_register_finds_the_clustered_files(dataset, csv_folder, spark):
+    dataset.refresh(csv_folder)
+    dataset.cluster("patients", ["ZIP", "RACE"], files=2)
+    files = dataset.patients.inputFiles()
+    dataset.drop_all_tables()
+    dataset.register()
+    assert dataset.patients.inputFiles() == files and "clustered" in files[0]
+    dataset.refresh(csv_folder)
+    dataset.drop_all_tables()
+    dataset.register()
+    assert "clustered" not in dataset.patients.inputFiles()[0]
+
+
+def test_purge_refuses_to_delete_its_input(spark, dataset, csv_folder):
+    import shutil
+
+    inside = f"{dataset.root}/raw"
+    shutil.copytree(csv_folder, inside)
+    with pytest.raises(ValueError, match="refusing"):
+        dataset.refresh(inside, purge=True)
+    dataset.refresh(inside)
+    assert dataset.encounters.count() == 4
+
+
+def test_strict_refresh_names_what_does_not_parse(dataset, csv_folder):
+    with pytest.raises(ValueError, match="encounters.COST 1.*patients.BIRTHDATE 1"):
+        dataset.refresh(csv_folder, strict=True)

@@ -80,3 +80,17 @@ def test_register_external_and_drop(spark, tmp_path):
 def test_literals():
     assert io.quoted("a`b") == "`a``b`"
     assert io.text_literal("it's \\ here") == "'it\\'s \\\\ here'"
+
+
+def test_part_files_of_another_header_are_refused(spark, tmp_path):
+    folder = tmp_path / "raw" / "t.csv"
+    folder.mkdir(parents=True)
+    (folder / "part-0.csv").write_text("A,B\na0,b0\n")
+    (folder / "part-1.csv").write_text("B,A\nb1,a1\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        io.read_tables(spark, str(tmp_path / "raw"))["t"].collect()
+
+
+def test_unparsed_values_are_counted(spark, csv_folder):
+    lost = {(r.table, r.column): r["values"] for r in io.unparsed_values(spark, csv_folder).collect()}
+    assert lost == {("encounters", "COST"): 1, ("patients", "BIRTHDATE"): 1}

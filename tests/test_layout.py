@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from cohort_engine.functions.zcurve import cut_points, z_value
 from cohort_engine.sources.io import load, save
-from cohort_engine.sources.layout import zorder_write
+from cohort_engine.sources.layout import bits_for, table_bytes, zorder, zorder_write
 
 
 @pytest.fixture
@@ -86,3 +86,37 @@ def test_z_value_interleaves(spark):
     assert sorted(got.values()) == list(range(16))
     with pytest.raises(ValueError):
         z_value([F.col("x")] * 8, [[]] * 8, 8)
+
+
+@pytest.mark.parametrize("dimensions", [1, 2, 4])
+def test_more_cells_than_files_at_any_number(dimensions):
+    for files in (10, 1_000, 800_000, 10**8):
+        assert files < 2 ** (bits_for(files, dimensions) * dimensions) <= 2**62
+
+
+def test_searched_ranks_equal_the_tree(spark, monkeypatch):
+    from cohort_engine.functions import zcurve
+
+    df = spark.range(500).select(
+        F.when(F.col("id") % 7 > 0, F.abs(F.hash("id")) % 90).alias("n"),
+        F.concat(F.lit("é'\""), F.col("id") % 40).alias("s"),
+        (F.col("id") / 3).alias("x"),
+    )
+    rows = df.collect()
+    columns = ["n", "s", "x"]
+    cuts = [cut_points([r[c] for r in rows], 4) for c in columns]
+
+    def values():
+        z = z_value([F.col(c) for c in columns], cuts, 4)
+        return [r.z for r in df.select(z.alias("z")).collect()]
+
+    tree = values()
+    monkeypatch.setattr(zcurve, "TREE_BITS", 0)
+    assert values() == tree and len(set(tree)) > 100
+
+
+def test_files_by_bytes(spark, stored):
+    size = table_bytes(stored)
+    assert size > 10_000
+    out = zorder(stored, ["a", "b"], file_bytes=size // 20)
+    assert out.rdd.getNumPartitions() >= 20

@@ -105,3 +105,17 @@ def test_hot_patient_gives_no_hot_window(spark, wide):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     (by_patient,) = [i for i, line in enumerate(lines) if "Window [" in line and "PATIENT" in line]
     assert "Aggregate [PATIENT" in lines[by_patient + 1]
+
+
+def test_controls_by_condition_read_once_as_case_control(wide):
+    one = physical(cohorts.controls(wide, "reason 3")).count("FileScan parquet")
+    both = physical(cohorts.case_control(wide, "reason 3")).count("FileScan parquet")
+    old = physical(cohorts.controls(wide, cohorts.cases(wide, "reason 3")))
+    assert one <= both < old.count("FileScan parquet")
+
+
+def test_features_read_the_wide_table_twice(spark, wide, tmp_path):
+    root = wide.inputFiles()[0].rsplit("/", 1)[0]
+    built = risk.encounter_features(wide, RiskConfig("reason 3", 4), storage=str(tmp_path / "s"))
+    assert root not in "".join(built.inputFiles())
+    assert (tmp_path / "s" / "qualified_encounters").exists()

@@ -94,3 +94,39 @@ def test_config_is_checked():
     for wrong in ({"condition": ""}, {"num_conditions": 0}, {"num_days": 0}, {"num_days_future": -1}):
         with pytest.raises(ValueError):
             RiskConfig(**wrong)
+
+
+def test_every_trial_is_logged(dataset, spark, study):
+    runs = {r.run_name: r for r in spark.read.parquet(dataset.path("runs")).collect()}
+    assert {"trial-0", "trial-1", "tuning", "training"} <= set(runs)
+    losses = [runs[f"trial-{i}"].metrics["loss"] for i in range(2)]
+    assert min(losses) == study.loss == runs["tuning"].metrics["loss"]
+    assert "regParam" in runs["trial-0"].params
+    assert {r.params["run_id"] for r in runs.values()} == {study.run_id}
+
+
+def test_names_with_wildcards_flag_their_own_text(spark):
+    rows = [
+        ("e1", "p1", "sick a_b"),
+        ("e2", "p1", "sick axb"),
+        ("e3", "p1", "50% \\ x"),
+        ("e4", "p1", "50 then \\ x"),
+        ("e5", "p2", "well"),
+    ]
+    df = spark.createDataFrame(rows, "Enc_Id string, PATIENT string, REASONDESCRIPTION string")
+    start, born = dt.datetime(2020, 1, 1), dt.date(1980, 1, 1)
+    df = df.selectExpr(
+        "*",
+        f"TIMESTAMP '{start}' AS START_TIME",
+        f"DATE '{born}' AS BIRTHDATE",
+        "'visit' AS DESCRIPTION",
+        "1 AS ZIP",
+    )
+    config = RiskConfig("sick", num_conditions=10)
+    names = risk.comorbid_names(df, config)
+    built = risk.encounter_features(df, config).collect()
+    texts = {r[0]: r[2] for r in rows}
+    assert len(names) == 4 and built
+    for r in built:
+        for i, name in enumerate(names):
+            assert r[f"comorbidity_{i}"] == int(name in texts[r.Enc_Id])

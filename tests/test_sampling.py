@@ -54,3 +54,27 @@ def test_rows_with_equal_keys_stay_together(spark):
 
 def test_empty_table(spark):
     assert take_by_hash(spark.range(0), "id", 5).count() == 0
+
+
+def test_windows_see_few_rows(spark, monkeypatch):
+    """The cascade ranks what is left of the last bucket, however many rows there are."""
+    from cohort_engine.operators import sampling
+
+    monkeypatch.setattr(sampling, "DIGITS", 1)
+    df = spark.range(5_000)
+    seen = []
+    over = sampling.F.sum
+
+    def counted(column):
+        seen.append(column)
+        return over(column)
+
+    monkeypatch.setattr(sampling.F, "sum", counted)
+    expected = sorted(range(5_000), key=lambda i: md5(str(i)))[:1_234]
+    got = take_by_hash(df, "id", 1_234)
+    assert sorted(r.id for r in got.collect()) == sorted(expected)
+    # A window for each histogram of 16 buckets, one for about 5,000 / 16 ** 2 hashes.
+    assert len(seen) == sampling.LEVELS + 1
+    left = [md5(str(i)) for i in range(5_000)]
+    edge = sorted(left)[1_233][:2]
+    assert sum(h.startswith(edge) for h in left) < 60

@@ -34,3 +34,17 @@ def test_quote_in_text(spark):
 def test_null_stays_null(spark):
     df = spark.createDataFrame([(None,)], "t string")
     assert df.select(matches(F.col("t"), "x").alias("m")).first().m is None
+
+
+@pytest.mark.parametrize("text", ["a\\b", "ends\\", "50% x", "a_b"])
+def test_names_from_data_are_plain_text(spark, text):
+    rows = [(text,), ("axb",), ("50 then x",), (f"about {text}",)]
+    df = spark.createDataFrame(rows, "t string")
+    got = [r.t for r in df.filter(contains_text("t", text, literal=True)).collect()]
+    assert got == [text, f"about {text}"]
+
+
+def test_backslash_is_a_plain_character(spark):
+    df = spark.createDataFrame([("a\\b",), ("ab",), ("c\\",)], "t string")
+    assert [r.t for r in df.filter(contains_text("t", "a\\b")).collect()] == ["a\\b"]
+    assert [r.t for r in df.filter(contains_text("t", "c\\")).collect()] == ["c\\"]
