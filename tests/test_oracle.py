@@ -6,6 +6,8 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from verification.oracle import ORACLE
+from verification.queries import QUERIES
 
 duckdb = pytest.importorskip("duckdb")
 
@@ -27,11 +29,11 @@ def ordered(rows):
     return sorted(map(tuple, rows), key=lambda r: tuple((v is None, str(v)) for v in r))
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_sql(spark, duck, name):
     df = entry.queries()[name](spark, FOLDER)
     columns = sorted(df.columns)
-    sql = entry.oracle_sql()[name]
+    sql = ORACLE[name]
     expected = duck.sql(f"SELECT {', '.join(f'"{c}"' for c in columns)} FROM ({sql}) AS q")
     assert sorted(duck.sql(sql).columns) == columns
     rows = ordered(expected.fetchall())
@@ -41,7 +43,8 @@ def test_query_equals_sql(spark, duck, name):
 
 def test_each_sql_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"risk_scores", "tune_results"}
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
+    assert set(QUERIES) - set(ORACLE) == {"risk_scores", "tune_results"}
 
 
 def test_known_answers(spark):
