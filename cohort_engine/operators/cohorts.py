@@ -47,13 +47,17 @@ def controls(
     The choice is by md5 of the patient id: random-like, yet the same in each run. All
     patients without the condition are returned when there are fewer.
     """
-    if isinstance(cases, str):
-        status = patient_status(encounters, cases, literal)
-        ones, others = status.filter("is_positive"), status.filter("NOT is_positive")
-    else:
-        ones, others = cases, non_cases(encounters, cases).withColumn("is_positive", F.lit(False))
-    wanted = row_count(ones) if n is None else F.lit(n)
-    return take_by_hash(others, "PATIENT", wanted, seed)
+    if not isinstance(cases, str):
+        others = non_cases(encounters, cases).withColumn("is_positive", F.lit(False))
+        wanted = row_count(cases) if n is None else F.lit(n)
+        return take_by_hash(others, "PATIENT", wanted, seed)
+    status = patient_status(encounters, cases, literal)
+    wanted = row_count(status.filter("is_positive")) if n is None else F.lit(n)
+    cutoff = hash_cutoff(status.filter(~F.col("is_positive")), "PATIENT", wanted, seed)
+    # As one comparison with the status in it, which can't be moved below the aggregation:
+    # its result then serves the cutoff as well. "h" is above all cutoffs.
+    place = F.when(F.col("is_positive"), F.lit("h")).otherwise(hash_order("PATIENT", seed))
+    return status.filter(place <= cutoff)
 
 
 def case_control(
