@@ -125,6 +125,7 @@ def remove_passages(
     length: int = LENGTH,
     gram: int = GRAM,
     shard: int = SHARD,
+    hot_blocks: int = R.HOT_BLOCKS,
 ) -> DataFrame:
     """Remove each word in a run of ``length`` words that also starts anywhere else.
 
@@ -143,6 +144,9 @@ def remove_passages(
        meet. They are cut into reference shards of ``shard`` passages. The suffix
        automaton of each is built, all passages of the anchor are streamed through it,
        and windows that occur twice or more are reported.
+    4. The windows of an anchor that is in more than ``hot_blocks`` blocks are told apart
+       by 128 bits of hashes instead, and dealt by those, the first of each block: no
+       anchor, however frequent, gathers the passages around it in one task.
 
     The automata are not broadcast to all tasks: their number grows with the corpus, and
     each document would have to be streamed through each. A passage meets those only that
@@ -157,38 +161,48 @@ def remove_passages(
     owned = stored(R.owners(blocks), "owners")
     windows = R.Windows(_words, length, gram)
     answers = stored(
-        B.to_blocks(R.anchor_states(blocks, windows, buckets), "answers"), "anchor-states"
+        B.to_blocks(R.anchor_states(blocks, windows, buckets, hot_blocks), "answers"), "anchor-states"
     )
 
-    def differing(block, rest):
+    def analysed(block, rest):
+        """Runs and their states, and the windows of hot anchors, of texts that go on."""
         runs = windows.of(block, rest["marks"])
-        return runs, R.run_states(runs, rest["answers"] or [], buckets)
+        state = R.run_states(runs, rest["answers"] or [], buckets)
+        first, copies = R.owner_arrays(rest["owners"] or [], len(block.ids))
+        own = first[runs.text]
+        runs, state = runs.take(own), state[own]
+        symbols, starts, _ = _words(block)
+        hot = state == R.HOT
+        known = R.known_runs(block, symbols, runs.take(hot), state[hot], length)
+        return runs, state, known, symbols, starts, copies
 
     def asked(batches):
         for batch in batches:
             for block, rest in B.unpack(batch):
-                runs, state = differing(block, rest)
-                first, _ = R.owner_arrays(rest["owners"] or [], len(block.ids))
-                runs = runs.take((state == R.MIXED) & first[runs.text])
-                order, cuts = B.split(runs.gram, buckets)
-                runs = runs.take(order)
-                symbols, starts, _ = _words(block)
+                runs, state, known, symbols, starts, _ = analysed(block, rest)
+                runs = runs.take(state == R.MIXED)
+                sent = np.flatnonzero(known.first)
+                keys = np.concatenate((known.key[sent], runs.gram))
+                other = np.concatenate((known.other[sent], np.zeros_like(runs.gram)))
+                text = np.concatenate((known.text[sent], runs.text))
+                low = np.concatenate((known.at[sent], runs.low))
+                size = np.concatenate(
+                    (np.zeros(len(sent), np.int64), runs.high + length - runs.low)
+                )
+                order, cuts = B.split(keys, buckets)
                 for bucket in np.flatnonzero(np.diff(cuts)):
-                    part = slice(cuts[bucket], cuts[bucket + 1])
-                    low, end = runs.low[part], runs.high[part] + length
-                    text = runs.text[part]
+                    part = order[cuts[bucket] : cuts[bucket + 1]]
+                    passages = zip(low[part].tolist(), size[part].tolist(), strict=True)
                     yield pa.RecordBatch.from_pydict(
                         {
                             "bucket": pa.array([bucket], pa.int32()),
-                            "grams": [runs.gram[part].tobytes()],
-                            "keys": [block.keys[text].tobytes()],
-                            "low": [(low - starts[text]).tobytes()],
-                            "size": [(end - low).tobytes()],
+                            "grams": [keys[part].tobytes()],
+                            "other": [other[part].tobytes()],
+                            "keys": [block.keys[text[part]].tobytes()],
+                            "low": [(low[part] - starts[text[part]]).tobytes()],
+                            "size": [size[part].tobytes()],
                             "symbols": [
-                                b"".join(
-                                    symbols[a:b].tobytes()
-                                    for a, b in zip(low.tolist(), end.tolist(), strict=True)
-                                )
+                                b"".join(symbols[a : a + n].tobytes() for a, n in passages)
                             ],
                         }
                     )
@@ -197,7 +211,9 @@ def remove_passages(
         parts = [row for batch in batches for row in batch.to_pylist()]
         if not parts:
             return
-        grams = np.frombuffer(b"".join(p["grams"] for p in parts), np.uint64)
+        grams, other = (
+            np.frombuffer(b"".join(p[n] for p in parts), np.uint64) for n in ("grams", "other")
+        )
         keys, low, size = (
             np.frombuffer(b"".join(p[n] for p in parts), np.int64) for n in ("keys", "low", "size")
         )
@@ -205,9 +221,16 @@ def remove_passages(
         del parts
         end = 8 * np.cumsum(size)
         begin = end - 8 * size
-        order = np.argsort(grams, kind="stable")
-        cuts = np.flatnonzero(np.append(True, grams[order[1:]] != grams[order[:-1]]))
         which, lows, highs = [], [], []
+        order = np.lexsort((other, grams))
+        hot = order[size[order] == 0]
+        if len(hot):
+            same = (grams[hot[1:]] == grams[hot[:-1]]) & (other[hot[1:]] == other[hot[:-1]])
+            found = hot[np.append(False, same) | np.append(same, False)]
+            which, lows = found.tolist(), low[found].tolist()
+            highs = (low[found] + length).tolist()
+        order = order[size[order] > 0]
+        cuts = np.flatnonzero(np.append(True, grams[order[1:]] != grams[order[:-1]]))
         for a, b in zip(cuts, [*cuts[1:], len(order)], strict=True):
             if b - a < 2:
                 continue
@@ -228,7 +251,8 @@ def remove_passages(
         .join(owned, "block")
         .mapInArrow(
             asked,
-            "bucket int, grams binary, keys binary, low binary, size binary, symbols binary",
+            "bucket int, grams binary, other binary, keys binary, low binary, size binary,"
+            " symbols binary",
         ),
         buckets,
     ).mapInArrow(resolved, R.INTERVALS)
@@ -237,15 +261,19 @@ def remove_passages(
     def cut(batches):
         for batch in batches:
             for block, rest in B.unpack(batch):
-                runs, state = differing(block, rest)
+                runs, state, known, _, _, copies = analysed(block, rest)
                 runs = runs.take(state == R.SAME)
-                _, copies = R.owner_arrays(rest["owners"] or [], len(block.ids))
+                # Equal windows of hot anchors that are in the block twice.
+                twice = np.flatnonzero(~known.alone)
                 first, end, number = word_spans(block.data, block.starts, block.sizes)
                 begins = np.cumsum(number) - number
                 rows, lows, highs = R.intervals_of(rest["removed"] or [])
-                rows = np.concatenate((rows, runs.text))
-                lows = np.concatenate((lows, runs.low - begins[runs.text]))
-                highs = np.concatenate((highs, runs.high - begins[runs.text] + length))
+                text = np.concatenate((runs.text, known.text[twice]))
+                low = np.concatenate((runs.low, known.at[twice]))
+                high = np.concatenate((runs.high, known.at[twice]))
+                rows = np.concatenate((rows, text))
+                lows = np.concatenate((lows, low - begins[text]))
+                highs = np.concatenate((highs, high - begins[text] + length))
                 order = np.argsort(rows, kind="stable")
                 rows, lows, highs = rows[order], lows[order], highs[order]
                 bounds = np.searchsorted(rows, np.arange(len(block.ids) + 1))
@@ -255,14 +283,12 @@ def remove_passages(
                     low, high = covered(lows[part], highs[part])
                     if copies[i] > 1 and words >= length:
                         low, high = np.array([0]), np.array([words])
-                    keep = np.ones(words, bool)
-                    for a, b in zip(low.tolist(), high.tolist(), strict=True):
-                        keep[a:b] = False
-                    places = np.flatnonzero(keep) + begins[i]
-                    kept = [
-                        block.data[a:b]
-                        for a, b in zip(first[places].tolist(), end[places].tolist(), strict=True)
-                    ]
+                    kept, at = [], 0
+                    for a, b in [*zip(low.tolist(), high.tolist(), strict=True), (words, words)]:
+                        if at < a:
+                            stretch = slice(first[begins[i] + at], end[begins[i] + a - 1])
+                            kept += block.data[stretch].split()
+                        at = b
                     out["id"].append(None if block.ids[i] == B.NULL_ID else int(block.ids[i]))
                     out["n_words"].append(words)
                     out["n_removed"].append(words - len(kept))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -10,11 +11,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohort_engine.llm import blocks as B
-from cohort_engine.llm.anchors import Runs, runs
+from cohort_engine.llm.anchors import Runs, mixed, runs
 
 # What is known of an anchor: it occurs once; more often, always amid the same symbols;
-# or more often, amid different ones.
-SINGLE, SAME, MIXED = 0, 1, 2
+# more often, amid different ones; or so, in very many blocks.
+SINGLE, SAME, MIXED, HOT = 0, 1, 2, 3
+
+# An anchor in more blocks than this is hot. What surrounds it is not gathered in one
+# task: its windows are told apart by hashes, and dealt by those.
+HOT_BLOCKS = 1_000
 
 # symbols (uint64), start and number of symbols of each text of a block
 Symbols = Callable[[B.Block], tuple[np.ndarray, np.ndarray, np.ndarray]]
@@ -53,10 +58,13 @@ def together(df: DataFrame, buckets: int) -> DataFrame:
     return df.repartitionById(buckets, F.col("bucket"))
 
 
-def anchor_states(blocks: DataFrame, windows: Windows, buckets: int) -> DataFrame:
+def anchor_states(
+    blocks: DataFrame, windows: Windows, buckets: int, hot_blocks: int = HOT_BLOCKS
+) -> DataFrame:
     """(block, bucket, states): a byte for each distinct anchor a block sent to a bucket.
 
-    A block sends each of its distinct anchors once, however often it occurs there.
+    A block sends each of its distinct anchors once, however often it occurs there. An
+    answer thus gathers a few bytes for each block at most.
     """
 
     def sent(batches):
@@ -92,6 +100,7 @@ def anchor_states(blocks: DataFrame, windows: Windows, buckets: int) -> DataFram
         )
         state = np.maximum.reduceat(states[order], begin)
         state = np.where(differ, MIXED, np.where(sizes > 1, np.maximum(state, SAME), state))
+        state = np.where((state == MIXED) & (sizes > hot_blocks), HOT, state)
         answer = np.empty(len(grams), np.uint8)
         answer[order] = np.repeat(state, sizes)
         at = 0
@@ -125,6 +134,62 @@ def run_states(found: Runs, answers: list[dict], buckets: int) -> np.ndarray:
     return state[np.searchsorted(grams, found.gram)]
 
 
+def window_keys(
+    symbols: np.ndarray, places: np.ndarray, window: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Two independent 64-bit hashes of the windows that start at the places."""
+    one = np.zeros(len(places), np.uint64)
+    two = np.zeros(len(places), np.uint64)
+    for k in range(window):
+        symbol = symbols[places + k]
+        one = one * np.uint64(0xD1342543DE82EF95) + symbol
+        two = two * np.uint64(0xAF251AF3B0F025B5) + mixed(symbol)
+    return mixed(one), mixed(two)
+
+
+@dataclass
+class Known:
+    """Runs of equal windows, told apart by two hashes, in the order of texts.
+
+    The run of the anchor at ``at`` starts ``before`` to ``after`` symbols before it.
+    ``first`` is set for the first of equal runs of the block.
+    """
+
+    key: np.ndarray
+    other: np.ndarray
+    text: np.ndarray
+    at: np.ndarray
+    before: np.ndarray
+    after: np.ndarray
+    first: np.ndarray
+    alone: np.ndarray
+
+
+def known_runs(
+    block: B.Block, symbols: np.ndarray, found: Runs, state: np.ndarray, window: int
+) -> Known:
+    """Runs around anchors that are the same everywhere, and all windows of hot anchors."""
+    same, hot = found.take(state == SAME), found.take(state == HOT)
+    counts = hot.high - hot.low + 1
+    places = np.repeat(hot.low - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+    one, two = window_keys(symbols, places, window)
+    none = np.zeros(len(places), np.int64)
+    key, other = np.concatenate((same.gram, one)), np.concatenate((same.whole, two))
+    text = np.concatenate((same.text, np.repeat(hot.text, counts)))
+    at = np.concatenate((same.at, places))
+    before = np.concatenate((same.at - same.low, none))
+    after = np.concatenate((same.at - same.high, none))
+    order = np.lexsort((at, text, block.ids[text], other, key))
+    first = np.ones(len(key), bool)
+    k, o = key[order], other[order]
+    first[order[1:]] = (k[1:] != k[:-1]) | (o[1:] != o[:-1])
+    begins = first[order]
+    ends = np.append(begins[1:], True) if len(order) else begins
+    alone = np.zeros(len(key), bool)
+    alone[order] = begins & ends
+    return Known(key, other, text, at, before, after, first, alone)
+
+
 def owners(blocks: DataFrame) -> DataFrame:
     """For each block the (row, copies, first) of its texts: ``first`` of equal ones."""
     texts = B.rows(blocks)
@@ -154,10 +219,12 @@ def intervals_to_blocks(df: DataFrame) -> DataFrame:
 
 def interval_rows(keys: np.ndarray, low: np.ndarray, high: np.ndarray) -> Iterator[pa.RecordBatch]:
     """A row of packed intervals for each block among the row keys."""
+    if not len(keys):
+        return
     order = np.lexsort((low, keys))
     keys, low, high = keys[order], low[order], high[order]
     number = keys >> B.ROW_BITS
-    cuts = np.flatnonzero(np.append(True, number[1:] != number[:-1])) if len(keys) else []
+    cuts = np.flatnonzero(np.append(True, number[1:] != number[:-1]))
     for first, last in zip(cuts, [*cuts[1:], len(keys)], strict=True):
         yield pa.RecordBatch.from_pydict(
             {

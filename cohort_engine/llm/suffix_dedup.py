@@ -65,6 +65,7 @@ def remove_repeats(
     text_col: str = "text",
     length: int = LENGTH,
     gram: int = GRAM,
+    hot_blocks: int = R.HOT_BLOCKS,
 ) -> DataFrame:
     """Remove each byte that a string of ``length`` bytes covers which starts earlier too.
 
@@ -80,9 +81,12 @@ def remove_repeats(
        which of them occur more than once, and whether always amid the same bytes.
     3. Blocks send the windows around those to buckets by anchor: all equal windows
        meet. There the longest-previous-factor test over suffixes in sorted order finds
-       the later ones. Where all contexts are the same, the first of each block goes
-       without its bytes.
-    4. Blocks are sent what is to be removed from their texts.
+       the later ones.
+    4. Where an anchor is always amid the same bytes, its place is sent without them, and
+       only the first of a block. So are the single windows of an anchor that is in more
+       than ``hot_blocks`` blocks, by 128 bits of hashes: no anchor, however frequent,
+       gathers the windows around it in one task.
+    5. Blocks are sent what is to be removed from their texts.
 
     Runs a job that stores blocks, and one for what is to be removed. Result, a row for
     each input row: id, n_bytes, n_removed, n_spans, kept_sha256, and the removed spans
@@ -93,50 +97,64 @@ def remove_repeats(
     blocks = B.build(docs, id_col, text_col, "suffix-blocks")
     owned = stored(R.owners(blocks), "owners")
     windows = R.Windows(_bytes, length, gram)
-    states = B.to_blocks(R.anchor_states(blocks, windows, buckets), "answers")
+    answers = stored(
+        B.to_blocks(R.anchor_states(blocks, windows, buckets, hot_blocks), "answers"),
+        "anchor-states",
+    )
     reach = length - gram
     width = length + reach
 
+    def analysed(block, rest):
+        """Runs with different surroundings, and the known ones, of texts that go on."""
+        runs = windows.of(block, rest["marks"])
+        state = R.run_states(runs, rest["answers"] or [], buckets)
+        first, _ = R.owner_arrays(rest["owners"] or [], len(block.ids))
+        own = first[runs.text]
+        runs, state = runs.take(own), state[own]
+        known = R.known_runs(block, _bytes(block)[0], runs, state, length)
+        return runs.take(state == R.MIXED), known, first
+
     def asked(batches):
         for batch in batches:
             for block, rest in B.unpack(batch):
-                runs = windows.of(block, rest["marks"])
-                state = R.run_states(runs, rest["answers"] or [], buckets)
-                first, _ = R.owner_arrays(rest["owners"] or [], len(block.ids))
-                ask = (state > R.SINGLE) & first[runs.text]
-                runs, state = runs.take(ask), state[ask]
-                order, cuts = B.split(runs.gram, buckets)
-                runs, state = runs.take(order), state[order]
+                runs, known, _ = analysed(block, rest)
+                sent = np.flatnonzero(known.first)
+                keys = np.concatenate((known.key[sent], runs.gram))
+                other = np.concatenate((known.other[sent], np.zeros_like(runs.gram)))
+                text = np.concatenate((known.text[sent], runs.text))
+                at = np.concatenate((known.at[sent], runs.at))
+                before = np.concatenate((known.before[sent], runs.at - runs.low))
+                after = np.concatenate((known.after[sent], runs.at - runs.high))
+                mixed = np.arange(len(keys)) >= len(sent)
+                order, cuts = B.split(keys, buckets)
                 data = np.frombuffer(b"\0" * reach + block.data + b"\0" * length, np.uint8)
                 around = np.lib.stride_tricks.sliding_window_view(data, width)
                 for bucket in np.flatnonzero(np.diff(cuts)):
-                    part = slice(cuts[bucket], cuts[bucket + 1])
-                    text = runs.text[part]
+                    part = order[cuts[bucket] : cuts[bucket + 1]]
                     yield pa.RecordBatch.from_pydict(
                         {
                             "bucket": pa.array([bucket], pa.int32()),
-                            "grams": [runs.gram[part].tobytes()],
-                            "ids": [block.ids[text].tobytes()],
-                            "keys": [block.keys[text].tobytes()],
-                            "at": [(runs.at[part] - block.starts[text]).tobytes()],
-                            "low": [(runs.at - runs.low)[part].astype(np.uint8).tobytes()],
-                            "high": [(runs.at - runs.high)[part].astype(np.uint8).tobytes()],
-                            "mixed": [(state[part] == R.MIXED).tobytes()],
-                            "bytes": [
-                                around[runs.at[part][state[part] == R.MIXED]].tobytes()
-                            ],
+                            "grams": [keys[part].tobytes()],
+                            "other": [other[part].tobytes()],
+                            "ids": [block.ids[text[part]].tobytes()],
+                            "keys": [block.keys[text[part]].tobytes()],
+                            "at": [(at[part] - block.starts[text[part]]).tobytes()],
+                            "low": [before[part].astype(np.uint8).tobytes()],
+                            "high": [after[part].astype(np.uint8).tobytes()],
+                            "mixed": [mixed[part].tobytes()],
+                            "bytes": [around[at[part][mixed[part]]].tobytes()],
                         }
                     )
 
     def resolved(batches):
         kinds = {
-            "grams": np.uint64, "ids": np.int64, "keys": np.int64, "at": np.int64,
-            "low": np.uint8, "high": np.uint8, "mixed": bool, "bytes": np.uint8,
+            "grams": np.uint64, "other": np.uint64, "ids": np.int64, "keys": np.int64,
+            "at": np.int64, "low": np.uint8, "high": np.uint8, "mixed": bool, "bytes": np.uint8,
         }
         parts = [row for batch in batches for row in batch.to_pylist()]
         if not parts:
             return
-        grams, ids, keys, at, before, after, mixed, data = (
+        grams, other, ids, keys, at, before, after, mixed, data = (
             np.frombuffer(b"".join(p[n] for p in parts), kind) for n, kind in kinds.items()
         )
         # The windows of a run start ``before`` to ``after`` bytes before the anchor.
@@ -144,10 +162,12 @@ def remove_repeats(
         del parts
         contexts = data.reshape(-1, width)
         place = np.cumsum(mixed) - 1
-        order = np.lexsort((at, keys, ids, grams))
+        order = np.lexsort((at, keys, ids, other, grams))
         same = order[~mixed[order]]
         later = np.zeros(len(same), bool)
-        later[1:] = grams[same[1:]] == grams[same[:-1]]
+        later[1:] = (grams[same[1:]] == grams[same[:-1]]) & (
+            other[same[1:]] == other[same[:-1]]
+        )
         gone = same[later]
         yield from R.interval_rows(
             keys[gone], at[gone] - before[gone], at[gone] - after[gone] + length
@@ -180,12 +200,12 @@ def remove_repeats(
             start = stop
 
     removed = R.together(
-        blocks.join(states, "block", "left")
+        blocks.join(answers, "block", "left")
         .join(owned, "block")
         .mapInArrow(
             asked,
-            "bucket int, grams binary, ids binary, keys binary, at binary, low binary,"
-            " high binary, mixed binary, bytes binary",
+            "bucket int, grams binary, other binary, ids binary, keys binary, at binary,"
+            " low binary, high binary, mixed binary, bytes binary",
         ),
         buckets,
     ).mapInArrow(resolved, R.INTERVALS)
@@ -194,8 +214,15 @@ def remove_repeats(
     def cut(batches):
         for batch in batches:
             for block, rest in B.unpack(batch):
-                first, _ = R.owner_arrays(rest["owners"] or [], len(block.ids))
+                _, known, first = analysed(block, rest)
                 rows, lows, highs = R.intervals_of(rest["removed"] or [])
+                # Of equal runs of the block only the first was compared with others.
+                later = np.flatnonzero(~known.first)
+                text = known.text[later]
+                at = known.at[later] - block.starts[text]
+                rows = np.concatenate((rows, text))
+                lows = np.concatenate((lows, at - known.before[later]))
+                highs = np.concatenate((highs, at - known.after[later] + length))
                 order = np.argsort(rows, kind="stable")
                 rows, lows, highs = rows[order], lows[order], highs[order]
                 bounds = np.searchsorted(rows, np.arange(len(block.ids) + 1))
@@ -223,6 +250,7 @@ def remove_repeats(
 
     return (
         blocks.join(R.intervals_to_blocks(removed), "block", "left")
+        .join(answers, "block", "left")
         .join(owned, "block")
         .mapInArrow(
             cut,

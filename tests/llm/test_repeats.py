@@ -38,8 +38,8 @@ def summary(data, gone):
     return len(data), sum(gone), spans, hashlib.sha256(kept).hexdigest()
 
 
-@pytest.mark.parametrize("length, gram", [(100, 32), (20, 8)])
-def test_bytes_that_start_earlier(documents, mess, length, gram):
+@pytest.mark.parametrize("length, gram, hot", [(100, 32, 1_000), (20, 8, 1), (20, 8, 0)])
+def test_bytes_that_start_earlier(documents, mess, length, gram, hot):
     # Ids of different texts that occur twice would leave their order open.
     rows, seen = [], set()
     for i, text, source in order(mess):
@@ -51,7 +51,8 @@ def test_bytes_that_start_earlier(documents, mess, length, gram):
         (str(i), *summary(data, gone))
         for (i, _, _), data, gone in zip(rows, texts, brute_bytes(texts, length))
     )
-    got = suffix_dedup.remove_repeats(documents(rows), length=length, gram=gram).collect()
+    docs = documents(rows)
+    got = suffix_dedup.remove_repeats(docs, length=length, gram=gram, hot_blocks=hot).collect()
     found = [(str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got]
     assert sorted(found) == expected
     assert all(sum(s.end - s.start for s in r.spans) == r.n_removed for r in got)
@@ -63,7 +64,8 @@ def test_bytes_of_nothing(documents):
     assert (row.doc_id, row.n_bytes, row.n_removed) == (None, 0, 0)
 
 
-def test_repeated_words(documents, mess):
+@pytest.mark.parametrize("hot", [1_000, 1, 0])
+def test_repeated_words(documents, mess, hot):
     words = [WORD.findall(t or "") for _, t, _ in mess]
     count = Counter(tuple(w[p : p + 35]) for w in words for p in range(len(w) - 34))
     expected = []
@@ -74,7 +76,7 @@ def test_repeated_words(documents, mess):
                 gone[p : p + 35] = [True] * 35
         kept = " ".join(x for x, g in zip(w, gone) if not g)
         expected.append((str(i), len(w), sum(gone), hashlib.sha256(kept.encode()).hexdigest()))
-    got = automaton_dedup.remove_passages(documents(mess), shard=3).collect()
+    got = automaton_dedup.remove_passages(documents(mess), shard=3, hot_blocks=hot).collect()
     found = [(str(r.doc_id), r.n_words, r.n_removed, r.kept_sha256) for r in got]
     assert sorted(found) == sorted(expected)
     assert any(r.n_removed and r.n_removed < r.n_words for r in got)
