@@ -102,8 +102,101 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
 FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
+SUFFIX_DEDUP = """
+WITH docs AS (
+    SELECT row_number() OVER () AS row, doc_id, hex(encode(coalesce(text, ''))) AS digits
+    FROM documents
+), keys AS (
+    SELECT row, doc_id, unnest(range(len(digits) // 2 - 99)) AS p,
+           unnest(list_transform(range(len(digits) // 2 - 99),
+                                 lambda p: md5(substr(digits, 2 * p + 1, 200)))) AS key
+    FROM docs WHERE len(digits) >= 200
+), later AS (
+    SELECT row, p FROM keys
+    QUALIFY row_number() OVER (PARTITION BY key ORDER BY doc_id NULLS FIRST, row, p) > 1
+), islands AS (
+    SELECT row, p, sum(new) OVER (PARTITION BY row ORDER BY p) AS island
+    FROM (SELECT *, (p > coalesce(lag(p) OVER (PARTITION BY row ORDER BY p), -200) + 100)::INT
+                    AS new
+          FROM later)
+), spans AS (
+    SELECT row, min(p) AS low, max(p) + 100 AS high FROM islands GROUP BY row, island
+), gaps AS (
+    SELECT row, low, high, coalesce(lag(high) OVER (PARTITION BY row ORDER BY low), 0) AS before
+    FROM spans
+), kept AS (
+    SELECT row, sum(high - low)::BIGINT AS n_removed, count(*) AS n_spans, max(high) AS last,
+           string_agg(substr(digits, 2 * before + 1, 2 * (low - before)), '' ORDER BY low) AS head
+    FROM gaps JOIN docs USING (row) GROUP BY row
+)
+SELECT doc_id, len(digits) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed,
+       coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(head, '') || substr(digits, 2 * coalesce(last, 0) + 1)))
+           AS kept_sha256
+FROM docs LEFT JOIN kept USING (row)
+"""
+
+SUBSTRING_DEDUP = rf"""
+WITH docs AS (
+    SELECT row_number() OVER () AS row, doc_id, {_words("text")} AS words FROM documents
+), places AS (
+    SELECT row, unnest(range(1, len(words) - 33)) AS p,
+           unnest(list_transform(range(1, len(words) - 33),
+                                 lambda p: md5(array_to_string(words[p:p + 34], ' ')))) AS key
+    FROM docs WHERE len(words) >= 35
+), windows AS (
+    SELECT row, p, count(*) OVER (PARTITION BY key) AS n FROM places
+), covered AS (
+    SELECT DISTINCT row, p + k AS i FROM windows, range(35) AS offsets(k) WHERE n > 1
+), listed AS (
+    SELECT row, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM docs
+), kept AS (
+    SELECT row, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS text
+    FROM listed ANTI JOIN covered USING (row, i) GROUP BY row
+)
+SELECT doc_id, len(words) AS n_words, len(words) - coalesce(n, 0) AS n_removed,
+       sha256(coalesce(text, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (row)
+"""
+
+NGRAM_JACCARD = rf"""
+WITH RECURSIVE docs AS (
+    SELECT row_number() OVER () AS row, doc_id,
+           {WORDS.format(text="translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")}
+               AS words
+    FROM documents
+), listed AS (
+    SELECT row, words, unnest(range(1, greatest(len(words) - 3, 2))) AS p FROM docs
+    WHERE len(words) > 0
+), shingles AS (
+    SELECT DISTINCT row, words[p:p + 4] AS shingle FROM listed
+), sizes AS (
+    SELECT row, count(*) AS n FROM shingles GROUP BY row
+), common AS (
+    SELECT a.row AS a, b.row AS b, count(*) AS shared
+    FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.row <> b.row GROUP BY ALL
+), links AS (
+    SELECT a, b FROM common JOIN sizes x ON x.row = a JOIN sizes y ON y.row = b
+    WHERE 100 * shared >= 80 * (x.n + y.n - shared)
+), reached AS (
+    SELECT row AS a, row AS b FROM docs
+    UNION
+    SELECT r.a, l.b FROM reached r JOIN links l ON l.a = r.b
+), least AS (
+    SELECT r.a AS row, min(d.doc_id) AS component_id
+    FROM reached r JOIN docs d ON d.row = r.b GROUP BY r.a
+), degrees AS (
+    SELECT a AS row, count(*) AS n_links FROM links GROUP BY a
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, coalesce(n_links, 0) AS n_links
+FROM docs JOIN least USING (row) LEFT JOIN sizes USING (row) LEFT JOIN degrees USING (row)
+"""
+
 ORACLE = {
     "op1_quality_rules": QUALITY_RULES,
     "op3_mixing": MIXING,
+    "op4_suffix_array_dedup": SUFFIX_DEDUP,
     "op5_exact_dedup": EXACT_DEDUP,
+    "op7_ngram_jaccard": NGRAM_JACCARD,
+    "op9_substring_dedup": SUBSTRING_DEDUP,
 }
