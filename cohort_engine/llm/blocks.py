@@ -78,7 +78,7 @@ def build(
 
     def packed(batches):
         first = TaskContext.get().partitionId() << 20
-        tool = zstandard.ZstdCompressor(level=1)
+        tool = zstandard.ZstdCompressor(level=5)
         for number, batch in enumerate(chunks(batches, "text", BLOCK_BYTES), first):
             texts = [t.encode() for t in batch.column("text").to_pylist()]
             found, counts = marks(texts)
