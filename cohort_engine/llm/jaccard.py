@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +21,7 @@ WORDS = 5
 PERCENT = 80
 # Sets of a family that are compared in one task; larger families are cut into parts of
 # this size, and every two parts are compared.
-TOGETHER = 10_000
+TOGETHER = 2_000
 
 
 def shingles(data: bytes, starts: np.ndarray, sizes: np.ndarray, words: int) -> list[np.ndarray]:
@@ -58,8 +59,11 @@ def needed(n: np.ndarray | int, percent: int):
 
 def similar_sets(
     sets: list[np.ndarray], sizes: np.ndarray, part: np.ndarray, across: bool, percent: int
-) -> tuple[np.ndarray, np.ndarray]:
-    """All pairs (i, j) of similar sets; if ``across``, those of different parts only.
+) -> Iterator[tuple[int, np.ndarray]]:
+    """(i, others): each set with the similar ones before it, so that a pair comes once.
+
+    If ``across``, only pairs of sets in different parts count. Sets without others are
+    left out. Pairs are not gathered: the memory follows the members of the sets.
 
     ``sets`` hold the members that other sets may have too, ``sizes`` count all members.
 
@@ -92,7 +96,6 @@ def similar_sets(
         shift = np.repeat(a - (np.cumsum(count) - count), count)
         return np.bincount(listed[np.arange(total) + shift] - low, minlength=high - low)
 
-    left, right = [], []
     previous = None
     for i in range(n):
         low = int(np.searchsorted(sizes, needed(int(sizes[i]), percent)))
@@ -121,11 +124,8 @@ def similar_sets(
         found = np.flatnonzero(100 * counts >= percent * union)
         if across:
             found = found[part[found + low] != part[i]]
-        left.append(np.full(len(found), i))
-        right.append(found + low)
-    if not left:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return order[np.concatenate(left)], order[np.concatenate(right)]
+        if len(found):
+            yield order[i], order[found + low]
 
 
 class Forest:
@@ -352,20 +352,15 @@ def _links(
         part = np.array(rows["part"], np.int64)
         # Pairs inside a part belong to the task of that part alone.
         across = rows["i"][0] != rows["j"][0]
-        a, b = similar_sets(sets, np.array(rows["n"], np.int64), part, across, percent)
-        links = np.bincount(a, copies[b], len(keys)) + np.bincount(b, copies[a], len(keys))
-        forest = Forest(len(keys))
-        for i, j in zip(a.tolist(), b.tolist(), strict=True):
-            forest.join(i, j)
+        links, label = np.zeros(len(keys), np.int64), np.arange(len(keys))
+        for i, others in similar_sets(sets, np.array(rows["n"], np.int64), part, across, percent):
+            links[i] += copies[others].sum()
+            links[others] += copies[i]
+            joined = np.unique(np.append(label[others], label[i]))
+            for old in joined[1:]:
+                label[label == old] = joined[0]
         linked = np.flatnonzero(links)
-        roots = [forest.root(i) for i in linked.tolist()]
-        return pa.table(
-            {
-                "a": keys[linked],
-                "b": keys[np.array(roots, np.int64)],
-                "links": links[linked].astype(np.int64),
-            }
-        )
+        return pa.table({"a": keys[linked], "b": keys[label[linked]], "links": links[linked]})
 
     return (
         candidates.drop("prefix")
