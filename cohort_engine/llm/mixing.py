@@ -130,9 +130,12 @@ def mix(
         .select("row", "size", "order", "pass", finish.alias("finish")),
         "queue",
     )
-    # Sources meet their targets at time 1; what comes after 2 no truncation reaches.
+    # Sources meet their targets at about time 1. What is left of a source with a low
+    # target may stretch far beyond; later slots are wider, in proportion to the time.
+    time = F.col("finish")
     slots = queued.withColumn(
-        "slot", F.least(F.floor(F.col("finish") * buckets), F.lit(2 * buckets)).cast("long")
+        "slot",
+        F.floor(F.when(time < 2, time).otherwise(F.log2(time) + 1) * buckets).cast("long"),
     )
     before = _starts(slots.groupBy("slot").agg(F.sum("size").alias("sum")), [], "slot")
     in_slot = (
@@ -140,14 +143,12 @@ def mix(
         .orderBy("finish", "order", "pass", "row")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    budget = goals.agg(F.sum("target").alias("budget"))
+    budget = goals.agg(F.sum("target")).scalar()
     taken = (
-        slots.join(before, "slot")
-        .join(F.broadcast(budget))
         # A slot that begins beyond the budget has nothing to take.
-        .filter("start < budget")
+        slots.join(before.filter(F.col("start") < budget), "slot")
         .withColumn("used", F.col("start") + F.sum("size").over(in_slot))
-        .filter("used <= budget")
+        .filter(F.col("used") <= budget)
         .groupBy("row")
         .agg(F.count(F.lit(1)).alias("passes"))
     )
