@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from cohort_engine.llm import blocks as B
 from cohort_engine.llm.anchors import Runs, mixed, runs
+from cohort_engine.llm.common import stored
 
 # What is known of an anchor: it occurs once; more often, always amid the same symbols;
 # more often, amid different ones; or so, in very many blocks.
@@ -191,10 +192,15 @@ def known_runs(
 
 
 def owners(blocks: DataFrame) -> DataFrame:
-    """For each block the (row, copies, first) of its texts: ``first`` of equal ones."""
+    """For each block the (row, copies, first) of its texts: ``first`` of equal ones.
+
+    The groups are stored, so that the join with them shuffles both sides itself and a
+    group with very many rows is split. Runs that job.
+    """
     texts = B.rows(blocks)
+    groups = stored(B.first_of_equals(texts), "groups")
     return B.to_blocks(
-        texts.join(B.first_of_equals(texts), "mark").select(
+        texts.join(groups, "mark").select(
             B.of_block("key").alias("block"),
             F.col("key").bitwiseAND(F.lit((1 << B.ROW_BITS) - 1)).cast("int").alias("row"),
             "copies",
