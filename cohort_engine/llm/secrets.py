@@ -36,14 +36,19 @@ ESCAPE = re.compile(
     r"|\\u\{(?P<braced>[0-9A-Fa-f]{1,6})\}|\\u(?P<u>[0-9A-Fa-f]{4})|\\x(?P<x>[0-9A-Fa-f]{2})"
     r"|&#x(?P<hex>[0-9A-Fa-f]{1,6});|&#(?P<dec>[0-9]{1,7});"
 )
-BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+# Base64 digits, also over line breaks (written out or as "\\n") and the indent after them.
+_BREAK = r"(?:\r?\n|(?:\\r)?\\n)[\t\x20]*+"
+BASE64 = re.compile(rf"[A-Za-z0-9+/_-]++(?:{_BREAK}[A-Za-z0-9+/_-]++)*+={{0,2}}")
+BREAK = re.compile(_BREAK)
+LEAST_DIGITS = 16
+
+# Text in two bytes a character, as far as it is ASCII.
+WIDE = re.compile(r"(?:[\t\n\r\x20-\x7e]\x00){8,}[\t\n\r\x20-\x7e]?")
 
 # Texts without these can't match, which is found out faster than by the patterns.
 _KEYS = ("password", "passwd", "secret", "token", "api_key", "apikey")
 _HEX_CLASS = ascii_class("0123456789abcdef")
-_BASE64_CLASS = ascii_class(
-    "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
-)
+_STANDARD = str.maketrans("-_", "+/")
 
 
 def _longest_run(text: str, of: np.ndarray) -> int:
@@ -207,46 +212,95 @@ def _unwrapped(data: bytes) -> bytes | None:
     return out
 
 
-def _printable(text: str) -> bool:
-    bad = sum(1 for c in text if not (c.isprintable() or c in "\t\n\r"))
-    return 20 * bad <= len(text)
+class _Run:
+    """A base64 run, joined over its line breaks, with the places of its digits."""
+
+    def __init__(self, m: re.Match):
+        text, self.starts, self.places, parts = m[0].rstrip("="), [], [], []
+        at = length = 0
+        for gap in (*BREAK.finditer(text), None):
+            stop = gap.start() if gap else len(text)
+            self.starts.append(length)
+            self.places.append(m.start() + at)
+            parts.append(text[at:stop])
+            length += stop - at
+            at = gap.end() if gap else stop
+        self.digits, self.end = "".join(parts).translate(_STANDARD), m.end()
+
+    def place(self, digit: int) -> int:
+        """The place of a digit in the text."""
+        i = bisect_right(self.starts, digit) - 1
+        return self.places[i] + digit - self.starts[i]
+
+    def data(self, skip: int) -> bytes:
+        """The bytes from digit ``skip`` on."""
+        digits = self.digits[skip:]
+        if len(digits) % 4 == 1:
+            digits = digits[:-1]
+        return base64.b64decode(digits + "=" * (-len(digits) % 4))
+
+
+class _Decoded(Layer):
+    """The bytes of a base64 run from digit ``skip`` on, each as one character.
+
+    All patterns are ASCII, so that what the other bytes stand for doesn't matter.
+    """
+
+    def __init__(self, parent: Layer, run: _Run, skip: int, data: bytes):
+        super().__init__(data.decode("latin-1"), [0], [(0, 0)], [False])
+        self.parent, self.run, self.skip = parent, run, skip
+
+    def source(self, start: int, end: int) -> tuple[int, int]:
+        # The base64 digits that hold any bit of these bytes.
+        first, last = self.skip + start * 8 // 6, self.skip - (-end * 8 // 6) - 1
+        last = min(last, len(self.run.digits) - 1)
+        return self.parent.source(self.run.place(first), self.run.place(last) + 1)
+
+
+class _Narrow(Layer):
+    """Every second character of a stretch."""
+
+    def __init__(self, parent: Layer, start: int, end: int):
+        super().__init__(parent.text[start:end:2], [0], [(0, 0)], [False])
+        self.parent, self.start = parent, start
+
+    def source(self, start: int, end: int) -> tuple[int, int]:
+        stop = min(self.start + 2 * end, len(self.parent.text))
+        return self.parent.source(self.start + 2 * start, stop)
+
+
+def _narrowed(layer: Layer) -> Iterator[Layer]:
+    """Texts in two bytes a character (UTF-16) inside decoded bytes."""
+    if "\x00" in layer.text:
+        for m in WIDE.finditer(layer.text):
+            yield _Narrow(layer, m.start(), m.end())
 
 
 def _from_base64(layer: Layer) -> Iterator[Layer | tuple[int, int]]:
-    """Texts behind base64 runs, unpacked if compressed; spans that unpack too far."""
-    if _longest_run(layer.text, _BASE64_CLASS) < 16:
-        return
+    """Bytes behind base64 runs, unpacked if compressed; spans that unpack too far.
+
+    A run may be glued to letters before it, so that each digit of the first four may be
+    the first of a group.
+    """
     for m in BASE64.finditer(layer.text):
-        run = m[0].rstrip("=").replace("-", "+").replace("_", "/")
-        if len(run) % 4 == 1:
-            run = run[:-1]
-        data = base64.b64decode(run + "=" * (-len(run) % 4))
-        try:
-            inner = _unwrapped(data)
-        except OverflowError:
-            yield layer.source(m.start(), m.end())
+        if m.end() - m.start() < LEAST_DIGITS:
             continue
-        built = _Builder(layer)
-        if inner is not None:
-            text = inner.decode(errors="replace")
-            if _printable(text):
-                built.add(text, m.start(), m.end())
-                yield built.layer()
+        run = _Run(m)
+        if len(run.digits) < LEAST_DIGITS:
             continue
-        try:
-            text = data.decode()
-        except UnicodeDecodeError:
-            continue
-        if not _printable(text):
-            continue
-        place = 0
-        for char in text:
-            size = len(char.encode())
-            # The base64 digits that hold any bit of these bytes.
-            left, right = place * 8 // 6, -(-(place + size) * 8 // 6)
-            built.add(char, m.start() + left, min(m.end(), m.start() + right))
-            place += size
-        yield built.layer()
+        for skip in range(4):
+            data = run.data(skip)
+            try:
+                inner = _unwrapped(data)
+            except OverflowError:
+                yield layer.source(run.place(skip), m.end())
+                continue
+            if inner is None:
+                yield _Decoded(layer, run, skip, data)
+            else:
+                built = _Builder(layer)
+                built.add(inner.decode("latin-1"), run.place(skip), m.end())
+                yield built.layer()
 
 
 def find_secrets(text: str) -> list[Span]:
@@ -262,7 +316,11 @@ def find_secrets(text: str) -> list[Span]:
     seen = set()
     while work:
         layer = work.pop()
-        for way, decode in (("escape", _unescaped), ("base64", _from_base64)):
+        for way, decode in (
+            ("escape", _unescaped),
+            ("base64", _from_base64),
+            ("wide", _narrowed),
+        ):
             for inner in decode(layer):
                 if isinstance(inner, tuple):
                     found.setdefault((inner[0], len(KINDS), inner[1]), "packed")

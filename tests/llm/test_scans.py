@@ -2,6 +2,7 @@ import base64
 import bz2
 import gzip
 import hashlib
+import random
 import re
 import zlib
 
@@ -150,3 +151,41 @@ def test_digests(documents, mess):
     assert row.spans == "email:35:46,ip:47:54" and row.n_email == row.n_ip == 1
     assert next(r for r in got if r.doc_id == 400).base_sha256 == hashlib.sha256(b"").hexdigest()
     assert pii.scan_identifiers(documents([])).count() == 0
+
+
+def wrapped(data, columns=76):
+    text = b64(data)
+    return "\n".join(text[i : i + columns] for i in range(0, len(text), columns))
+
+
+@pytest.mark.parametrize(
+    "hidden",
+    [
+        b64(f"caf\xe9 key {KEY} here".encode("latin-1")),
+        b64(bytes(range(128, 256)) + KEY.encode() + bytes(range(128, 256))),
+        b64(bytes(40) + KEY.encode() + bytes(40)),
+        b64(f"my key {KEY} here".encode("utf-16-le")),
+        b64(f"my key {KEY} here".encode("utf-16-be")),
+        *["abc"[:n] + joint + b64(f"my key {KEY} here") for n in range(4) for joint in "-_/"],
+        wrapped("x" * 50 + KEY + "x" * 50),
+        wrapped("x" * 50 + KEY + "x" * 50).replace("\n", "\r\n"),
+        wrapped("x" * 50 + KEY + "x" * 50).replace("\n", "\n    "),
+        wrapped("x" * 50 + KEY + "x" * 50).replace("\n", "\\n"),
+        wrapped(f"my key {KEY} here", 8),
+        wrapped(gzip.compress(random.Random(1).randbytes(300) + KEY.encode())),
+        wrapped(bz2.compress(random.Random(1).randbytes(300) + KEY.encode())),
+    ],
+)
+def test_base64_is_searched_whole(hidden):
+    text = f"é before: {hidden} after"
+    spans = [s for s in secrets.find_secrets(text) if s[0] == "access"]
+    assert len(spans) == 1 and spans[0][3]
+    start, end = spans[0][1:3]
+    at = text.index(hidden)
+    assert at <= start < end <= at + len(hidden)
+
+
+def test_places_over_line_breaks():
+    hidden = wrapped("x" * 45 + KEY + "." + "x" * 50)
+    (span,) = secrets.find_secrets("é " + hidden)
+    assert span[1:3] == (2 + 60, 2 + 87 + 1)  # digits 60 to 86, a line break after 76
