@@ -9,7 +9,7 @@ import hashlib
 import re
 import zlib
 from bisect import bisect_right
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import zstandard
@@ -27,9 +27,32 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")  # 20 or more in all
 HEX = re.compile(r"[0-9a-f]{24,}")
 ASSIGNED = 6
 
-# A compressed layer that unpacks to more bytes than this is reported as a span of kind
-# "opaque" instead of being searched, so that no text can fill the memory of a task.
-MAX_UNPACKED = 16 << 20
+# So many bytes of one text are unpacked in all, over all layers; a stretch that would need
+# more is searched up to there and reported as a span of kind "opaque". Without an end,
+# streams that unpack to themselves or to ever longer ones would never be done.
+MAX_UNPACKED = 4 << 30
+# Streams right inside one another; beyond, "opaque".
+MAX_NESTED = 64
+
+# Unpacked bytes are searched in pieces of this size. Each piece is searched with the end
+# of the one before; a base64 run at its end waits for the next, up to MAX_HELD bytes.
+PIECE = 4 << 20
+OVERLAP = 1 << 16
+MAX_HELD = 16 << 20
+# Packed bytes are fed by so many, which is what is lost before a fault.
+FEED = 64
+# A zstd frame with a window over this is unpacked up to so many bytes.
+MAX_WINDOW = 256 << 20
+
+# Marks of gzip, bz2, zstd and zlib, anywhere and, less strict, at the start of the bytes.
+_ZLIB = bytes(b for b in range(256) if (0x7800 + b) % 31 == 0)
+MAGIC = re.compile(
+    rb"\x1f\x8b\x08|BZh[1-9](?:1AY&SY|\x17rE8P\x90)|\x28\xb5\x2f\xfd|\x78[\x01\x5e\x9c\xda]"
+)
+FIRST = re.compile(rb"\x1f\x8b|BZh[0-9]|\x28\xb5\x2f\xfd|\x78[" + re.escape(_ZLIB) + rb"]")
+_LONGEST_MAGIC = 10
+# zlib's mark has two bytes. Inside other bytes it counts as one if so much unpacks.
+_ZLIB_LEAST = 1_000
 
 ESCAPE = re.compile(
     r"(?P<url>(?:%[0-9A-Fa-f]{2})+)"
@@ -48,6 +71,9 @@ WIDE = re.compile(r"(?:[\t\n\r\x20-\x7e]\x00){8,}[\t\n\r\x20-\x7e]?")
 # Texts without these can't match, which is found out faster than by the patterns.
 _KEYS = ("password", "passwd", "secret", "token", "api_key", "apikey")
 _HEX_CLASS = ascii_class("0123456789abcdef")
+_RUN_CLASS = ascii_class(
+    "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-\r\n\\"
+)
 _STANDARD = str.maketrans("-_", "+/")
 
 
@@ -170,46 +196,144 @@ def _unescaped(layer: Layer) -> Iterator[Layer]:
         done = end
 
 
-def _unpacked(data: bytes) -> bytes | None:
-    """Decompressed bytes, None if ``data`` isn't compressed; too many raise."""
-    if data[:2] == b"\x1f\x8b":
-        tool = zlib.decompressobj(31)
-    elif data[:1] == b"\x78" and len(data) > 1 and (data[0] * 256 + data[1]) % 31 == 0:
-        tool = zlib.decompressobj()
-    elif data[:3] == b"BZh":
-        tool = bz2.BZ2Decompressor()
-    elif data[:4] == b"\x28\xb5\x2f\xfd":
-        try:
-            with zstandard.ZstdDecompressor(max_window_size=MAX_UNPACKED).stream_reader(
-                data
-            ) as reader:
-                out = reader.read(MAX_UNPACKED + 1)
-        except zstandard.ZstdError:
-            return None
-        if len(out) > MAX_UNPACKED:
-            raise OverflowError
-        return out
-    else:
-        return None
-    try:
-        out = tool.decompress(data, MAX_UNPACKED + 1)
-    except (zlib.error, OSError, EOFError):
-        return None
-    if len(out) > MAX_UNPACKED:
-        raise OverflowError
-    return out
-
-
-def _unwrapped(data: bytes) -> bytes | None:
-    """What is left when nothing more unpacks; None if ``data`` isn't compressed."""
-    out, seen = None, set()
-    while (inner := _unpacked(data)) is not None:
-        out = data = inner
-        mark = hashlib.sha256(inner).digest()
-        if mark in seen:
-            break
-        seen.add(mark)
-    return out
+class _Budget:
+    """Bytes of a text that may still be unpacked."""
+
+    def __init__(self):
+        self.left = MAX_UNPACKED
+
+
+def _magic(data: bytes, at: int, first: bool) -> re.Match | None:
+    """The first mark of a packed stream from ``at`` on."""
+    return (first and at == 0 and FIRST.match(data)) or MAGIC.search(data, at)
+
+
+class _Stream:
+    """A packed stream and those that follow right behind it, unpacked in pieces."""
+
+    def __init__(self, data: bytes, at: int, more: Callable[[], bytes], budget: _Budget):
+        self.data, self.at, self.more, self.budget = data, at, more, budget
+        self.taken = self.failed = self.done = False
+        self.size = 0
+        self._start()
+
+    def _start(self) -> None:
+        head = self.data[self.at : self.at + 18]
+        self.strict, self.limit, self.frame = head[:1] != b"x", None, 0
+        if head[:2] == b"\x1f\x8b":
+            self.tool = zlib.decompressobj(31)
+        elif head[:1] == b"x":
+            self.tool = zlib.decompressobj()
+        elif head[:3] == b"BZh":
+            self.tool = bz2.BZ2Decompressor()
+        else:
+            self.tool = zstandard.ZstdDecompressor(max_window_size=1 << 31).decompressobj()
+            try:
+                if zstandard.get_frame_parameters(head).window_size > MAX_WINDOW:
+                    self.limit = MAX_WINDOW
+            except zstandard.ZstdError:
+                pass
+
+    def _take(self) -> bool:
+        piece = self.more()
+        if piece:
+            self.data, self.at, self.taken = self.data[self.at :] + piece, 0, True
+        return bool(piece)
+
+    def _step(self) -> bytes:
+        """What a few more packed bytes unpack to."""
+        if isinstance(self.tool, bz2.BZ2Decompressor) and not self.tool.needs_input:
+            block = b""
+        else:
+            if self.at == len(self.data) and not self._take():
+                raise EOFError
+            block = self.data[self.at : self.at + FEED]
+            self.at += len(block)
+        if isinstance(self.tool, bz2.BZ2Decompressor):
+            return self.tool.decompress(block, PIECE)
+        return self.tool.decompress(block)
+
+    def read(self) -> bytes:
+        """The next bytes; none at the end."""
+        parts, size = [], 0
+        while size < PIECE and not self.done:
+            try:
+                out = self._step()
+            except (zlib.error, OSError, EOFError, MemoryError, zstandard.ZstdError):
+                self.failed = self.done = True
+                break
+            if len(out) > self.budget.left:
+                out = out[: self.budget.left]
+                self.budget.left = 0
+                self.failed = self.done = True
+            else:
+                self.budget.left -= len(out)
+            self.frame += len(out)
+            if self.limit is not None and self.frame > self.limit:
+                self.failed = self.done = True
+            parts.append(out)
+            size += len(out)
+            if self.tool.eof and not self.failed:
+                self.at -= len(self.tool.unused_data)
+                while len(self.data) - self.at < _LONGEST_MAGIC and self._take():
+                    pass
+                if MAGIC.match(self.data, self.at):
+                    self._start()
+                else:
+                    self.done = True
+        self.size += size
+        return b"".join(parts)
+
+    def opaque(self, first: bool) -> bool:
+        """Whether the stream, known by its mark, holds what couldn't be unpacked."""
+        return self.failed and (self.strict or first or self.size >= _ZLIB_LEAST)
+
+
+def _windows(read: Callable[[], bytes], budget: _Budget, depth: int) -> Iterator[str | None]:
+    """Texts to search in unpacked bytes and in streams inside them; None for "opaque".
+
+    Bytes stand as one character each.
+    """
+    # Marks are sought from ``fresh`` on; up to ``shown`` the bytes were searched as text.
+    data, fresh, shown, first = b"", 0, 0, True
+    while True:
+        piece = read()
+        data += piece
+        while m := _magic(data, fresh, first):
+            begins, start = first and m.start() == 0, m.start()
+            first = False
+            if depth >= MAX_NESTED or not budget.left:
+                yield None
+                break
+            inner = _Stream(data, start, read, budget)
+            yield from _windows(inner.read, budget, depth + 1)
+            if inner.opaque(begins):
+                yield None
+            if inner.failed and not inner.taken:
+                fresh = start + 1
+            else:
+                if start > shown:
+                    yield data[:start].decode("latin-1")
+                data, fresh, shown = inner.data[inner.at :], 0, 0
+        if not piece:
+            if len(data) > shown:
+                yield data.decode("latin-1")
+            return
+        first = first and len(data) < 4
+        fresh = max(fresh, 0 if first else len(data) - _LONGEST_MAGIC + 1)
+        tail = np.flatnonzero(~_RUN_CLASS[np.frombuffer(data, np.uint8)])
+        hold = int(tail[-1]) + 1 if len(tail) else 0
+        if len(data) - hold > MAX_HELD:
+            yield None
+            hold = len(data)
+        if hold > shown:
+            yield data[:hold].decode("latin-1")
+            cut = max(0, hold - OVERLAP)
+            data, shown, fresh = data[cut:], hold - cut, max(0, fresh - cut)
+
+
+def _no_more() -> bytes:
+    return b""
 
 
 class _Run:
@@ -276,8 +400,29 @@ def _narrowed(layer: Layer) -> Iterator[Layer]:
             yield _Narrow(layer, m.start(), m.end())
 
 
-def _from_base64(layer: Layer) -> Iterator[Layer | tuple[int, int]]:
-    """Bytes behind base64 runs, unpacked if compressed; spans that unpack too far.
+def _packed(
+    layer: Layer, run: _Run, skip: int, data: bytes, budget: _Budget
+) -> Iterator[Layer | tuple[int, int]]:
+    """Pieces of the packed streams in the bytes of a run; spans that don't unpack."""
+    at, first = 0, skip == 0
+    while m := _magic(data, at, first):
+        start = m.start()
+        begins, first = first and start == 0, False
+        span = layer.source(run.place(skip + start * 8 // 6), run.end)
+        stream = _Stream(data, start, _no_more, budget)
+        for text in _windows(stream.read, budget, 1):
+            yield span if text is None else Layer(text, [0], [span], [False])
+        if stream.opaque(begins):
+            yield span
+        if not budget.left:
+            return
+        at = start + 1 if stream.failed else len(data) - (len(stream.data) - stream.at)
+
+
+def _from_base64(
+    layer: Layer, budget: _Budget
+) -> Iterator[Layer | Iterator[Layer | tuple[int, int]]]:
+    """Bytes behind base64 runs, and the pieces of what is packed in them.
 
     A run may be glued to letters before it, so that each digit of the first four may be
     the first of a group.
@@ -290,52 +435,55 @@ def _from_base64(layer: Layer) -> Iterator[Layer | tuple[int, int]]:
             continue
         for skip in range(4):
             data = run.data(skip)
-            try:
-                inner = _unwrapped(data)
-            except OverflowError:
-                yield layer.source(run.place(skip), m.end())
-                continue
-            if inner is None:
-                yield _Decoded(layer, run, skip, data)
-            else:
-                built = _Builder(layer)
-                built.add(inner.decode("latin-1"), run.place(skip), m.end())
-                yield built.layer()
+            yield _Decoded(layer, run, skip, data)
+            if _magic(data, 0, skip == 0):
+                yield _packed(layer, run, skip, data, budget)
 
 
 def find_secrets(text: str) -> list[Span]:
     """Plain matches and those in decoded layers, by start, then kind, then end.
 
     A worklist holds the layers to search. Each is searched for secrets and for encoded
-    stretches; what these decode to becomes a layer. Layers seen before (same text from
-    the same source span) are left out, so that the list runs empty: unescaping and
-    base64 shorten a text, and a compressed text that leads back to itself is found out.
+    stretches; what these decode to becomes a layer, packed bytes piece by piece when it
+    is their turn. Layers seen before (same text from the same source span) are left out,
+    so that the list runs empty: unescaping and base64 shorten a text, and what is
+    unpacked is bounded.
     """
     found = {(start, kind, end): "" for start, kind, end in plain_secrets(text)}
-    work = [Layer(text, [0], [(0, len(text))], [True])]
-    seen = set()
+    work, seen, budget = [Layer(text, [0], [(0, len(text))], [True])], set(), _Budget()
+
+    def search(inner: Layer | tuple[int, int], way: str) -> None:
+        if isinstance(inner, tuple):
+            found.setdefault((inner[0], len(KINDS), inner[1]), "packed")
+            return
+        if not inner.text:
+            return
+        span = inner.source(0, len(inner.text))
+        mark = (hashlib.sha256(inner.text.encode()).digest(), span)
+        if mark in seen:
+            return
+        seen.add(mark)
+        for start, kind, end in plain_secrets(inner.text):
+            left, right = inner.source(start, end)
+            found.setdefault((left, kind, right), way)
+        work.append(inner)
+
     while work:
         layer = work.pop()
-        for way, decode in (
-            ("escape", _unescaped),
-            ("base64", _from_base64),
-            ("wide", _narrowed),
-        ):
-            for inner in decode(layer):
-                if isinstance(inner, tuple):
-                    found.setdefault((inner[0], len(KINDS), inner[1]), "packed")
-                    continue
-                if not inner.text:
-                    continue
-                span = inner.source(0, len(inner.text))
-                mark = (hashlib.sha256(inner.text.encode()).digest(), span)
-                if mark in seen:
-                    continue
-                seen.add(mark)
-                for start, kind, end in plain_secrets(inner.text):
-                    left, right = inner.source(start, end)
-                    found.setdefault((left, kind, right), way)
+        if not isinstance(layer, Layer):
+            if (inner := next(layer, None)) is not None:
+                work.append(layer)
+                search(inner, "base64")
+            continue
+        for inner in _unescaped(layer):
+            search(inner, "escape")
+        for inner in _from_base64(layer, budget):
+            if isinstance(inner, Layer):
+                search(inner, "base64")
+            else:
                 work.append(inner)
+        for inner in _narrowed(layer):
+            search(inner, "wide")
     names = (*KINDS, "opaque")
     return [(names[kind], start, end, found[start, kind, end]) for start, kind, end in sorted(found)]
 

@@ -7,6 +7,7 @@ import re
 import zlib
 
 import pytest
+import zstandard
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -172,8 +173,8 @@ def wrapped(data, columns=76):
         wrapped("x" * 50 + KEY + "x" * 50).replace("\n", "\n    "),
         wrapped("x" * 50 + KEY + "x" * 50).replace("\n", "\\n"),
         wrapped(f"my key {KEY} here", 8),
-        wrapped(gzip.compress(random.Random(1).randbytes(300) + KEY.encode())),
-        wrapped(bz2.compress(random.Random(1).randbytes(300) + KEY.encode())),
+        wrapped(gzip.compress((random.Random(1).randbytes(300).hex() + KEY).encode())),
+        wrapped(bz2.compress((random.Random(1).randbytes(300).hex() + KEY).encode())),
     ],
 )
 def test_base64_is_searched_whole(hidden):
@@ -189,3 +190,56 @@ def test_places_over_line_breaks():
     hidden = wrapped("x" * 45 + KEY + "." + "x" * 50)
     (span,) = secrets.find_secrets("é " + hidden)
     assert span[1:3] == (2 + 60, 2 + 87 + 1)  # digits 60 to 86, a line break after 76
+
+
+def long_window(data, log):
+    params = zstandard.ZstdCompressionParameters(window_log=log, write_content_size=0)
+    tool = zstandard.ZstdCompressor(compression_params=params).compressobj()
+    return tool.compress(data) + tool.flush()
+
+
+NOISE = random.Random(2).randbytes(3_000)
+MESSAGE = f"my key {KEY} here".encode()
+
+
+@pytest.mark.parametrize(
+    "packed",
+    [
+        long_window(MESSAGE, 27),
+        long_window(MESSAGE, 31),
+        gzip.compress(NOISE) + gzip.compress(MESSAGE),
+        gzip.compress(NOISE + MESSAGE[:14]) + gzip.compress(MESSAGE[14:]),
+        zlib.compress(NOISE) + zlib.compress(MESSAGE),
+        bz2.compress(NOISE) + bz2.compress(MESSAGE),
+        zstandard.compress(NOISE) + zstandard.compress(MESSAGE),
+        b"head" + gzip.compress(MESSAGE) + b"tail",
+        gzip.compress(bytes(17 << 20) + MESSAGE),
+        gzip.compress(zlib.compress(bytes(17 << 20) + b64(gzip.compress(MESSAGE)).encode())),
+        gzip.compress(b"x" + zlib.compress(random.Random(3).randbytes(5 << 20) + MESSAGE)),
+        gzip.compress(bytes((4 << 20) - 30) + b64(gzip.compress(NOISE + MESSAGE)).encode()),
+    ],
+)
+def test_packed_layers_are_searched_whole(packed):
+    spans = secrets.find_secrets("a " + b64(packed))
+    assert {s[0] for s in spans} == {"access"}
+
+
+@pytest.mark.parametrize(
+    "packed",
+    [
+        gzip.compress(MESSAGE + NOISE)[:-1000],
+        zlib.compress(MESSAGE + NOISE)[:-1000],
+        bz2.compress(MESSAGE)[:-12],
+        zstandard.compress(MESSAGE)[:-3],
+        b"head" + gzip.compress(NOISE)[:100] + bytes(300),
+    ],
+)
+def test_what_does_not_unpack_is_reported(packed):
+    assert "opaque" in {s[0] for s in secrets.find_secrets("a " + b64(packed))}
+
+
+def test_streams_nested_too_deep_are_reported():
+    packed = MESSAGE
+    for _ in range(100):
+        packed = zlib.compress(packed)
+    assert {s[0] for s in secrets.find_secrets("a " + b64(packed))} == {"opaque"}
