@@ -126,6 +126,7 @@ def remove_passages(
     gram: int = GRAM,
     shard: int = SHARD,
     hot_blocks: int = R.HOT_BLOCKS,
+    hot_places: int = R.HOT_PLACES,
 ) -> DataFrame:
     """Remove each word in a run of ``length`` words that also starts anywhere else.
 
@@ -144,9 +145,10 @@ def remove_passages(
        meet. They are cut into reference shards of ``shard`` passages. The suffix
        automaton of each is built, all passages of the anchor are streamed through it,
        and windows that occur twice or more are reported.
-    4. The windows of an anchor that is in more than ``hot_blocks`` blocks are told apart
-       by 128 bits of hashes instead, and dealt by those, the first of each block: no
-       anchor, however frequent, gathers the passages around it in one task.
+    4. The windows of an anchor in more than ``hot_blocks`` blocks or ``hot_places`` places
+       are told apart by 128 bits of hashes instead, and dealt by those, the first of each
+       block: no anchor, however frequent, gathers more than ``hot_places`` passages in
+       one task.
 
     The automata are not broadcast to all tasks: their number grows with the corpus, and
     each document would have to be streamed through each. A passage meets those only that
@@ -161,7 +163,10 @@ def remove_passages(
     owned = stored(R.owners(blocks), "owners")
     windows = R.Windows(_words, length, gram)
     answers = stored(
-        B.to_blocks(R.anchor_states(blocks, windows, buckets, hot_blocks), "answers"), "anchor-states"
+        B.to_blocks(
+            R.anchor_states(blocks, windows, buckets, hot_blocks, hot_places), "answers"
+        ),
+        "anchor-states",
     )
 
     def analysed(block, rest):

@@ -15,12 +15,13 @@ from cohort_engine.llm.anchors import Runs, mixed, runs
 from cohort_engine.llm.common import stored
 
 # What is known of an anchor: it occurs once; more often, always amid the same symbols;
-# more often, amid different ones; or so, in very many blocks.
+# more often, amid different ones; or so, in very many places.
 SINGLE, SAME, MIXED, HOT = 0, 1, 2, 3
 
-# An anchor in more blocks than this is hot. What surrounds it is not gathered in one
-# task: its windows are told apart by hashes, and dealt by those.
+# An anchor in more blocks or places than these is hot. What surrounds it is not gathered
+# in one task: its windows are told apart by hashes, and dealt by those.
 HOT_BLOCKS = 1_000
+HOT_PLACES = 10_000
 
 # symbols (uint64), start and number of symbols of each text of a block
 Symbols = Callable[[B.Block], tuple[np.ndarray, np.ndarray, np.ndarray]]
@@ -42,16 +43,17 @@ class Windows:
         return found.take(first[found.text])
 
 
-def _summary(found: Runs) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct grams in ascending order, the hash of the symbols around, the state."""
+def _summary(found: Runs) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct grams in ascending order, the hash of the symbols around, state, places."""
     order = np.lexsort((found.whole, found.gram))
     grams, wholes = found.gram[order], found.whole[order]
     if not len(grams):
-        return grams, wholes, np.zeros(0, np.uint8)
+        return grams, wholes, np.zeros(0, np.uint8), np.zeros(0, np.int32)
     begin = np.flatnonzero(np.append(True, grams[1:] != grams[:-1]))
     last = np.append(begin[1:], len(grams)) - 1
     state = np.where(wholes[begin] != wholes[last], MIXED, np.where(begin == last, SINGLE, SAME))
-    return grams[begin], wholes[begin], state.astype(np.uint8)
+    places = (last - begin + 1).astype(np.int32)
+    return grams[begin], wholes[begin], state.astype(np.uint8), places
 
 
 def together(df: DataFrame, buckets: int) -> DataFrame:
@@ -60,18 +62,22 @@ def together(df: DataFrame, buckets: int) -> DataFrame:
 
 
 def anchor_states(
-    blocks: DataFrame, windows: Windows, buckets: int, hot_blocks: int = HOT_BLOCKS
+    blocks: DataFrame,
+    windows: Windows,
+    buckets: int,
+    hot_blocks: int = HOT_BLOCKS,
+    hot_places: int = HOT_PLACES,
 ) -> DataFrame:
     """(block, bucket, states): a byte for each distinct anchor a block sent to a bucket.
 
-    A block sends each of its distinct anchors once, however often it occurs there. An
-    answer thus gathers a few bytes for each block at most.
+    A block sends each of its distinct anchors once, with the number of its places there.
+    An answer thus gathers a few bytes for each block at most.
     """
 
     def sent(batches):
         for batch in batches:
             for block, rest in B.unpack(batch):
-                grams, wholes, states = _summary(windows.of(block, rest["marks"]))
+                grams, wholes, states, places = _summary(windows.of(block, rest["marks"]))
                 order, cuts = B.split(grams, buckets)
                 for bucket in np.flatnonzero(np.diff(cuts)):
                     part = order[cuts[bucket] : cuts[bucket + 1]]
@@ -82,6 +88,7 @@ def anchor_states(
                             "grams": [grams[part].tobytes()],
                             "wholes": [wholes[part].tobytes()],
                             "states": [states[part].tobytes()],
+                            "places": [places[part].tobytes()],
                         }
                     )
 
@@ -92,6 +99,7 @@ def anchor_states(
         grams = np.frombuffer(b"".join(p["grams"] for p in parts), np.uint64)
         wholes = np.frombuffer(b"".join(p["wholes"] for p in parts), np.uint64)
         states = np.frombuffer(b"".join(p["states"] for p in parts), np.uint8)
+        places = np.frombuffer(b"".join(p["places"] for p in parts), np.int32)
         order = np.argsort(grams)
         sorted_grams = grams[order]
         begin = np.flatnonzero(np.append(True, sorted_grams[1:] != sorted_grams[:-1]))
@@ -101,7 +109,9 @@ def anchor_states(
         )
         state = np.maximum.reduceat(states[order], begin)
         state = np.where(differ, MIXED, np.where(sizes > 1, np.maximum(state, SAME), state))
-        state = np.where((state == MIXED) & (sizes > hot_blocks), HOT, state)
+        total = np.add.reduceat(places[order], begin, dtype=np.int64)
+        many = (sizes > hot_blocks) | (total > hot_places)
+        state = np.where((state == MIXED) & many, HOT, state)
         answer = np.empty(len(grams), np.uint8)
         answer[order] = np.repeat(state, sizes)
         at = 0
@@ -118,7 +128,8 @@ def anchor_states(
 
     return together(
         blocks.mapInArrow(
-            sent, "bucket int, block long, grams binary, wholes binary, states binary"
+            sent,
+            "bucket int, block long, grams binary, wholes binary, states binary, places binary",
         ),
         buckets,
     ).mapInArrow(answered, "block long, bucket int, states binary")
@@ -126,7 +137,7 @@ def anchor_states(
 
 def run_states(found: Runs, answers: list[dict], buckets: int) -> np.ndarray:
     """The state of each run's anchor, from the answers to a block."""
-    grams, _, _ = _summary(found)
+    grams, _, _, _ = _summary(found)
     order, _ = B.split(grams, buckets)
     state = np.zeros(len(grams), np.uint8)
     if len(grams):

@@ -66,6 +66,7 @@ def remove_repeats(
     length: int = LENGTH,
     gram: int = GRAM,
     hot_blocks: int = R.HOT_BLOCKS,
+    hot_places: int = R.HOT_PLACES,
 ) -> DataFrame:
     """Remove each byte that a string of ``length`` bytes covers which starts earlier too.
 
@@ -84,8 +85,8 @@ def remove_repeats(
        the later ones.
     4. Where an anchor is always amid the same bytes, its place is sent without them, and
        only the first of a block. So are the single windows of an anchor that is in more
-       than ``hot_blocks`` blocks, by 128 bits of hashes: no anchor, however frequent,
-       gathers the windows around it in one task.
+       than ``hot_blocks`` blocks or ``hot_places`` places, by 128 bits of hashes: no
+       anchor, however frequent, gathers the windows around more places in one task.
     5. Blocks are sent what is to be removed from their texts.
 
     Runs a job that stores blocks, and one for what is to be removed. Result, a row for
@@ -98,7 +99,9 @@ def remove_repeats(
     owned = stored(R.owners(blocks), "owners")
     windows = R.Windows(_bytes, length, gram)
     answers = stored(
-        B.to_blocks(R.anchor_states(blocks, windows, buckets, hot_blocks), "answers"),
+        B.to_blocks(
+            R.anchor_states(blocks, windows, buckets, hot_blocks, hot_places), "answers"
+        ),
         "anchor-states",
     )
     reach = length - gram

@@ -9,6 +9,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from cohort_engine.llm import anchors, automaton_dedup, suffix_dedup
+from cohort_engine.llm import blocks as B
+from cohort_engine.llm import repeats as R
 from cohort_engine.llm.words import word_hashes, word_spans
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -156,3 +158,34 @@ def test_words_of_texts_end_to_end(texts):
     assert all(
         (x == y) == (a == b) for x, a in zip(lower, hashes) for y, b in zip(lower, hashes)
     )
+
+
+def test_anchors_of_many_places_are_hot(spark, documents):
+    # A template in one block, each time amid other words, and a passage that repeats.
+    template = " ".join(f"t{i}" for i in range(30))
+    lines = [
+        " ".join([*(f"a{n}x{i}" for i in range(20)), template, *(f"b{n}x{i}" for i in range(20))])
+        for n in range(30)
+    ]
+    docs = documents([(1, "\n".join(lines), "s"), (2, "before " + lines[4] + " after", "s")])
+    blocks = B.build(docs, "doc_id", "text", "hot-test")
+    windows = R.Windows(automaton_dedup._words, 35, 12)
+    for places, hot in ((1_000, False), (5, True)):
+        states = R.anchor_states(blocks, windows, 3, hot_places=places).collect()
+        assert any(R.HOT in r.states for r in states) == hot
+    results = [
+        sorted(
+            (r.doc_id, r.n_removed, r.kept_sha256)
+            for r in automaton_dedup.remove_passages(docs, hot_places=places).collect()
+        )
+        for places in (1_000, 5)
+    ]
+    assert results[0] == results[1] and [r[1] for r in results[0]] == [70, 70]
+    results = [
+        sorted(
+            (r.doc_id, r.n_removed, r.kept_sha256)
+            for r in suffix_dedup.remove_repeats(docs, hot_places=places).collect()
+        )
+        for places in (1_000, 5)
+    ]
+    assert results[0] == results[1] and results[0][1][1] > 0
