@@ -72,9 +72,11 @@ def _neighbours() -> ahocorasick.Automaton:
     """
     automaton = ahocorasick.Automaton()
     for word in SPELLED:
-        for gap in _GAPS:
+        for gap in ("", *_GAPS):
             for other in (*SPELLED, *"0123456789"):
-                automaton.add_word(word + gap + other, 1)
+                # Without a gap only a digit continues a run.
+                if gap or other.isdigit():
+                    automaton.add_word(word + gap + other, 1)
     automaton.make_automaton()
     return automaton
 
@@ -110,7 +112,8 @@ def plain_identifiers(text: str) -> Iterator[tuple[int, int, int]]:
     for start, end in emails(text):
         yield 0, start, end
     for m in IP.finditer(text):
-        if all(len(part.lstrip("0")) <= 3 and int(part) <= 255 for part in m[0].split(".")):
+        parts = [part.lstrip("0") or "0" for part in m[0].split(".")]
+        if all(len(part) <= 3 and int(part) <= 255 for part in parts):
             yield 1, m.start(), m.end()
     for m in CARD.finditer(text):
         if m.end() - m.start() >= 16:

@@ -243,3 +243,15 @@ def test_streams_nested_too_deep_are_reported():
     for _ in range(100):
         packed = zlib.compress(packed)
     assert {s[0] for s in secrets.find_secrets("a " + b64(packed))} == {"opaque"}
+
+
+def test_spelled_digits_between_digits_without_gaps():
+    text = "ring +49 four5six7eight9 now"
+    assert [text[s:e] for k, s, e, _ in pii.find_identifiers(text) if k == "phone"] == [
+        "+49 four5six7eight9"
+    ]
+
+
+def test_ip_parts_of_very_many_zeros():
+    text = "0" * 5_000 + ".1.2.3"
+    assert pii.find_identifiers(text) == [("ip", 0, len(text), "")]
