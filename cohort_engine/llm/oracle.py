@@ -192,6 +192,128 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, coalesce(n_links, 0)
 FROM docs JOIN least USING (row) LEFT JOIN sizes USING (row) LEFT JOIN degrees USING (row)
 """
 
+TERMS = (
+    r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',"
+    r" 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+)
+
+LEXICAL_SEARCH = f"""
+WITH docs AS (
+    SELECT row_number() OVER () AS row, doc_id, {TERMS} AS terms FROM documents
+), totals AS (
+    SELECT count(*) FILTER (WHERE len(terms) > 0) AS documents, sum(len(terms))::BIGINT AS total
+    FROM docs
+), items AS (
+    SELECT row_number() OVER () AS item, item_id, {TERMS} AS terms FROM benchmark
+), asked AS (
+    SELECT item, item_id, term, count(*) AS times
+    FROM (SELECT item, item_id, unnest(terms) AS term FROM items) GROUP BY ALL
+), counts AS (
+    SELECT row, doc_id, n, term, count(*) AS tf
+    FROM (SELECT row, doc_id, len(terms) AS n, unnest(terms) AS term FROM docs) GROUP BY ALL
+), weights AS (
+    SELECT term,
+           floor(1000 * ln((2 * any_value(documents) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+    FROM counts, totals GROUP BY term
+), impacts AS (
+    SELECT row, doc_id, term,
+           (1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * documents) // total)) AS impact
+    FROM counts, totals
+), scores AS (
+    SELECT item, item_id, row, doc_id, sum(times * w * impact)::BIGINT AS score
+    FROM asked JOIN weights USING (term) JOIN impacts USING (term) GROUP BY ALL
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS rank
+    FROM scores WHERE score > 0
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
+
+# Words q apart agree over max(12 - q, q) places of a run at least, and so over 6.
+PERIODIC_RUNS = rf"""
+WITH crc_table AS (
+    SELECT list_transform(range(256), lambda i: list_reduce(
+        [i, 0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[],
+        lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END
+    )) AS steps
+), docs AS (
+    SELECT row_number() OVER () AS row, doc_id, {_words("text")} AS words,
+           list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)) AS digits
+    FROM documents
+), hashed AS (
+    SELECT row, doc_id, words, len(words) AS n, xor(4294967295, list_reduce(
+        list_prepend(4294967295::BIGINT, digits::BIGINT[]),
+        lambda c, d: xor(c >> 8, steps[(xor(c, d) & 255) + 1])
+    )) AS h
+    FROM docs, crc_table
+), placed AS (
+    SELECT *, CASE WHEN n > 0 THEN (h // 10) % n END AS a,
+           CASE WHEN n > 0 THEN 1 + (n - (h // 10) % n) // (3 + (h // 10) % 8) END AS p
+    FROM hashed
+), texts AS (
+    SELECT row, doc_id, n,
+           CASE WHEN h % 10 = 0 AND n > 0
+                THEN list_transform(range(n), lambda i:
+                         words[CASE WHEN i < a THEN i ELSE a + (i - a) % p END + 1])
+                ELSE words END AS words
+    FROM placed
+), places AS (
+    SELECT row, n, words, unnest(range(n)) AS i FROM texts
+), grams AS (
+    SELECT row, i, words[i + 1:i + 6] AS gram FROM places WHERE i + 6 <= n
+), agreeing AS (
+    SELECT x.row, x.i, y.i - x.i AS q
+    FROM grams x JOIN grams y ON x.row = y.row AND x.gram = y.gram AND x.i < y.i
+), parts AS (
+    SELECT row, q, i, i - row_number() OVER (PARTITION BY row, q ORDER BY i) AS part FROM agreeing
+), stretches AS (
+    SELECT row, q, min(i) AS start, count(*) + 5 + q AS length FROM parts GROUP BY row, q, part
+), runs AS (
+    SELECT row, start, length, min(q) AS period FROM stretches
+    WHERE length >= greatest(12, 2 * q) GROUP BY row, start, length
+), listed AS (
+    SELECT row, count(*) AS n_runs,
+           string_agg(start || ',' || length || ',' || period || chr(10), ''
+                      ORDER BY start, period) AS lines,
+           max({{'length': length, 'start': -start, 'period': -period}}) AS best
+    FROM runs GROUP BY row
+), gone AS (
+    SELECT DISTINCT row, unnest(range(start + period, start + length)) AS i FROM runs
+), kept AS (
+    SELECT row, string_agg(words[i + 1], ' ' ORDER BY i) AS collapsed
+    FROM places ANTI JOIN gone USING (row, i) GROUP BY row
+)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, -best.start AS start, best.length AS length,
+       -best.period AS period, (1000 * best.length) // -best.period AS exponent_milli,
+       sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(collapsed, '')) AS collapsed_sha256
+FROM texts LEFT JOIN listed USING (row) LEFT JOIN kept USING (row)
+"""
+
+NEAR_VECTORS = """
+WITH RECURSIVE vectors AS (
+    SELECT row_number() OVER () AS row, vec_id, embedding::DOUBLE[] AS v FROM embeddings
+), directed AS (
+    SELECT * FROM vectors
+    WHERE len(list_filter(v, lambda x: x <> 0)) > 0
+      AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), links AS (
+    SELECT a.row AS a, b.row AS b FROM directed a JOIN directed b
+    ON a.row <> b.row AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.95
+), reached AS (
+    SELECT row AS a, row AS b FROM vectors
+    UNION
+    SELECT r.a, l.b FROM reached r JOIN links l ON l.a = r.b
+), least AS (
+    SELECT r.a AS row, min(vec_id) AS component_id
+    FROM reached r JOIN vectors v ON v.row = r.b GROUP BY r.a
+), degrees AS (
+    SELECT a AS row, count(*) AS n_links FROM links GROUP BY a
+)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id,
+       component_id IS NOT DISTINCT FROM vec_id AS kept
+FROM vectors JOIN least USING (row) LEFT JOIN degrees USING (row)
+"""
+
 ORACLE = {
     "op1_quality_rules": QUALITY_RULES,
     "op3_mixing": MIXING,
@@ -199,4 +321,7 @@ ORACLE = {
     "op5_exact_dedup": EXACT_DEDUP,
     "op7_ngram_jaccard": NGRAM_JACCARD,
     "op9_substring_dedup": SUBSTRING_DEDUP,
+    "op11_lexical_search": LEXICAL_SEARCH,
+    "op12_periodic_runs": PERIODIC_RUNS,
+    "op13_embedding_forest": NEAR_VECTORS,
 }

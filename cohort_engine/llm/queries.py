@@ -10,12 +10,15 @@ from cohort_engine.llm import (
     bpe,
     exact_dedup,
     jaccard,
+    lexical_search,
     mixing,
+    periodic_runs,
     pii,
     quality_model,
     quality_rules,
     secrets,
     suffix_dedup,
+    vector_forest,
 )
 from cohort_engine.llm.oracle import ORACLE
 
@@ -88,6 +91,24 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents of each benchmark item."""
+    return lexical_search.search(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    )
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of all documents, of which every tenth is made periodic first."""
+    docs = periodic_runs.with_periods(_table(spark, sf_dir, "documents"))
+    return periodic_runs.runs_digest(periodic_runs.find_runs(docs))
+
+
+def op13_embedding_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all embeddings."""
+    return vector_forest.near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -101,5 +122,8 @@ QUERIES = {
         op8_pii,
         op9_substring_dedup,
         op10_bpe,
+        op11_lexical_search,
+        op12_periodic_runs,
+        op13_embedding_forest,
     )
 }

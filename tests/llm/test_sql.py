@@ -15,7 +15,8 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason=f"no test data
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{FOLDER}/documents.parquet'")
+    for table in ("documents", "benchmark", "embeddings"):
+        con.sql(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
     df = QUERIES[name](spark, FOLDER)
     columns = sorted(df.columns)
     assert sorted(con.sql(ORACLE[name]).columns) == columns
@@ -28,5 +29,5 @@ def test_query_equals_sql(spark, name):
 def test_registered():
     names = set(entry.queries())
     assert set(QUERIES) | {"pipeline"} <= names
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(ORACLE) <= set(entry.oracle_sql())
