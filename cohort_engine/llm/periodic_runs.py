@@ -1,8 +1,8 @@
 """Stretches of words that repeat with a period, found in tiles of each period octave.
 
 A run is a stretch of words with smallest period q (words q apart are equal) and at least
-``max(MIN_LENGTH, 2 * q)`` words that no neighbouring word extends. Texts of up to
-``TILE`` words are one tile. Longer ones become rows of overlapping tiles, those of an
+``max(MIN_LENGTH, 2 * q)`` words that no neighbouring word extends. Texts of less than
+8 * ``TILE`` characters are one tile. Longer ones become rows of overlapping tiles, those of an
 octave of periods from P to 2P - 1 being a few P long; tasks solve tiles on their own, a
 shuffle by text and period joins the fragments of a run that crosses tiles.
 """
@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from cohort_engine.llm.common import chunks, let, text_of, words_of
 
 MIN_LENGTH = 12
-# Words of a tile at least; also the longest text that one tile holds.
+# Words of a tile at least.
 TILE = 4096
 # A tile has the length of this many smallest periods of its octave; neighbours share half.
 PERIODS = 8
@@ -189,19 +189,19 @@ def _solve_whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 strict=True,
             ):
                 runs[i].append(tuple(run))
-            yield _solved(piece.column("doc"), texts, runs)
+            yield _solved(piece.column("id"), texts, runs)
 
 
-def _solved(docs, texts: list[list[bytes]], runs: list[list[tuple]]) -> pa.RecordBatch:
+def _solved(ids, texts: list[list[bytes]], runs: list[list[tuple]]) -> pa.RecordBatch:
     kind = pa.list_(pa.struct([(f, pa.int64()) for f in _FIELDS]))
     return pa.RecordBatch.from_arrays(
         [
-            docs,
+            ids,
             pa.array([len(t) for t in texts], pa.int64()),
             pa.array([[dict(zip(_FIELDS, r, strict=True)) for r in rs] for rs in runs], kind),
             pa.array([collapsed(t, r) for t, r in zip(texts, runs, strict=True)], pa.string()),
         ],
-        ["doc", "n_words", "runs", "collapsed"],
+        ["id", "n_words", "runs", "collapsed"],
     )
 
 
@@ -311,32 +311,33 @@ def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             words = row.column("text")[0].as_py().encode().split()
             found = row.column("runs")[0].as_py() or []
             runs = [(r["start"], r["length"], r["period"]) for r in found]
-            yield _solved(row.column("doc"), [words], [runs])
+            yield _solved(row.column("id"), [words], [runs])
 
 
 def find_runs(
-    docs: DataFrame, text_col: str = "text", tile: int = TILE
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tile: int = TILE
 ) -> DataFrame:
-    """The columns of ``docs`` as a struct ``doc``, n_words, runs and the collapsed text.
+    """(id, n_words, runs, collapsed) for each row of ``docs``.
 
     ``runs`` are all runs (start, length, period), by start, then period. ``collapsed`` holds
     the words joined by one space, without those that any run contains after its first
     period. A null or empty text has no words and no runs. Every row is answered, repeated
-    ones each; ids, null ones too, only pass through. ``docs`` may have any other columns.
-    Texts of up to ``tile`` words are never shuffled. Of longer ones the tiles are, as word
-    numbers, and once the text; their key is the SHA-256 of the text, so that copies of a long
-    text are solved once. Lazy: runs no job.
+    ones each; the id, of any type and maybe null, only passes through. An empty table gives
+    an empty result. Other columns are not read.
+
+    Texts of less than 8 * ``tile`` characters are one tile and never shuffled. Of longer
+    ones the tiles are, as word numbers, and twice the text; their key is the SHA-256 of the
+    text, so that copies of a long text are solved once. Lazy: runs no job.
     """
     if tile < 32:
         raise ValueError("a tile needs 32 words at least")
-    text = text_of(f"`{text_col}`")
-    doc = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
-    sized = docs.select(doc, text.alias("text"))
-    # Words and the spaces between them take two characters each at least.
-    long = (F.length("text") >= 2 * tile) & (F.size(F.split("text", r"[\x20\x09-\x0D]+")) > tile)
+    sized = docs.select(
+        F.col(f"`{id_col}`").alias("id"), text_of(f"`{text_col}`").alias("text")
+    )
+    long = F.length("text") >= 8 * tile
     schema = T.StructType(
         [
-            docs.select(doc).schema["doc"],
+            sized.schema["id"],
             T.StructField("n_words", T.LongType()),
             T.StructField("runs", RUNS),
             T.StructField("collapsed", T.StringType()),
@@ -353,8 +354,11 @@ def find_runs(
         .repartition("key", "first", "low")
     )
     runs = stitched(tiles.mapInArrow(_solve_tiles, _FRAGMENTS))
-    solved = keyed.join(runs, "key", "left").select("doc", "text", "runs")
-    return short.unionByName(solved.mapInArrow(_finish, schema))
+    solved = keyed.join(runs, "key", "left").select("id", "text", "runs")
+    return (
+        short.unionByName(solved.mapInArrow(_finish, schema))
+        .withColumnRenamed("id", id_col)
+    )
 
 
 def with_periods(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -411,7 +415,7 @@ def runs_digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
     )
     joined = F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
     return found.select(
-        F.col(f"doc.`{id_col}`").alias("doc_id"),
+        F.col(f"`{id_col}`").alias("doc_id"),
         F.size("runs").cast("long").alias("n_runs"),
         best.alias("best"),
         F.sha2(joined, 256).alias("runs_sha256"),
