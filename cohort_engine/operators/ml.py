@@ -5,10 +5,8 @@ from __future__ import annotations
 import math
 import random
 from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import (
@@ -27,6 +25,7 @@ from pyspark.sql.window import Window
 
 from cohort_engine.functions.hashing import hash_order
 from cohort_engine.operators.sampling import take_by_hash
+from cohort_engine.operators.sweep import Setting, Sweep
 from cohort_engine.sources.io import quoted
 
 # Feature columns besides the numbered ones.
@@ -230,23 +229,18 @@ def stratified_folds(
     ).drop("of", "group")
 
 
-def f1_of_ones(predictions: DataFrame) -> float:
+def f1_of_ones(hits: int, wrong: int, rows: int) -> float:
     """F1 of label 1; 0 if there is neither a label nor a prediction of 1."""
-    label, guess = F.col("label") == 1, F.col("prediction") == 1
-    hit, wrong = predictions.agg(
-        F.count_if(label & guess), F.count_if(label != guess)
-    ).first()
-    return 2 * hit / (2 * hit + wrong) if hit or wrong else 0.0
+    return 2 * hits / (2 * hits + wrong) if hits or wrong else 0.0
 
 
-def accuracy(predictions: DataFrame) -> float:
+def accuracy(hits: int, wrong: int, rows: int) -> float:
     """Share of predictions that equal the label."""
-    right = F.avg((F.col("label") == F.col("prediction")).cast("double"))
-    return predictions.agg(right).first()[0]
+    return 1 - wrong / rows
 
 
 class _Folds:
-    """An encoded, persisted training set in stratified folds."""
+    """An encoded training set in stratified folds."""
 
     def __init__(self, df, stages, label, key, folds, partitions):
         split = stratified_folds(df, label, key, folds)
@@ -254,37 +248,31 @@ class _Folds:
         self.total = sum(self.rows.values())
         if self.total == 0:
             raise ValueError("no training rows: is any label 1?")
+        self.folds, self.partitions = folds, partitions
         self.encoder = fit_encoder(df, stages)
-        data = self.encoder.transform(split).select(
+        self.data = self.encoder.transform(split).select(
             "features", F.col(label).cast("double").alias("label"), "fold"
         )
-        self.data = (data.coalesce(partitions) if partitions else data).persist(
-            StorageLevel.MEMORY_AND_DISK
-        )
 
-    def fit(self, params, fold=None):
-        """Model of all rows, or of all but one fold."""
-        data = self.data if fold is None else self.data.filter(F.col("fold") != fold)
-        rows = self.total - (0 if fold is None else self.rows[fold])
-        return LogisticRegression(**params_to_lr(params, rows)).fit(data)
+    def fit(self, params):
+        """Model of all rows."""
+        return LogisticRegression(**params_to_lr(params, self.total)).fit(self.data)
 
-    def scores(self, space, metric, parallelism):
+    def scores(self, space, metric):
         """Per parameter setting the metric on each fold, by a model of the others."""
-
-        @inheritable_thread_target(self.data.sparkSession)
-        def held_out(params, fold):
-            tested = self.data.filter(F.col("fold") == fold)
-            return metric(self.fit(params, fold).transform(tested))
-
-        with ThreadPoolExecutor(max_workers=parallelism) as pool:
-            jobs = [[pool.submit(held_out, p, fold) for fold in self.rows] for p in space]
-            return [[job.result() for job in row] for row in jobs]
-
-    def __enter__(self):
-        return self
-
-    def __exit__(self, *_):
-        self.data.unpersist()
+        settings = []
+        for params in space:
+            for fold, rows in sorted(self.rows.items()):
+                lr = params_to_lr(params, self.total - rows)
+                settings.append(Setting(fold, lr["regParam"], lr["elasticNetParam"], lr["tol"]))
+        sweep = Sweep(self.data, self.partitions)
+        try:
+            counts = sweep.count(sweep.fit(settings, self.folds), settings)
+        finally:
+            sweep.close()
+        found = [metric(*map(int, row)) for row in counts]
+        each = len(self.rows)
+        return [found[i : i + each] for i in range(0, len(found), each)]
 
 
 def tune(
@@ -294,23 +282,22 @@ def tune(
     folds: int = 5,
     label: str = "label",
     key: str | Sequence[str] = "Enc_Id",
-    parallelism: int = 8,
     partitions: int | None = None,
     **encoder_options,
 ) -> TuneResult:
     """Try parameter settings; the loss is minus the worst F1 of label 1 over folds.
 
-    ``df`` should be a stored table; it is encoded once. Each fit is a series of Spark
-    jobs over all executors, and ``parallelism`` fits are in flight at a time. An
-    iteration costs a task for each partition; ``partitions`` packs the encoded rows of a
-    small training set into so many.
+    ``df`` should be a stored table; it is encoded once. All settings are fitted on all
+    folds at the same time, with one job for each step (see ``sweep``). A step costs a task
+    for each partition; ``partitions`` packs the encoded rows of a small training set into
+    so many.
     """
     space = search_space() if space is None else list(space)
-    stages = encoder(features, **encoder_options)
-    with _Folds(df, stages, label, key, folds, partitions) as split:
-        scores = split.scores(space, f1_of_ones, parallelism)
-        rows = split.total
-    return TuneResult([{**p, "loss": -min(row), "rows": rows} for p, row in zip(space, scores)])
+    split = _Folds(df, encoder(features, **encoder_options), label, key, folds, partitions)
+    scores = split.scores(space, f1_of_ones)
+    return TuneResult(
+        [{**p, "loss": -min(row), "rows": split.total} for p, row in zip(space, scores)]
+    )
 
 
 def train(
@@ -320,15 +307,14 @@ def train(
     folds: int = 5,
     label: str = "label",
     key: str | Sequence[str] = "Enc_Id",
-    parallelism: int = 8,
     partitions: int | None = None,
     **encoder_options,
 ) -> tuple[PipelineModel, float]:
     """(model of all rows, mean accuracy over ``folds``; nan without folds)."""
     stages = encoder(features, **encoder_options)
-    with _Folds(df, stages, label, key, max(folds, 1), partitions) as split:
-        scores = split.scores([params], accuracy, parallelism)[0] if folds > 1 else [math.nan]
-        model = PipelineModel([*split.encoder.stages, split.fit(params)])
+    split = _Folds(df, stages, label, key, max(folds, 1), partitions)
+    scores = split.scores([params], accuracy)[0] if folds > 1 else [math.nan]
+    model = PipelineModel([*split.encoder.stages, split.fit(params)])
     return model, sum(scores) / len(scores)
 
 

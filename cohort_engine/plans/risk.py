@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame
@@ -94,7 +95,6 @@ def run_study(
     config: RiskConfig | None = None,
     n_evals: int = 32,
     folds: int = 5,
-    parallelism: int = 8,
     balance_mode: str = "exact",
     tags: dict | None = None,
     **encoder_options,
@@ -123,15 +123,44 @@ def run_study(
         features.balance(stored, mode=balance_mode, seed=43), names, keep=["Enc_Id"]
     )
     save(rows, dataset.path("training_set"), dataset.fmt, "overwrite")
-    rows = load(spark, dataset.path("training_set"), dataset.fmt)
-    tuned = ml.tune(
-        rows, names, ml.search_space(n_evals), folds, parallelism=parallelism, **encoder_options
+    return learn(
+        load(spark, dataset.path("training_set"), dataset.fmt),
+        names,
+        config,
+        dataset.path("models"),
+        runs,
+        path,
+        run_id,
+        n_evals,
+        folds,
+        **encoder_options,
     )
+
+
+def learn(
+    rows: DataFrame,
+    names: Sequence[str],
+    config: RiskConfig,
+    models_path: str,
+    runs_path: str,
+    features_path: str = "",
+    run_id: str | None = None,
+    n_evals: int = 32,
+    folds: int = 5,
+    **encoder_options,
+) -> Study:
+    """Tune on the stored training set ``rows``, train the best model, store and log it.
+
+    The table of runs gets a row for each trial, one for the best and one for the model
+    with its cross-validated accuracy.
+    """
+    spark, run_id = rows.sparkSession, run_id or uuid.uuid4().hex
+    tuned = ml.tune(rows, names, ml.search_space(n_evals), folds, **encoder_options)
     best = min(t["loss"] for t in tuned.trials)
     settings = {**asdict(config), "run_id": run_id}
     models.log_runs(
         spark,
-        runs,
+        runs_path,
         [
             (
                 f"trial-{i}",
@@ -142,16 +171,14 @@ def run_study(
             for i, trial in enumerate(tuned.trials)
         ],
     )
-    models.log_run(spark, runs, "tuning", {**settings, **tuned.best}, {"loss": best})
-    model, accuracy = ml.train(
-        rows, names, tuned.best, folds, parallelism=parallelism, **encoder_options
-    )
-    location = models.save_model(model, dataset.path("models"), config.model_name, run_id)
+    models.log_run(spark, runs_path, "tuning", {**settings, **tuned.best}, {"loss": best})
+    model, accuracy = ml.train(rows, names, tuned.best, folds, **encoder_options)
+    location = models.save_model(model, models_path, config.model_name, run_id)
     models.log_run(
-        spark, runs, "training", {**settings, **tuned.best}, {"accuracy": accuracy}, location
+        spark, runs_path, "training", {**settings, **tuned.best}, {"accuracy": accuracy}, location
     )
     return Study(
-        run_id, path, config.model_name, run_id, location, tuned.best, best, accuracy
+        run_id, features_path, config.model_name, run_id, location, tuned.best, best, accuracy
     )
 
 

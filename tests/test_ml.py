@@ -109,7 +109,7 @@ def test_one_positive_row(spark):
         (F.col("id") % 4).cast("string").alias("site"),
         (F.col("id") == 7).cast("int").alias("label"),
     )
-    result = ml.tune(few, ["site"], ml.search_space(1), folds=5, parallelism=2)
+    result = ml.tune(few, ["site"], ml.search_space(1), folds=5)
     assert result.trials[0]["loss"] == 0
 
 
@@ -165,7 +165,7 @@ def test_scoring_stays_in_the_jvm(trained, rows):
 
 
 def test_tune(spark, rows):
-    result = ml.tune(rows, NAMES, ml.search_space(2), folds=2, parallelism=2)
+    result = ml.tune(rows, NAMES, ml.search_space(2), folds=2)
     assert len(result.trials) == 2
     assert all(-1 <= t["loss"] < -0.7 for t in result.trials)
     best = min(result.trials, key=lambda t: t["loss"])
