@@ -52,8 +52,7 @@ def controls(
         wanted = row_count(cases) if n is None else F.lit(n)
         return take_by_hash(others, "PATIENT", wanted, seed)
     status = patient_status(encounters, cases, literal)
-    wanted = row_count(status.filter("is_positive")) if n is None else F.lit(n)
-    cutoff = hash_cutoff(status.filter(~F.col("is_positive")), "PATIENT", wanted, seed)
+    cutoff = hash_cutoff(status, "PATIENT", n, seed, among=~F.col("is_positive"))
     # As one comparison with the status in it, which can't be moved below the aggregation:
     # its result then serves the cutoff as well. "h" is above all cutoffs.
     place = F.when(F.col("is_positive"), F.lit("h")).otherwise(hash_order("PATIENT", seed))
@@ -69,9 +68,7 @@ def case_control(
     both groups is then a filter on it.
     """
     status = patient_status(encounters, condition, literal)
-    others = status.filter(~F.col("is_positive"))
-    wanted = row_count(status.filter(F.col("is_positive")))
-    cutoff = hash_cutoff(others, "PATIENT", wanted, seed)
+    cutoff = hash_cutoff(status, "PATIENT", seed=seed, among=~F.col("is_positive"))
     return status.filter(F.col("is_positive") | (hash_order("PATIENT", seed) <= cutoff))
 
 

@@ -14,7 +14,7 @@ from cohort_engine.config import RiskConfig
 from cohort_engine.functions.hashing import hash_order
 from cohort_engine.functions.text import contains_text
 from cohort_engine.operators.cohorts import CONDITION
-from cohort_engine.operators.sampling import hash_cutoff, row_count
+from cohort_engine.operators.sampling import hash_cutoff
 
 
 def add_comorbidities(
@@ -142,13 +142,15 @@ def balance(
     """All rows of label 1 and as many rows of label 0.
 
     ``exact`` picks label-0 rows by md5 of ``key``, which must identify a row; the
-    rows are filtered against one scalar cutoff and never shuffled. ``fraction``
+    rows are filtered against one scalar cutoff and never shuffled; ``df`` is read once
+    for the cutoff and once for the rows. ``fraction``
     draws each label-0 row with the matching probability, after one job that counts
     the labels. Call either on stored features, since both read them again.
     """
     is_one, is_zero = F.col(label) == 1, F.col(label) == 0
     if mode == "exact":
-        cutoff = hash_cutoff(df.filter(is_zero), key, row_count(df.filter(is_one)), seed)
+        rows = df.filter(is_one | is_zero)
+        cutoff = hash_cutoff(rows, key, seed=seed, among=is_zero)
         return df.filter(is_one | (is_zero & (hash_order(key, seed) <= cutoff)))
     if mode == "fraction":
         counted = df.agg(F.count_if(is_zero).alias("zeros"), F.count_if(is_one).alias("ones"))

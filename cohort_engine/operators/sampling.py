@@ -19,24 +19,43 @@ _BELOW_ALL, _ABOVE_ALL = "", "g"
 
 
 def hash_cutoff(
-    df: DataFrame, keys: str | Sequence[str], n: Column, seed: str | int | None = None
+    df: DataFrame,
+    keys: str | Sequence[str],
+    n: Column | int | None = None,
+    seed: str | int | None = None,
+    among: Column | None = None,
 ) -> Column:
-    """Largest md5 among the ``n`` smallest of ``df``, as a scalar subquery.
+    """Largest md5 among the ``n`` smallest of the rows ``among``, as a scalar subquery.
 
-    A cascade of map-side-combined aggregations finds it. A histogram by the first
-    digits of the hash tells which bucket holds the n-th key, the next histogram does
-    the same inside that bucket, and the hashes of the last bucket are ranked. Rows
-    with the same hash are counted before they are shuffled. No window sees more than
-    the buckets of a histogram or the hashes of the last bucket.
+    Without ``n`` as many as there are rows for which ``among`` is false.
+
+    ``df`` is read once: one map-side-combined aggregation counts the rows of each hash,
+    those among and the others. All that follows reads its result (Spark reuses the
+    exchange): a histogram by the first digits of the hash tells which bucket holds the n-th
+    row, the next one does the same inside that bucket, and the hashes of the last bucket
+    are ranked. No window sees more than the buckets of a histogram or the hashes of the
+    last bucket.
     """
-    hashed = df.select(hash_order(keys, seed).alias("h"))
+    among = F.lit(True) if among is None else F.coalesce(among, F.lit(False))
+    counted = df.select(hash_order(keys, seed).alias("h"), among.alias("among"))
+    counted = counted.groupBy("h").agg(
+        F.count_if("among").alias("rows"), F.count_if(~F.col("among")).alias("others")
+    )
+    # True for every row: it keeps both counts in all that reads them, so that these read
+    # the same exchange.
+    counted = counted.filter(F.col("rows") + F.col("others") > 0)
+    if n is None:
+        both = counted.groupBy().sum("rows", "others")
+        n = both.select(F.coalesce(F.col("sum(others)"), F.lit(0)).alias("others")).scalar()
+    n = F.lit(n) if isinstance(n, int) else n
     running = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
-    inside = hashed.withColumn("before", F.lit(0).cast("long"))
+    inside = counted.select("h", "rows", F.lit(0).cast("long").alias("before"))
     for level in range(LEVELS):
         bucket = F.substring("h", 1, DIGITS * (level + 1))
         edge = (
             inside.groupBy(bucket.alias("bucket"), "before")
-            .agg(F.count(F.lit(1)).alias("rows"))
+            .sum("rows")
+            .withColumnRenamed("sum(rows)", "rows")
             .withColumn("upto", F.col("before") + F.sum("rows").over(running))
             .filter(F.col("upto") >= n)
             .agg(F.min(F.struct("bucket", "rows", "upto")).alias("e"))
@@ -46,12 +65,12 @@ def hash_cutoff(
             )
         )
         # An aggregate without keys: one row.
-        inside = hashed.join(F.broadcast(edge), bucket == F.col("bucket")).select("h", "before")
+        inside = counted.join(F.broadcast(edge), bucket == F.col("bucket")).select(
+            "h", "rows", "before"
+        )
     by_hash = Window.orderBy("h").rowsBetween(Window.unboundedPreceding, 0)
     return (
-        inside.groupBy("h", "before")
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .withColumn("upto", F.col("before") + F.sum("rows").over(by_hash))
+        inside.withColumn("upto", F.col("before") + F.sum("rows").over(by_hash))
         .filter(F.col("upto") - F.col("rows") < n)
         .agg(F.max("h").alias("h"))
         .select(

@@ -78,3 +78,53 @@ def test_windows_see_few_rows(spark, monkeypatch):
     left = [md5(str(i)) for i in range(5_000)]
     edge = sorted(left)[1_233][:2]
     assert sum(h.startswith(edge) for h in left) < 60
+
+
+def _records_read(df):
+    """Rows that the scans of ``df`` have put out, which has run once."""
+    seen, total = set(), 0
+
+    def visit(plan):
+        nonlocal total
+        name = plan.getClass().getSimpleName()
+        if name in ("ReusedExchangeExec", "ReusedSubqueryExec"):
+            return
+        if name == "FileSourceScanExec" and plan.id() not in seen:
+            seen.add(plan.id())
+            total += plan.metrics().apply("numOutputRows").value()
+        inside = {"AdaptiveSparkPlanExec": "executedPlan", "SubqueryExec": "child"}
+        if name.endswith("QueryStageExec"):
+            visit(plan.plan())
+        elif name in inside:
+            visit(getattr(plan, inside[name])())
+        for part in (plan.children(), plan.subqueries()):
+            for i in range(part.size()):
+                visit(part.apply(i))
+
+    visit(df._jdf.queryExecution().executedPlan())
+    return total
+
+
+def test_balance_and_cohort_read_the_table_few_times(spark, tmp_path):
+    from cohort_engine.operators.cohorts import case_control
+    from cohort_engine.operators.features import balance
+
+    path = str(tmp_path / "rows")
+    spark.range(3_000).selectExpr(
+        "cast(id AS string) AS Enc_Id",
+        "cast(id % 5 = 0 AS int) AS label",
+        "id % 700 AS PATIENT",
+        "if(id % 700 < 90, 'sick', 'well') AS REASONDESCRIPTION",
+    ).write.parquet(path)
+    balanced = balance(spark.read.parquet(path))
+    rows = balanced.collect()
+    assert len(rows) == 1_200 and sum(r.label for r in rows) == 600
+    assert _records_read(balanced) == 2 * 3_000
+    chosen = take_by_hash(spark.read.parquet(path), "Enc_Id", 50)
+    assert len(chosen.collect()) == 50
+    assert _records_read(chosen) == 2 * 3_000
+    cohort = case_control(spark.read.parquet(path), "sick")
+    rows = cohort.collect()
+    assert len(rows) == 180 and sum(r.is_positive for r in rows) == 90
+    # One aggregation by patient serves all.
+    assert _records_read(cohort) <= 2 * 3_000
