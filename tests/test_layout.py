@@ -3,7 +3,8 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from cohort_engine.functions.zcurve import cut_points, z_value
+from cohort_engine.functions.zcurve import cuts_of, z_value
+from cohort_engine.sources import layout
 from cohort_engine.sources.io import load, save
 from cohort_engine.sources.layout import bits_for, table_bytes, zorder, zorder_write
 
@@ -69,10 +70,40 @@ def test_hot_value_is_split_over_files(spark, tmp_path):
     assert sum(sizes) == 9000 and max(sizes) < 2500
 
 
-def test_cut_points():
-    assert cut_points(range(8), 2) == [(2, 1), (4, 2), (6, 3)]
-    assert cut_points([5, 5, 5, 5, 5, 5, 9, None, float("nan")], 2) == [(5, 3)]
-    assert cut_points([], 3) == []
+def test_cuts_of():
+    assert cuts_of([2, 4, 6]) == [(2, 1), (4, 2), (6, 3)]
+    assert cuts_of([5, 5, 5]) == [(5, 3)]
+    assert cuts_of([]) == []
+
+
+def test_cuts_come_from_sketches(spark):
+    df = spark.range(40_000).select(
+        F.col("id").alias("n"),
+        F.when(F.col("id") % 10 > 0, F.col("id") / 7).otherwise(float("nan")).alias("x"),
+        F.format_string("s%06d", "id").alias("t"),
+        F.lit(None).cast("long").alias("none"),
+        F.lit(3).cast("long").alias("same"),
+    )
+    keys = [F.col(c) for c in df.columns]
+    n, x, t, none, same = layout._cuts(df, keys, 3, 8_000, 1)
+    assert [r for _, r in n] == [r for _, r in x] == [r for _, r in t] == list(range(1, 8))
+    for (number, rank), (text, _), (ratio, _) in zip(n, t, x):
+        assert abs(number - rank * 5_000) < 200
+        assert abs(int(text[1:]) - rank * 5_000) < 1_500
+        assert abs(ratio * 7 - rank * 5_000) < 300
+    assert none == [] and same == [(3, 7)]
+
+
+def test_one_column_needs_no_curve(spark, stored, tmp_path):
+    path = str(tmp_path / "ranged")
+    zorder_write(stored, ["d"], path, files=10)
+    out = load(spark, path)
+    assert out.exceptAll(stored).count() == 0
+    low, high = dt.date(2003, 1, 1), dt.date(2003, 2, 1)
+    before = layout.files_to_read(stored, "d", low, high).first()
+    after = layout.files_to_read(out, "d", low, high).first()
+    assert before.to_read == before.files and after.files == 10 and after.to_read <= 2
+    assert layout.files_to_read(out, "d", dt.date(1900, 1, 1), dt.date(1901, 1, 1)).first().to_read == 0
 
 
 def test_z_value_interleaves(spark):
@@ -88,7 +119,7 @@ def test_z_value_interleaves(spark):
         z_value([F.col("x")] * 8, [[]] * 8, 8)
 
 
-@pytest.mark.parametrize("dimensions", [1, 2, 4])
+@pytest.mark.parametrize("dimensions", [2, 4])
 def test_more_cells_than_files_at_any_number(dimensions):
     for files in (10, 1_000, 800_000, 10**8):
         assert files < 2 ** (bits_for(files, dimensions) * dimensions) <= 2**62
@@ -104,7 +135,8 @@ def test_searched_ranks_equal_the_tree(spark, monkeypatch):
     )
     rows = df.collect()
     columns = ["n", "s", "x"]
-    cuts = [cut_points([r[c] for r in rows], 4) for c in columns]
+    values_of = {c: sorted(r[c] for r in rows if r[c] is not None) for c in columns}
+    cuts = [cuts_of([v[k * len(v) // 16] for k in range(1, 16)]) for v in values_of.values()]
 
     def values():
         z = z_value([F.col(c) for c in columns], cuts, 4)
