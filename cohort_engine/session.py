@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import SparkSession
@@ -28,14 +29,20 @@ def scratch_dir(spark: SparkSession, prefix: str) -> str:
     """A new path for intermediate tables, deleted when the session's process ends.
 
     It is below ``spark.checkpoint.dir``, the folder that all executors of a cluster
-    share; without that setting below the warehouse, which they share as well.
+    share; without that setting below the warehouse. Raises if that is a local folder while
+    executors run on other machines.
     """
-    root = (
-        spark.conf.get("spark.checkpoint.dir", None)
-        or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-        or spark.conf.get("spark.sql.warehouse.dir")
-    )
     context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get(
+        "spark.checkpoint.dir"
+    )
+    if not root:
+        root = spark.conf.get("spark.sql.warehouse.dir")
+        one_machine = re.fullmatch(r"local(\[[^\[\]]*\])?", context.master)
+        if not one_machine and re.match(r"file:|/", root):
+            raise ValueError(
+                f"executors do not share {root!r}: set spark.checkpoint.dir to a folder they share"
+            )
     folder = f"{root.rstrip('/')}/scratch-{context.applicationId}"
     path = context._jvm.org.apache.hadoop.fs.Path(folder)
     files = path.getFileSystem(context._jsc.hadoopConfiguration())

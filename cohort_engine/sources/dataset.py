@@ -14,9 +14,11 @@ from cohort_engine.session import tune_session
 from cohort_engine.sources.io import (
     SCHEME,
     drop_table,
+    load,
     quoted,
     read_tables,
     register_external,
+    save,
     text_literal,
     unparsed_values,
 )
@@ -85,7 +87,7 @@ class CohortDataset:
             path=self.path(entity),
         )
         if entity in self._locations():
-            self._record(entity, self.path(entity))
+            self._record({entity: self.path(entity)})
 
     def create_database(self, comment: str = "Curated records of events") -> None:
         self.spark.sql(
@@ -101,16 +103,29 @@ class CohortDataset:
         drop_table(self.spark, self.db, entity)
 
     def register(self, entities: Iterable[str] = ENTITIES) -> None:
-        """Create tables over files that a former ``refresh`` or ``cluster`` has written."""
+        """Create tables over files that a former ``refresh``, ``save`` or ``cluster`` has
+        written; tables over older files are pointed to the newest ones."""
         self.create_database()
         moved = self._locations()
         for entity in entities:
             path = moved.get(entity, self.path(entity))
+            if self._location(entity) not in (None, path):
+                self.drop(entity)
             register_external(self.spark, self.db, entity, path, self.fmt)
 
+    def _location(self, entity: str) -> str | None:
+        """Folder of a table in the catalog, as ``path`` writes it; None without the table."""
+        name = f"{quoted(self.db)}.{quoted(entity)}"
+        if not self.spark.catalog.tableExists(name):
+            return None
+        rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'")
+        found = rows.first()["data_type"]
+        same = re.sub(SCHEME, "", found) == re.sub(SCHEME, "", self._locations().get(entity, ""))
+        return self._locations()[entity] if same else found
+
     def _locations(self) -> dict[str, str]:
-        """Where the tables are now, for those that ``cluster`` has moved or ``save`` has
-        brought back; a row was appended for each such change."""
+        """Where the tables are now, for those that ``refresh`` or ``cluster`` has moved or
+        ``save`` has brought back; a row was appended for each such change."""
         table = f"{self.root}/_locations"
         context = self.spark.sparkContext
         folder = context._jvm.org.apache.hadoop.fs.Path(table)
@@ -120,10 +135,21 @@ class CohortDataset:
         rows = self.spark.read.parquet(table).groupBy("entity").agg(last).collect()
         return {r.entity: r.path for r in rows}
 
-    def _record(self, entity: str, path: str) -> None:
-        row = self.spark.createDataFrame([(entity, path)], "entity string, path string")
-        row = row.withColumn("moved_at", F.current_timestamp()).coalesce(1)
-        row.write.mode("append").parquet(f"{self.root}/_locations")
+    def _record(self, paths: Mapping[str, str]) -> None:
+        """Append where tables are now, as one file: readers see all of it or nothing."""
+        rows = self.spark.createDataFrame(list(paths.items()), "entity string, path string")
+        rows = rows.withColumn("moved_at", F.current_timestamp()).coalesce(1)
+        rows.write.mode("append").parquet(f"{self.root}/_locations")
+
+    def _publish(self, paths: Mapping[str, str]) -> None:
+        """Point tables to files that are complete; only the catalog changes from here on.
+
+        The record comes first, so that ``register`` can finish what was interrupted.
+        """
+        self._record(paths)
+        for entity, path in paths.items():
+            self.drop(entity)
+            register_external(self.spark, self.db, entity, path, self.fmt)
 
     def purge_storage(self) -> None:
         """Delete everything below ``root``."""
@@ -133,6 +159,16 @@ class CohortDataset:
         folder = context._jvm.org.apache.hadoop.fs.Path(self.root)
         folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
 
+    def _delete_below_root(self, keep: set[str]) -> None:
+        """Delete the entries of ``root`` but those in ``keep`` and the database's folder."""
+        context = self.spark.sparkContext
+        kept = {p.rsplit("/", 1)[1] for p in keep | {self.path("database")}}
+        folder = context._jvm.org.apache.hadoop.fs.Path(self.root)
+        files = folder.getFileSystem(context._jsc.hadoopConfiguration())
+        for entry in files.listStatus(folder):
+            if entry.getPath().getName() not in kept:
+                files.delete(entry.getPath(), True)
+
     def refresh(
         self,
         path: str,
@@ -143,9 +179,13 @@ class CohortDataset:
     ) -> None:
         """Rebuild all tables from a folder of CSV files.
 
-        Each table is overwritten; files of tables that are no longer written are
-        removed only with ``purge``, which refuses if the CSV files are among them.
-        ``strict`` raises if a value does not parse, before anything is changed.
+        The new tables are written to new folders. Only when all are complete the catalog
+        is pointed to them, so that a refresh that fails leaves the tables as they were, and
+        readers never see some new and some missing tables for as long as a write takes.
+        Files of the former tables stay, as readers may use them; ``purge`` deletes
+        everything below ``root`` but the new tables afterwards, and refuses if the CSV
+        files are below it. ``strict`` raises if a value does not parse, before anything is
+        changed.
         """
         tune_session(self.spark)
         if purge and _is_below(path, self.root):
@@ -158,19 +198,30 @@ class CohortDataset:
                     + ", ".join(f"{r.table}.{r.column} {r['values']}" for r in lost)
                 )
         raw = read_tables(self.spark, path, types, infer_schema)
-        self.drop_all_tables()
-        if purge:
-            self.purge_storage()
-        self.create_database()
-        self.encounters = curation.curate_encounters(raw["encounters"])
-        self.providers = curation.curate_providers(raw["providers"])
-        self.organizations = curation.curate_organizations(raw["organizations"])
-        self.patients = curation.curate_patients(raw["patients"], self.pii)
+        run = uuid.uuid4().hex
+        staged: dict[str, str] = {}
+
+        def stage(entity: str, df: DataFrame) -> DataFrame:
+            staged[entity] = f"{self.path(entity)}-{run}"
+            save(df, staged[entity], self.fmt)
+            return load(self.spark, staged[entity], self.fmt)
+
+        encounters = stage("encounters", curation.curate_encounters(raw["encounters"]))
+        stage("providers", curation.curate_providers(raw["providers"]))
+        organizations = stage(
+            "organizations", curation.curate_organizations(raw["organizations"])
+        )
+        patients = stage("patients", curation.curate_patients(raw["patients"], self.pii))
         # From the stored tables: their sizes are known, so dimensions can be
         # broadcast where they are small, and the CSV files are not parsed again.
-        self.patient_encounters = curation.patient_encounters(
-            self.encounters, self.patients, self.organizations
+        stage(
+            "patient_encounters",
+            curation.patient_encounters(encounters, patients, organizations),
         )
+        self.create_database()
+        self._publish(staged)
+        if purge:
+            self._delete_below_root(keep={*staged.values(), f"{self.root}/_locations"})
 
     def cluster(self, entity: str, columns: Sequence[str], files: int | None = None) -> None:
         """Store an entity clustered by several columns, so that filters on any of
@@ -186,9 +237,7 @@ class CohortDataset:
         # point the table there. The former files stay, as readers may use them.
         path = f"{self.path(entity)}-clustered-{uuid.uuid4().hex}"
         zorder_write(self.table(entity), columns, path, files, self.fmt)
-        self.drop(entity)
-        register_external(self.spark, self.db, entity, path, self.fmt)
-        self._record(entity, path)
+        self._publish({entity: path})
 
 
 def _is_below(path: str, root: str) -> bool:

@@ -6,7 +6,7 @@ import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohort_engine.sources.schemas import RAW_TYPES
@@ -49,11 +49,14 @@ def read_tables(
     path: str,
     types: Mapping[str, Mapping[str, str]] | None = None,
     infer_schema: bool = False,
+    rescue: str | None = None,
 ) -> dict[str, DataFrame]:
     """One DataFrame per CSV table of a folder, columns by header name.
 
     Declared columns are cast by name, a value that does not parse becomes null (see
     ``unparsed_values``), and all others stay text; that keeps leading zeros of codes.
+    ``rescue`` names a column to add: a map from column to text with the values of the row
+    that do not parse, null if all do, so that nothing of the files is lost.
     ``infer_schema`` lets Spark guess all types instead, at the cost of reading every
     file once more. Part files of a table must have the same header; reading one with
     another fails.
@@ -62,12 +65,36 @@ def read_tables(
     tables = {}
     for name, df in _raw_tables(spark, path, infer_schema).items():
         declared = {} if infer_schema else types.get(name, {})
-        tables[name] = df.withColumns(
-            {c: F.col(c).try_cast(t) for c, t in declared.items() if c in df.columns}
-        )
+        declared = {c: t for c, t in declared.items() if c in df.columns}
+        if rescue is not None:
+            if rescue in df.columns:
+                raise ValueError(f"table {name} has a column {rescue} already")
+            df = df.withColumn(rescue, _rescued(declared))
+        tables[name] = df.withColumns({c: F.col(quoted(c)).try_cast(t) for c, t in declared.items()})
     return tables
 
 
+def _lost(column: str, kind: str) -> Column:
+    """Whether a value of a text column does not parse."""
+    value = F.col(quoted(column))
+    return value.isNotNull() & value.try_cast(kind).isNull()
+
+
+def _rescued(declared: Mapping[str, str]) -> Column:
+    found = F.filter(
+        F.array(
+            *[
+                F.struct(F.lit(c).alias("key"), F.when(_lost(c, t), F.col(quoted(c))).alias("value"))
+                for c, t in declared.items()
+            ]
+        ),
+        lambda e: e["value"].isNotNull(),
+    )
+    if not declared:
+        return F.lit(None).cast("map<string,string>")
+    return F.when(F.size(found) > 0, F.map_from_entries(found))
+
+
 def _raw_tables(spark, path, infer_schema=False):
     return {
         name: spark.read.csv(
@@ -92,9 +119,7 @@ def unparsed_values(
             lost = [
                 F.struct(
                     F.lit(c).alias("column"),
-                    F.count_if(F.col(c).isNotNull() & F.col(c).try_cast(t).isNull()).alias(
-                        "values"
-                    ),
+                    F.count_if(_lost(c, t)).alias("values"),
                 )
                 for c, t in declared.items()
             ]

@@ -100,3 +100,45 @@ def test_purge_refuses_to_delete_its_input(spark, dataset, csv_folder):
 def test_strict_refresh_names_what_does_not_parse(dataset, csv_folder):
     with pytest.raises(ValueError, match="encounters.COST 1.*patients.BIRTHDATE 1"):
         dataset.refresh(csv_folder, strict=True)
+
+
+def test_a_refresh_that_fails_leaves_the_tables(dataset, csv_folder, tmp_path):
+    import shutil
+
+    dataset.refresh(csv_folder)
+    before = sorted(map(str, dataset.patient_encounters.collect()))
+    broken = tmp_path / "broken"
+    shutil.copytree(csv_folder, broken)
+    # Found only when the last of the part files is read.
+    (broken / "encounters.csv" / "part-9.csv").write_text("A,B\n1,2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        dataset.refresh(str(broken))
+    assert sorted(map(str, dataset.patient_encounters.collect())) == before
+    # Names of the dimensions clash: found when the first tables are written already.
+    (broken / "encounters.csv" / "part-9.csv").unlink()
+    (broken / "organizations.csv").write_text("Id,NAME,RACE\no1,General,x\n")
+    with pytest.raises(ValueError, match="rename one"):
+        dataset.refresh(str(broken))
+    assert sorted(map(str, dataset.patient_encounters.collect())) == before
+    assert dataset.organizations.columns[1] == "Org_Name"
+
+
+def test_register_finishes_what_was_interrupted(dataset, csv_folder, monkeypatch):
+    dataset.refresh(csv_folder)
+    old = dataset.patients.inputFiles()
+    drop, calls = dataset.drop, []
+
+    def stopping(entity):
+        calls.append(entity)
+        if len(calls) == 3:
+            raise RuntimeError("stopped")
+        drop(entity)
+
+    monkeypatch.setattr(dataset, "drop", stopping)
+    with pytest.raises(RuntimeError):
+        dataset.refresh(csv_folder)
+    monkeypatch.undo()
+    assert dataset.patients.inputFiles() == old
+    dataset.register()
+    assert dataset.patients.inputFiles() != old
+    assert dataset.patient_encounters.count() == 3

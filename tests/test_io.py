@@ -94,3 +94,14 @@ def test_part_files_of_another_header_are_refused(spark, tmp_path):
 def test_unparsed_values_are_counted(spark, csv_folder):
     lost = {(r.table, r.column): r["values"] for r in io.unparsed_values(spark, csv_folder).collect()}
     assert lost == {("encounters", "COST"): 1, ("patients", "BIRTHDATE"): 1}
+
+
+def test_rescued_values(spark, csv_folder):
+    tables = io.read_tables(spark, csv_folder, rescue="rescued")
+    encounters = {r.Id: r.rescued for r in tables["encounters"].collect()}
+    assert encounters == {"e1": None, "e2": {"COST": "n/a"}, "e3": None, "e4": None}
+    patients = {r.Id: r.rescued for r in tables["patients"].collect()}
+    assert patients["p2"] == {"BIRTHDATE": "not a date"} and patients["p1"] is None
+    assert {r.rescued for r in tables["providers"].collect()} == {None}
+    with pytest.raises(ValueError, match="RACE already"):
+        io.read_tables(spark, csv_folder, rescue="RACE")
