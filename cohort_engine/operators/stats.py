@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohort_engine.functions.significance import chi_square_p_value
+from cohort_engine.functions.significance import chi_square_log_p
 from cohort_engine.functions.text import matches
 from cohort_engine.operators.cohorts import CONDITION, cases
 
@@ -107,10 +108,11 @@ def contingency(pairs: DataFrame, a: str, b: str) -> DataFrame:
 
 def chi_square(table: DataFrame, correction: bool = True) -> DataFrame:
     """Test of association on a 2x2 ``contingency`` table, one row:
-    (statistic, df, p_value, verdict).
+    (statistic, df, p_value, log10_p, verdict).
 
     ``correction`` is Yates' continuity correction. When a margin is zero, nothing
-    can be tested: statistic and p-value are null.
+    can be tested: statistic and p-value are null. ``log10_p`` tells apart p-values that
+    are too small for a double.
     """
     has_a, has_b = F.col("first") != NONE, F.col("second") != NONE
 
@@ -132,7 +134,13 @@ def chi_square(table: DataFrame, correction: bool = True) -> DataFrame:
             cell(~has_a & ~has_b).alias("n22"),
         )
         .select(F.try_divide(used * used * total * total * total, margins).alias("statistic"))
-        .select("statistic", F.lit(1).alias("df"), chi_square_p_value("statistic").alias("p_value"))
+        .select("statistic", F.lit(1).alias("df"), chi_square_log_p("statistic").alias("log_p"))
+        .select(
+            "statistic",
+            "df",
+            F.exp("log_p").alias("p_value"),
+            (F.col("log_p") / math.log(10)).alias("log10_p"),
+        )
         .withColumn(
             "verdict",
             F.when(p < 1e-10, F.lit("highly significant"))

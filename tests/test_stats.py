@@ -118,3 +118,24 @@ def test_dashboard(encounters, spark):
         "comorbid_conditions": 1, "association": 1,
     }
     assert association(df, patients, "flu", "nothing").first().verdict == "not testable"
+
+
+def test_small_and_tiny_p_values(spark):
+    from cohort_engine.functions.significance import chi_square_log_p, chi_square_p_value
+
+    values = [0.0, 1e-9, 0.1, 1.0, 3.84, 7.9, 8.1, 50.0, 700.0, 1400.0, 1e5, -1.0, None]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    rows = df.select("x", chi_square_log_p("x").alias("l"), chi_square_p_value("x").alias("p")).collect()
+    for r in rows:
+        if r.x is None:
+            assert r.l is None and r.p is None
+            continue
+        z = math.sqrt(max(r.x, 0) / 2)
+        p = math.erfc(z)
+        if p > 1e-300:
+            assert math.isclose(r.l, math.log(p), rel_tol=1e-11, abs_tol=1e-15)
+            assert math.isclose(r.p, p, rel_tol=1e-10)
+        else:  # the first terms of the asymptotic series
+            series = 1 - 1 / (2 * z * z) + 3 / (2 * z * z) ** 2 - 15 / (2 * z * z) ** 3
+            expected = -z * z - math.log(z * math.sqrt(math.pi)) + math.log(series)
+            assert math.isclose(r.l, expected, rel_tol=1e-9)
