@@ -20,15 +20,24 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def raw_patients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key, number = F.col("c_custkey"), F.col("c_custkey").cast("string")
     return _table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("Id"),
-        F.col("c_custkey").alias("SSN"),
+        key.alias("Id"),
+        key.alias("SSN"),
+        F.concat(F.lit("S"), (key % 1000).cast("string")).alias("DRIVERS"),
+        F.when(key % 3 != 0, F.concat(F.lit("X"), number, F.lit("X"))).alias("PASSPORT"),
+        F.when(key % 4 == 0, "Dr.").when(key % 2 == 0, "Ms.").otherwise("Mr.").alias("PREFIX"),
         F.col("c_name").alias("FIRST"),
+        F.concat(F.initcap("c_mktsegment"), (key % 50).cast("string")).alias("LAST"),
+        F.when(key % 10 == 0, "PhD").alias("SUFFIX"),
+        F.when(key % 2 == 0, F.reverse("c_name")).alias("MAIDEN"),
+        F.concat(F.lit("Town "), F.col("c_nationkey").cast("string")).alias("BIRTHPLACE"),
+        F.concat((key % 900 + 1).cast("string"), F.lit(" Main St é")).alias("ADDRESS"),
         F.expr("date_add(DATE '1940-01-01', CAST(c_custkey * 37 % 20000 AS INT))").alias(
             "BIRTHDATE"
         ),
         F.nullif("c_mktsegment", F.lit("MACHINERY")).alias("RACE"),
-        F.when(F.col("c_custkey") % 2 == 0, "F").otherwise("M").alias("GENDER"),
+        F.when(key % 2 == 0, "F").otherwise("M").alias("GENDER"),
         F.col("c_nationkey").alias("ZIP"),
     )
 
@@ -37,15 +46,19 @@ def raw_organizations(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = _table(spark, sf_dir, "nation").select(
         F.col("n_nationkey").alias("ZIP"), F.col("n_name").alias("STATE")
     )
+    key = F.col("s_suppkey")
     return (
         _table(spark, sf_dir, "supplier")
         .select(
-            F.col("s_suppkey").alias("Id"),
+            key.alias("Id"),
             F.col("s_name").alias("NAME"),
+            F.concat((key % 500 + 1).cast("string"), F.lit(" High St")).alias("ADDRESS"),
+            F.concat(F.lit("City "), F.col("s_nationkey").cast("string")).alias("CITY"),
+            F.when(key % 5 == 0, "F").when(key % 5 == 1, "M").alias("GENDER"),
             F.col("s_nationkey").alias("ZIP"),
         )
         .join(nation, ["ZIP"])
-        .select("Id", "NAME", "STATE", "ZIP")
+        .select("Id", "NAME", "ADDRESS", "CITY", "STATE", "ZIP", "GENDER")
     )
 
 
@@ -84,7 +97,7 @@ def raw_encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def patients(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return curation.curate_patients(raw_patients(spark, sf_dir), pii=["FIRST", "SSN"])
+    return curation.curate_patients(raw_patients(spark, sf_dir), pii=curation.PII_COLUMNS)
 
 
 def organizations(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,26 +10,47 @@ _ENCOUNTER = (
     "Enc_Id, CAST(START_TIME AS VARCHAR) AS START_TIME, CAST(END_TIME AS VARCHAR) AS END_TIME,"
     " PATIENT, ORGANIZATION, ENCOUNTERCLASS, COST, DESCRIPTION, REASONDESCRIPTION"
 )
-_PATIENT = 'SSN, "FIRST", CAST(BIRTHDATE AS VARCHAR) AS BIRTHDATE, RACE, GENDER, ZIP'
-_ORGANIZATION = "Org_Name, PROVIDER_STATE, PROVIDER_ZIP"
+_PERSONAL = (
+    "SSN", "DRIVERS", "PASSPORT", "PREFIX", "FIRST", "LAST", "SUFFIX", "MAIDEN", "BIRTHPLACE",
+    "ADDRESS",
+)
+_HIDDEN = ", ".join(f'"{c}"' for c in _PERSONAL)
+_PATIENT = f"{_HIDDEN}, CAST(BIRTHDATE AS VARCHAR) AS BIRTHDATE, RACE, GENDER, ZIP"
+_ORGANIZATION = (
+    "Org_Name, PROVIDER_ADDRESS, PROVIDER_CITY, PROVIDER_STATE, PROVIDER_ZIP, PROVIDER_GENDER"
+)
 _WIDE = f"{_ENCOUNTER}, {_PATIENT}, {_ORGANIZATION}"
 
 # Each entry may use the ones before it.
 _CTES = {
     "raw_patients": """
-        SELECT c_custkey AS Id, c_custkey AS SSN, c_name AS "FIRST",
+        SELECT c_custkey AS Id, c_custkey AS SSN, 'S' || c_custkey % 1000 AS DRIVERS,
+               CASE WHEN c_custkey % 3 <> 0 THEN 'X' || c_custkey || 'X' END AS PASSPORT,
+               CASE WHEN c_custkey % 4 = 0 THEN 'Dr.' WHEN c_custkey % 2 = 0 THEN 'Ms.'
+                    ELSE 'Mr.' END AS PREFIX,
+               c_name AS "FIRST",
+               upper(c_mktsegment[1]) || lower(c_mktsegment[2:]) || c_custkey % 50 AS "LAST",
+               CASE WHEN c_custkey % 10 = 0 THEN 'PhD' END AS SUFFIX,
+               CASE WHEN c_custkey % 2 = 0 THEN reverse(c_name) END AS MAIDEN,
+               'Town ' || c_nationkey AS BIRTHPLACE,
+               c_custkey % 900 + 1 || ' Main St é' AS ADDRESS,
                DATE '1940-01-01' + CAST(c_custkey * 37 % 20000 AS INTEGER) AS BIRTHDATE,
                nullif(c_mktsegment, 'MACHINERY') AS RACE,
                CASE WHEN c_custkey % 2 = 0 THEN 'F' ELSE 'M' END AS GENDER,
                c_nationkey AS ZIP
         FROM customer""",
-    "patients": """
-        SELECT Id AS PATIENT, sha1(CAST(SSN AS VARCHAR)) AS SSN, sha1("FIRST") AS "FIRST",
+    "patients": f"""
+        SELECT Id AS PATIENT,
+               {", ".join(f'sha1(CAST("{c}" AS VARCHAR)) AS "{c}"' for c in _PERSONAL)},
                BIRTHDATE, RACE, GENDER, ZIP
         FROM raw_patients""",
     "organizations": """
-        SELECT s_suppkey AS ORGANIZATION, s_name AS Org_Name, n_name AS PROVIDER_STATE,
-               s_nationkey AS PROVIDER_ZIP
+        SELECT s_suppkey AS ORGANIZATION, s_name AS Org_Name,
+               s_suppkey % 500 + 1 || ' High St' AS PROVIDER_ADDRESS,
+               'City ' || s_nationkey AS PROVIDER_CITY, n_name AS PROVIDER_STATE,
+               s_nationkey AS PROVIDER_ZIP,
+               CASE WHEN s_suppkey % 5 = 0 THEN 'F' WHEN s_suppkey % 5 = 1 THEN 'M' END
+                 AS PROVIDER_GENDER
         FROM supplier JOIN nation ON s_nationkey = n_nationkey""",
     "encounters": """
         SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey,
@@ -211,16 +232,18 @@ _PAIRS = _pairs(SECOND_CONDITION)
 def _chi_square(
     correction: float,
     pairs: dict[str, str] = _PAIRS,
-    shown: str = "round(statistic, 8) AS statistic, 1 AS df, round(p, 8) AS p_value",
+    shown: str = "round(statistic, 8) AS statistic, 1 AS df, round(p, 8) AS p_value,"
+    " round(log10_p, 8) AS log10_p",
 ) -> str:
     # Sum over the four cells, as the test is usually written down. The p-value is
-    # 1 - erf(z), z = sqrt(statistic / 2), by the series of erf in positive terms.
+    # 1 - erf(z), z = sqrt(statistic / 2), by the series of erf in positive terms; where
+    # that leaves too few digits, its logarithm is that of the asymptotic series of erfc.
     return _with(
         f"""
         SELECT {shown},
                CASE WHEN p < 1e-10 THEN 'highly significant'
                     WHEN p < 0.05 THEN 'significant' ELSE 'not significant' END AS verdict
-        FROM tested""",
+        FROM judged""",
         "pe",
         extra={
             **pairs,
@@ -240,6 +263,13 @@ def _chi_square(
                                         - (lgamma(2 * k + 2) - k * ln(2) - lgamma(k + 1))))
                          FROM generate_series(0, 200) AS terms(k)) AS p
                 FROM statistics""",
+            "judged": """
+                SELECT *, CASE WHEN statistic < 40 THEN log10(p) ELSE
+                         (-statistic / 2 - ln(sqrt(pi() * statistic / 2))
+                          + ln((SELECT sum((-1) ** k * exp(lgamma(2 * k + 1) - lgamma(k + 1)
+                                                           - k * ln(2 * statistic)))
+                                FROM generate_series(0, 15) AS terms(k)))) / ln(10) END AS log10_p
+                FROM tested""",
         },
     )
 
@@ -253,7 +283,7 @@ ORACLE = {
         f"SELECT ORGANIZATION, {_ORGANIZATION} FROM organizations", "organizations"
     ),
     "curate_providers": "SELECT s_suppkey AS PROVIDER, s_name AS Provider_Name FROM supplier",
-    "deid_patients": _with('SELECT PATIENT AS Id, "FIRST", SSN FROM patients', "patients"),
+    "deid_patients": _with(f"SELECT PATIENT AS Id, {_HIDDEN} FROM patients", "patients"),
     "patient_encounters": _with(f"SELECT {_WIDE} FROM pe", "pe"),
     "table_row_counts": _with(
         " UNION ALL ".join(
@@ -399,7 +429,97 @@ ORACLE = {
         "comorbid",
         extra=_FOLDS,
     ),
+    "zorder_skipping": _with(
+        f"""
+        SELECT 'REASONDESCRIPTION' AS "column",
+               count(*) FILTER (WHERE REASONDESCRIPTION = '{INDEX_CONDITION}') AS "rows",
+               true AS fewer_files FROM pe
+        UNION ALL
+        SELECT 'START_TIME',
+               count(*) FILTER (WHERE START_TIME BETWEEN '1997-01-01' AND '1997-02-01'), true FROM pe
+        UNION ALL SELECT 'ZIP', count(*) FILTER (WHERE ZIP BETWEEN 3 AND 4), true FROM pe
+        UNION ALL
+        SELECT 'PATIENT', count(*) FILTER (WHERE PATIENT BETWEEN 100 AND 120), true FROM pe""",
+        "pe",
+    ),
+    "csv_round_trip": _with(
+        """
+        SELECT Enc_Id AS Id, CAST(START_TIME AS VARCHAR) AS "START",
+               CAST(END_TIME AS VARCHAR) AS "END", CAST(PATIENT AS VARCHAR) AS PATIENT,
+               CAST(ORGANIZATION AS VARCHAR) AS PROVIDER, ENCOUNTERCLASS, COST, DESCRIPTION,
+               REASONDESCRIPTION
+        FROM encounters""",
+        "encounters",
+    ),
+    "csv_unparsed": _with(
+        """
+        SELECT Enc_Id AS Id, CASE WHEN PATIENT % 7 <> 0 THEN COST END AS COST,
+               ORGANIZATION % 50 = 0 AS no_start,
+               CASE WHEN PATIENT % 7 = 0 THEN 'n/a' END AS cost_text,
+               CASE WHEN ORGANIZATION % 50 = 0 THEN 'day ' || PATIENT END AS start_text
+        FROM encounters WHERE PATIENT % 7 = 0 OR ORGANIZATION % 50 = 0""",
+        "encounters",
+    ),
+    "csv_unparsed_counts": _with(
+        """
+        SELECT 'encounters' AS "table", 'COST' AS "column", count(*) AS "values"
+        FROM encounters WHERE PATIENT % 7 = 0
+        UNION ALL
+        SELECT 'encounters', 'START', count(*) FROM encounters WHERE ORGANIZATION % 50 = 0""",
+        "encounters",
+    ),
+    "refresh_tables": _with(
+        """
+        SELECT Enc_Id, CAST(PATIENT AS VARCHAR) AS PATIENT,
+               CAST(ORGANIZATION AS VARCHAR) AS ORGANIZATION,
+               CAST(START_TIME AS VARCHAR) AS START_TIME, COST, "FIRST", ADDRESS,
+               CAST(BIRTHDATE AS VARCHAR) AS BIRTHDATE, PROVIDER_CITY
+        FROM pe""",
+        "pe",
+    ),
+    "refresh_row_counts": _with(
+        " UNION ALL ".join(
+            f'SELECT \'{name}\' AS "table", count(*) AS "rows" FROM {cte}'
+            for name, cte in (
+                ("encounters", "encounters"),
+                ("organizations", "organizations"),
+                ("patient_encounters", "pe"),
+                ("patients", "patients"),
+                ("providers", "supplier"),
+            )
+        ),
+        "pe",
+    ),
+    "dashboard_reports": _with(
+        f"""
+        (SELECT 'top_by_encounters' AS report, REASONDESCRIPTION, count(*) AS "count" FROM pe
+         WHERE REASONDESCRIPTION IS NOT NULL GROUP BY 2 ORDER BY 3 DESC, 2 LIMIT 20)
+        UNION ALL
+        (SELECT 'top_by_patients', REASONDESCRIPTION, count(DISTINCT PATIENT) AS n FROM pe
+         WHERE REASONDESCRIPTION IS NOT NULL GROUP BY 2 ORDER BY 3 DESC, 2 LIMIT 20)
+        UNION ALL
+        (SELECT 'selected_conditions', REASONDESCRIPTION, count(*) FROM pe
+         WHERE {_mentions(INDEX_CONDITION)} OR {_mentions(SECOND_CONDITION)} GROUP BY 2)
+        UNION ALL
+        (SELECT 'comorbid_conditions', REASONDESCRIPTION, patients FROM comorbid
+         WHERE NOT {_mentions(INDEX_CONDITION)} ORDER BY place LIMIT 20)""",
+        "comorbid",
+    ),
+    "run_log": _with(
+        f"""
+        SELECT 'trial-' || i AS run_name, (SELECT count(*) FROM balanced WHERE {_NOT_NULL}) AS "rows",
+               true AS has_loss, CAST(NULL AS BOOLEAN) AS is_least,
+               CAST(NULL AS BOOLEAN) AS has_accuracy, false AS has_model
+        FROM range(32) AS trials(i)
+        UNION ALL SELECT 'tuning', NULL, true, true, NULL, false
+        UNION ALL SELECT 'training', NULL, NULL, NULL, true, true""",
+        "qualified",
+        "comorbid",
+        extra=_BALANCED,
+    ),
     "chi_square_strong": _chi_square(
-        0.5, _pairs(INDEX_CONDITION.split()[0]), "round(statistic, 6) AS statistic, 1 AS df"
+        0.5,
+        _pairs(INDEX_CONDITION.split()[0]),
+        "round(statistic, 6) AS statistic, 1 AS df, round(log10_p, 6) AS log10_p",
     ),
 }

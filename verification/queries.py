@@ -2,17 +2,29 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohort_engine.config import RiskConfig
+from cohort_engine.config import DashboardConfig, RiskConfig
 from cohort_engine.operators import cohorts, curation, features, ml, stats
 from cohort_engine.operators.sampling import take_by_hash
 from cohort_engine.plans import dashboard, risk
 from cohort_engine.session import scratch_dir, tune_session
 from cohort_engine.sources import layout, models
-from cohort_engine.sources.io import load, row_counts, save, save_features
+from cohort_engine.sources.dataset import CohortDataset
+from cohort_engine.sources.io import (
+    load,
+    read_tables,
+    row_counts,
+    save,
+    save_features,
+    unparsed_values,
+)
+from cohort_engine.sources.schemas import ENTITIES
 from verification import binding
 from verification.binding import INDEX_CONDITION, SECOND_CONDITION
 
@@ -38,23 +50,30 @@ def _stored(spark, df, name):
     return load(spark, path, "parquet")
 
 
-def _encounters(spark, sf_dir):
+# What the features, the label and the model are made of.
+_USED = (
+    "Enc_Id", "PATIENT", "START_TIME", "BIRTHDATE", "DESCRIPTION", "REASONDESCRIPTION",
+    "ENCOUNTERCLASS", "COST", "PROVIDER_ZIP", "RACE", "GENDER", "ZIP",
+)
+
+
+def _encounters(spark, sf_dir, columns=()):
     wide = binding.patient_encounters(spark, sf_dir)
-    return _stored(spark, wide, "patient_encounters")
+    return _stored(spark, wide.select(*columns) if columns else wide, "patient_encounters")
 
 
 def _flagged(spark, sf_dir):
-    encounters = _encounters(spark, sf_dir)
+    encounters = _encounters(spark, sf_dir, _USED)
     return features.add_comorbidities(encounters, risk.comorbid_names(encounters, CONFIG))
 
 
-def _features(spark, sf_dir):
-    return risk.encounter_features(_encounters(spark, sf_dir), CONFIG)
+def _features(spark, sf_dir, columns=()):
+    return risk.encounter_features(_encounters(spark, sf_dir, columns), CONFIG)
 
 
 def _stored_features(spark, sf_dir):
     path = scratch_dir(spark, "encounter_features")
-    save_features(_features(spark, sf_dir), path, {"run_id": "verification"})
+    save_features(_features(spark, sf_dir, _USED), path, {"run_id": "verification"})
     return load(spark, path, "parquet")
 
 
@@ -86,8 +105,8 @@ def curate_providers(spark, sf_dir):
 
 
 def deid_patients(spark, sf_dir):
-    hidden = curation.obfuscate(binding.raw_patients(spark, sf_dir), ["FIRST", "SSN"])
-    return hidden.select("Id", "FIRST", "SSN")
+    hidden = curation.obfuscate(binding.raw_patients(spark, sf_dir), curation.PII_COLUMNS)
+    return hidden.select("Id", *curation.PII_COLUMNS)
 
 
 def patient_encounters(spark, sf_dir):
@@ -240,7 +259,13 @@ def _association(spark, sf_dir, correction):
         INDEX_CONDITION,
         SECOND_CONDITION,
         correction,
-    ).withColumns({"statistic": F.round("statistic", 8), "p_value": F.round("p_value", 8)})
+    ).withColumns(
+        {
+            "statistic": F.round("statistic", 8),
+            "p_value": F.round("p_value", 8),
+            "log10_p": F.round("log10_p", 8),
+        }
+    )
 
 
 def chi_square(spark, sf_dir):
@@ -265,14 +290,144 @@ def zorder_patients(spark, sf_dir):
     )
 
 
-def risk_scores(spark, sf_dir):
+def zorder_skipping(spark, sf_dir):
+    """Whether a filter on any of the clustered columns has fewer files to read."""
+    plain = _encounters(spark, sf_dir)
+    ranges = {
+        "REASONDESCRIPTION": (INDEX_CONDITION, INDEX_CONDITION),
+        "START_TIME": (dt.datetime(1997, 1, 1), dt.datetime(1997, 2, 1)),
+        "ZIP": (3, 4),
+        "PATIENT": (100, 120),
+    }
+    path = scratch_dir(spark, "clustered")
+    layout.zorder_write(plain, list(ranges), path, files=64)
+    clustered = load(spark, path, "parquet")
+    found = []
+    for column, (low, high) in ranges.items():
+        rows = clustered.agg(F.count_if(F.col(column).between(low, high)).alias("rows"))
+        before = layout.files_to_read(plain, column, low, high)
+        after = layout.files_to_read(clustered, column, low, high)
+        shares = [F.try_divide(t["to_read"], t["files"]) for t in (before, after)]
+        was = before.select(shares[0].alias("was")).scalar()
+        now = after.select(shares[1].alias("now")).scalar()
+        found.append(
+            rows.select(F.lit(column).alias("column"), "rows", (now < 0.75 * was).alias("fewer_files"))
+        )
+    return reduce(DataFrame.unionByName, found)
+
+
+def _written_csv(spark, tables):
+    folder = scratch_dir(spark, "raw")
+    for name, df in tables.items():
+        df.write.csv(f"{folder}/{name}.csv", header=True)
+    return folder
+
+
+def csv_round_trip(spark, sf_dir):
+    """Encounters written as CSV and read with their declared types."""
+    folder = _written_csv(spark, {"encounters": binding.raw_encounters(spark, sf_dir)})
+    return _shown(read_tables(spark, folder)["encounters"])
+
+
+def _spoiled_csv(spark, sf_dir):
+    raw = binding.raw_encounters(spark, sf_dir)
+    cost = F.when(F.col("PATIENT") % 7 == 0, "n/a").otherwise(F.col("COST").cast("string"))
+    start = F.when(F.col("PROVIDER") % 50 == 0, F.concat(F.lit("day "), F.col("PATIENT").cast("string")))
+    start = start.otherwise(F.col("START").cast("string"))
+    return _written_csv(spark, {"encounters": raw.withColumns({"COST": cost, "START": start})})
+
+
+def csv_unparsed(spark, sf_dir):
+    """Values that don't parse are null, and kept in the rescue column."""
+    table = read_tables(spark, _spoiled_csv(spark, sf_dir), rescue="rescued")["encounters"]
+    return table.filter("rescued IS NOT NULL").select(
+        "Id",
+        "COST",
+        F.col("START").isNull().alias("no_start"),
+        F.col("rescued")["COST"].alias("cost_text"),
+        F.col("rescued")["START"].alias("start_text"),
+    )
+
+
+def csv_unparsed_counts(spark, sf_dir):
+    return unparsed_values(spark, _spoiled_csv(spark, sf_dir))
+
+
+def _refreshed(spark, sf_dir):
+    raw = {
+        "encounters": binding.raw_encounters(spark, sf_dir),
+        "organizations": binding.raw_organizations(spark, sf_dir),
+        "patients": binding.raw_patients(spark, sf_dir),
+        "providers": binding.raw_providers(spark, sf_dir),
+    }
+    root = scratch_dir(spark, "lake")
+    name = "clinic_" + root.rsplit("-", 1)[1]
+    data = CohortDataset(spark, name, root, pii=curation.PII_COLUMNS)
+    data.refresh(_written_csv(spark, raw))
+    return data
+
+
+def refresh_tables(spark, sf_dir):
+    """From CSV files to the tables of a database: the wide one, by the catalog."""
+    wide = _refreshed(spark, sf_dir).patient_encounters
+    return _shown(
+        wide.select("Enc_Id", "PATIENT", "ORGANIZATION", "START_TIME", "COST", "FIRST", "ADDRESS",
+                    "BIRTHDATE", "PROVIDER_CITY")
+    )
+
+
+def refresh_row_counts(spark, sf_dir):
+    data = _refreshed(spark, sf_dir)
+    return row_counts({entity: data.table(entity) for entity in ENTITIES})
+
+
+def dashboard_reports(spark, sf_dir):
+    """The dashboard's rankings as one table."""
+    reports = dashboard.dashboard(
+        binding.patient_encounters(spark, sf_dir),
+        binding.patients(spark, sf_dir),
+        DashboardConfig(first_condition=INDEX_CONDITION, second_condition=SECOND_CONDITION),
+    )
+    return reduce(
+        DataFrame.unionByName,
+        [
+            df.select(F.lit(name).alias("report"), "REASONDESCRIPTION", "count")
+            for name, df in reports.items()
+            if "REASONDESCRIPTION" in df.columns
+        ],
+    )
+
+
+def _learned(spark, sf_dir):
     stored = _stored_features(spark, sf_dir)
     names, rows = _training_rows(spark, stored)
     rows = _stored(spark, rows, "training_set")
-    model, _ = ml.train(rows, names, ml.search_space(1)[0])
-    root = scratch_dir(spark, "models")
-    models.save_model(model, root, CONFIG.model_name)
-    return _shown(ml.score(models.load_model(root, CONFIG.model_name), stored))
+    root = scratch_dir(spark, "study")
+    study = risk.learn(rows, names, CONFIG, f"{root}/models", f"{root}/runs")
+    return stored, study, root
+
+
+def risk_scores(spark, sf_dir):
+    """By the stored model of the best of all settings."""
+    stored, study, root = _learned(spark, sf_dir)
+    model = models.load_model(f"{root}/models", study.model_name, study.model_version)
+    return _shown(ml.score(model, stored))
+
+
+def run_log(spark, sf_dir):
+    """What a study has logged: its trials, the best of them, and the model."""
+    _, study, root = _learned(spark, sf_dir)
+    runs = load(spark, f"{root}/runs", "parquet")
+    least = runs.filter(F.col("run_name").startswith("trial-")).agg(F.min(F.col("metrics")["loss"]))
+    loss, accuracy = F.col("metrics")["loss"], F.col("metrics")["accuracy"]
+    return runs.select(
+        "run_name",
+        F.col("params")["rows"].cast("long").alias("rows"),
+        loss.between(-1, 0).alias("has_loss"),
+        F.when(F.col("run_name") == "tuning", loss == least.scalar()).alias("is_least"),
+        accuracy.between(0.5, 1).alias("has_accuracy"),
+        F.col("model").isNotNull().alias("has_model"),
+    )
 
 
 def tune_results(spark, sf_dir):
@@ -313,7 +468,7 @@ def tune_of_group(spark, sf_dir):
 
 
 def chi_square_strong(spark, sf_dir):
-    """Of two conditions of which one is part of the other; p is too small to compare."""
+    """Of two conditions of which one is part of the other; p is below 1e-10."""
     return (
         dashboard.association(
             binding.patient_encounters(spark, sf_dir),
@@ -322,7 +477,7 @@ def chi_square_strong(spark, sf_dir):
             INDEX_CONDITION.split()[0],
             True,
         )
-        .withColumn("statistic", F.round("statistic", 6))
+        .withColumns({"statistic": F.round("statistic", 6), "log10_p": F.round("log10_p", 6)})
         .drop("p_value")
     )
 
@@ -363,7 +518,15 @@ _QUERIES = (
     chi_square_uncorrected,
     zorder_write,
     zorder_patients,
+    zorder_skipping,
+    csv_round_trip,
+    csv_unparsed,
+    csv_unparsed_counts,
+    refresh_tables,
+    refresh_row_counts,
+    dashboard_reports,
     risk_scores,
+    run_log,
     tune_results,
     encoded_features,
     fold_counts,
