@@ -47,13 +47,13 @@ def test_classifier_learns_from_rows_not_held_out(documents, spark):
 
 def test_scores_of_a_batch_are_those_of_each_text():
     rows, labels = corpus(40)
-    texts = [t.encode() for _, t, _ in rows]
+    texts = [t for _, t, _ in rows]
     model = quality_model.fit(texts, [y for _, y in labels])
-    texts += [b"", b"a", "é ü".encode(), b" "]
+    texts += ["", "a", "é ü", " "]
     alone = np.concatenate([model.scores([t]) for t in texts])
     assert np.allclose(model.scores(texts), alone)
-    assert quality_model.fit([], []).scores([b"x"]) == 0.5
-    assert quality_model.fit([b"x"], [1]).scores([b"x"])[0] > 0.99
+    assert quality_model.fit([], []).scores(["x"]) == 0.5
+    assert quality_model.fit(["x"], [1]).scores(["x"])[0] > 0.99
 
 
 def test_stages_and_the_whole(spark, documents, tmp_path):
