@@ -12,6 +12,8 @@ from cohort_engine.llm.common import numbered, rows_in, stored, text_of
 # such digests, so that the broadcast table has REPORTED short rows at most.
 TRACKED = 16_384
 REPORTED = 8_192
+# Groups of tasks whose counters are added up first.
+GROUPS = 256
 
 
 def exact_duplicates(
@@ -62,9 +64,15 @@ def _digest(text_col: str) -> Column:
 
 def grouped(rows: DataFrame) -> DataFrame:
     """Groups of equal digests of the stored rows (id, row, digest)."""
-    frequent = rows.agg(
-        F.expr(f"approx_top_k(digest, {REPORTED}, {TRACKED})").alias("items")
-    ).select(F.explode("items.item").alias("digest"))
+    # Counters of each task, added up in groups of tasks first: no task merges them all.
+    frequent = (
+        rows.groupBy(F.pmod(F.spark_partition_id(), F.lit(GROUPS)).alias("group"))
+        .agg(F.expr(f"approx_top_k_accumulate(digest, {TRACKED})").alias("counters"))
+        .groupBy(F.lit("all"))  # an empty table has no group then, which the estimate needs
+        .agg(F.expr(f"approx_top_k_combine(counters, {TRACKED})").alias("counters"))
+        .select(F.explode(F.expr(f"approx_top_k_estimate(counters, {REPORTED})")).alias("found"))
+        .select(F.col("found.item").alias("digest"))
+    )
     winner = F.max(F.struct("id", "row")).alias("winner")
     size = F.count(F.lit(1)).alias("size")
     verified = (
