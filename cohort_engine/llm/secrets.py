@@ -64,6 +64,8 @@ _BREAK = r"(?:\r?\n|(?:\\r)?\\n)[\t\x20]*+"
 BASE64 = re.compile(rf"[A-Za-z0-9+/_-]++(?:{_BREAK}[A-Za-z0-9+/_-]++)*+={{0,2}}")
 BREAK = re.compile(_BREAK)
 LEAST_DIGITS = 16
+# Escapes on one line with no more characters between them may stand for bytes.
+APART = 256
 
 # Text in two bytes a character, as far as it is ASCII.
 WIDE = re.compile(r"(?:[\t\n\r\x20-\x7e]\x00){8,}[\t\n\r\x20-\x7e]?")
@@ -172,28 +174,71 @@ def _character(m: re.Match) -> str:
 
 
 def _unescaped(layer: Layer) -> Iterator[Layer]:
-    """Each stretch of lines with URL or Unicode escapes, once unescaped."""
-    text, done = layer.text, 0
+    """The text once unescaped, and each stretch of bytes that is no text as bytes.
+
+    The text is unescaped as a whole, so that what is encoded over several lines with
+    escapes in each stays in one piece.
+    """
+    text = layer.text
     if "%" not in text and "\\" not in text and "&#" not in text:
         return
-    while m := ESCAPE.search(text, done):
-        start = text.rfind("\n", 0, m.start()) + 1
-        end = text.find("\n", m.end())
-        end = len(text) if end < 0 else end
-        built, at = _Builder(layer), start
-        for m in ESCAPE.finditer(text, start, end):
-            built.add(text[at : m.start()], at, m.start())
-            if m["url"]:
-                place = m.start()
-                for char, size in _utf8(binascii.unhexlify(m["url"].replace("%", ""))):
-                    built.add(char, place, place + 3 * size)
-                    place += 3 * size
-            else:
-                built.add(_character(m), m.start(), m.end())
-            at = m.end()
-        built.add(text[at:end], at, end)
+    built, at, stretch = _Builder(layer), 0, []
+    for m in ESCAPE.finditer(text):
+        built.add(text[at : m.start()], at, m.start())
+        if m["url"]:
+            place = m.start()
+            for char, size in _utf8(binascii.unhexlify(m["url"].replace("%", ""))):
+                built.add(char, place, place + 3 * size)
+                place += 3 * size
+        else:
+            built.add(_character(m), m.start(), m.end())
+        if stretch and (m.start() - at > APART or "\n" in text[at : m.start()]):
+            yield from _as_bytes(layer, stretch)
+            stretch = []
+        stretch.append(m)
+        at = m.end()
+    if at:
+        yield from _as_bytes(layer, stretch)
+        built.add(text[at:], at, len(text))
         yield built.layer()
-        done = end
+
+
+class _Bytes(Layer):
+    """Bytes, each as one character, in which packed streams may begin."""
+
+
+def _as_bytes(layer: Layer, escapes: list[re.Match]) -> Iterator[_Bytes]:
+    """The bytes that neighbouring escapes and the characters between them stand for.
+
+    Nothing if they are text. What stands before and behind, up to the line's end, may
+    belong to them: bytes that are printable need not be escaped.
+    """
+    strange = False
+    for m in escapes:
+        if m["url"]:
+            strange |= any(int(m["url"][i + 1 : i + 3], 16) >= 128 for i in range(0, len(m["url"]), 3))
+        else:
+            strange |= 128 <= ord(_character(m)) < 256
+    if not strange:
+        return
+    text = layer.text
+    first, last = escapes[0].start(), escapes[-1].end()
+    begin = max(text.rfind("\n", 0, first) + 1, first - _LONGEST_MAGIC)
+    end = text.find("\n", last, last + APART)
+    end = min(len(text), last + APART) if end < 0 else end
+    built, at = _Builder(layer), begin
+    for m in escapes:
+        built.add(text[at : m.start()], at, m.start())
+        if m["url"]:
+            for place in range(m.start(), m.end(), 3):
+                built.add(chr(int(text[place + 1 : place + 3], 16)), place, place + 3)
+        else:
+            built.add(_character(m), m.start(), m.end())
+        at = m.end()
+    # What is behind them need not be ASCII, but then it is no part of them.
+    built.add(re.match(r"[\x00-\x7f]*", text[at:end])[0], at, end)
+    found = built.layer()
+    yield _Bytes(found.text, found.cuts, found.spans, found.exact)
 
 
 class _Budget:
@@ -219,7 +264,8 @@ class _Stream:
 
     def _start(self) -> None:
         head = self.data[self.at : self.at + 18]
-        self.strict, self.limit, self.frame = head[:1] != b"x", None, 0
+        self.strict = head[:1] != b"x" and MAGIC.match(head) is not None
+        self.limit, self.frame = None, 0
         if head[:2] == b"\x1f\x8b":
             self.tool = zlib.decompressobj(31)
         elif head[:1] == b"x":
@@ -285,8 +331,12 @@ class _Stream:
         return b"".join(parts)
 
     def opaque(self, first: bool) -> bool:
-        """Whether the stream, known by its mark, holds what couldn't be unpacked."""
-        return self.failed and (self.strict or first or self.size >= _ZLIB_LEAST)
+        """Whether the stream, known by its mark, holds what couldn't be unpacked.
+
+        Two bytes are a weak mark: then something must have been unpacked.
+        """
+        least = 1 if first else _ZLIB_LEAST
+        return self.failed and (self.strict or self.size >= least)
 
 
 def _windows(read: Callable[[], bytes], budget: _Budget, depth: int) -> Iterator[str | None]:
@@ -401,14 +451,18 @@ def _narrowed(layer: Layer) -> Iterator[Layer]:
 
 
 def _packed(
-    layer: Layer, run: _Run, skip: int, data: bytes, budget: _Budget
+    data: bytes, first: bool, span_from: Callable[[int], tuple[int, int]], budget: _Budget
 ) -> Iterator[Layer | tuple[int, int]]:
-    """Pieces of the packed streams in the bytes of a run; spans that don't unpack."""
-    at, first = 0, skip == 0
+    """Pieces of the packed streams in some bytes; spans that don't unpack.
+
+    ``first``: the bytes may begin with a stream by a weaker mark. ``span_from`` gives the
+    source span of all bytes from one on.
+    """
+    at = 0
     while m := _magic(data, at, first):
         start = m.start()
         begins, first = first and start == 0, False
-        span = layer.source(run.place(skip + start * 8 // 6), run.end)
+        span = span_from(start)
         stream = _Stream(data, start, _no_more, budget)
         for text in _windows(stream.read, budget, 1):
             yield span if text is None else Layer(text, [0], [span], [False])
@@ -437,7 +491,11 @@ def _from_base64(
             data = run.data(skip)
             yield _Decoded(layer, run, skip, data)
             if _magic(data, 0, skip == 0):
-                yield _packed(layer, run, skip, data, budget)
+
+                def span_from(byte: int, run=run, skip=skip) -> tuple[int, int]:
+                    return layer.source(run.place(skip + byte * 8 // 6), run.end)
+
+                yield _packed(data, skip == 0, span_from, budget)
 
 
 def find_secrets(text: str) -> list[Span]:
@@ -476,7 +534,16 @@ def find_secrets(text: str) -> list[Span]:
                 search(inner, "base64")
             continue
         for inner in _unescaped(layer):
-            search(inner, "escape")
+            if isinstance(inner, _Bytes):
+                data = inner.text.encode("latin-1", "replace")
+                if MAGIC.search(data):
+
+                    def span_from(byte: int, inner=inner) -> tuple[int, int]:
+                        return inner.source(byte, len(inner.text))
+
+                    work.append(_packed(data, False, span_from, budget))
+            else:
+                search(inner, "escape")
         for inner in _from_base64(layer, budget):
             if isinstance(inner, Layer):
                 search(inner, "base64")
