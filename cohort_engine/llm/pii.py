@@ -44,35 +44,63 @@ SPELLED = {
 # Spelled digits count in runs that have so many of them, digits between them or not.
 SPELLED_IN_A_ROW = 3
 
+
+def _compatible() -> str:
+    """As a character class: all characters that Unicode has for compatibility with ASCII
+    ones (wide, circled, raised, mathematical, ligatures, spaces)."""
+    codes = [*range(0x80, 0x10000), *range(0x1D400, 0x1D800), *range(0x1F100, 0x1F200)]
+    parts: list[list[int]] = []
+    for code in codes:
+        char = chr(code)
+        if not 0xD800 <= code < 0xE000 and unicodedata.normalize("NFKC", char).isascii():
+            if parts and parts[-1][1] == code - 1:
+                parts[-1][1] = code
+            else:
+                parts.append([code, code])
+    return "".join(f"{re.escape(chr(low))}-{re.escape(chr(high))}" for low, high in parts)
+
+
 _STRANGE = re.compile(
-    f"[{INVISIBLE}" + "".join(map(chr, LOOKALIKES)) + "！-～𝐀-𝟿]|(?![0-9])\\d"
+    f"[{INVISIBLE}" + "".join(map(chr, LOOKALIKES)) + f"{_compatible()}]|(?![0-9])\\d"
 )
 _WORD = "|".join(sorted(SPELLED, key=len, reverse=True))
-_GAPS = (" ", "-", ", ", " dot ")
-_GAP = "(?:" + "|".join(_GAPS) + ")"
+# Between spelled digits: space of any kind, also over a line break, or a sign with space.
+_SIGN = "[-,;/.]"
+_GAP = rf"(?:\s{{1,3}}dot\s{{1,3}}|\s{{0,2}}{_SIGN}\s{{0,3}}|\s{{1,3}})"
 _DIGIT = rf"(?:(?:{_WORD})(?![^\W\d_])|[0-9])"
-_SPELLED_RUN = re.compile(rf"(?<!\w)(?:plus\x20)?{_DIGIT}(?:{_GAP}?{_DIGIT})+", re.IGNORECASE)
+_SPELLED_RUN = re.compile(rf"(?<!\w)(?:plus\s{{1,3}})?{_DIGIT}(?:{_GAP}?{_DIGIT})+", re.IGNORECASE)
 _IN_RUN = re.compile(
-    rf"(?P<plus>plus\x20)|(?P<word>{_WORD})(?![^\W\d_])|(?P<dot>\x20dot\x20)", re.IGNORECASE
+    rf"(?P<plus>plus\s{{1,3}})|(?P<word>{_WORD})(?![^\W\d_])|(?P<dot>\s{{1,3}}dot\s{{1,3}})"
+    rf"|(?P<space>(?<=\w)\s{{0,2}}{_SIGN}\s{{0,3}}(?=\w)|(?<=\w)\s{{2,3}}(?=\w)|(?<=\w)[^\S\x20](?=\w))",
+    re.IGNORECASE,
 )
 _BRACKETED = re.compile(
     r"[\[({<][\x20\t]{0,3}(?P<what>at|dot|@|\.)[\x20\t]{0,3}[\])}>][\x20\t]{0,3}", re.IGNORECASE
 )
+# Ends of domains that a disguise in underscores or hyphens needs, which
+# names in program text have as well.
+_ENDS = "com|net|org|edu|gov|info|io|eu|de|uk|fr|es"
 _BARE_AT = re.compile(
-    r"\x20at\x20(?=[A-Za-z0-9-]{1,63}(?:\x20dot\x20|\.)[A-Za-z]{2})", re.IGNORECASE
+    r"\s{1,3}at\s{1,3}(?=[A-Za-z0-9-]{1,63}(?:\s{1,3}dot\s{1,3}|\.)[A-Za-z]{2})"
+    rf"|[_-]at[_-](?=[A-Za-z0-9-]{{1,63}}?(?:[_-]dot[_-]|\.)(?:{_ENDS})\b)",
+    re.IGNORECASE,
 )
-_BARE_DOT = re.compile(r"\x20dot\x20(?=[A-Za-z]{2})", re.IGNORECASE)
+_BARE_DOT = re.compile(
+    rf"\s{{1,3}}dot\s{{1,3}}(?=[A-Za-z]{{2}})|[_-]dot[_-](?=(?:{_ENDS})\b)", re.IGNORECASE
+)
+# What may stand between spelled digits, as a space.
+_GAPS_AS_SPACE = str.maketrans(dict.fromkeys("-,;/._", " "))
 
 
 def _neighbours() -> ahocorasick.Automaton:
     """Finds two spelled digits side by side, without which there is no run of three.
 
     In a run of three with digits between them no two need to be side by side, so a
-    spelled digit beside a digit counts as well.
+    spelled digit beside a digit counts as well. Each gap is one space here.
     """
     automaton = ahocorasick.Automaton()
     for word in SPELLED:
-        for gap in ("", *_GAPS):
+        for gap in ("", " ", " dot "):
             for other in (*SPELLED, *"0123456789"):
                 # Without a gap only a digit continues a run.
                 if gap or other.isdigit():
@@ -189,26 +217,33 @@ def normalised(text: str) -> Normal:
                 if (plain := _plain_character(m[0])) != m[0]
             ]
         )
-    lower = normal.text.lower()
-    if next(_PAIRS.iter(lower), None):
+    # Without line breaks, signs and double spaces, to see quickly what is not there.
+    plain = " ".join(normal.text.lower().translate(_GAPS_AS_SPACE).split())
+    if next(_PAIRS.iter(plain), None):
         normal.replace(_spelled(normal.text))
-    if any(mark in lower for mark in "[({<"):
+    if any(mark in normal.text for mark in "[({<"):
         normal.replace(_bracketed(normal.text))
-    if " at " in lower:
+    if " at " in plain:
         normal.replace([(m.start(), m.end(), "@") for m in _BARE_AT.finditer(normal.text)])
-    if " dot " in lower and "@" in normal.text:
+    if " dot " in plain and "@" in normal.text:
         normal.replace([(m.start(), m.end(), ".") for m in _BARE_DOT.finditer(normal.text)])
     return normal
 
 
 def _spelled(text: str) -> list[tuple[int, int, str]]:
-    """Edits that turn runs of spelled digits into digits."""
+    """Edits that turn runs of spelled digits into digits, and gaps inside into a space.
+
+    A gap with a point stays a point, since addresses have them.
+    """
     edits = []
     for run in _SPELLED_RUN.finditer(text):
         inner = list(_IN_RUN.finditer(text, run.start(), run.end()))
         if sum(1 for m in inner if m["word"]) >= SPELLED_IN_A_ROW:
             for m in inner:
-                new = "+" if m["plus"] else "." if m["dot"] else SPELLED[m["word"].lower()]
+                if m["space"]:
+                    new = "." if "." in m["space"] else "-" if "-" in m["space"] else " "
+                else:
+                    new = "+" if m["plus"] else "." if m["dot"] else SPELLED[m["word"].lower()]
                 edits.append((m.start(), m.end(), new))
     return edits
 
