@@ -15,7 +15,6 @@ from pyspark.ml.feature import (
     QuantileDiscretizer,
     SQLTransformer,
     StringIndexer,
-    StringIndexerModel,
     VectorAssembler,
 )
 from pyspark.ml.functions import vector_to_array
@@ -24,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from cohort_engine.functions.hashing import hash_order
+from cohort_engine.operators.dictionary import DictionaryEncoder, numbered, value_numbers
 from cohort_engine.operators.sampling import take_by_hash
 from cohort_engine.operators.sweep import Setting, Sweep
 from cohort_engine.sources.io import quoted
@@ -35,6 +35,8 @@ PATIENT_FEATURES = ("RACE", "GENDER", "ZIP", "patient_age")
 # How features are encoded unless the caller says otherwise; all others are exact.
 ENCODINGS = {"COST": "ranges", "patient_age": "ranges"}
 
+_KINDS = ("exact", "dictionary", "ranges", "hashed")
+
 # An exact feature with more values than this is an error: they all live on the driver.
 MAX_VOCABULARY = 1_000_000
 
@@ -70,18 +72,19 @@ def encoder(
     ``encodings`` (default ``ENCODINGS``) says how; the number of rows or values never
     does:
 
-    exact   a slot for each value; the values are brought to the driver
-    ranges  numbers in ``buckets`` quantile ranges
-    hashed  values hashed to ``hash_size`` slots
+    exact       a slot for each value; the values are brought to the driver
+    dictionary  a slot for each value; the values stay in a table and are joined
+    ranges      numbers in ``buckets`` quantile ranges
+    hashed      values hashed to ``hash_size`` slots
 
     Features without an entry are exact. A value unknown at fitting time gives all zeros.
     """
     encodings = ENCODINGS if encodings is None else encodings
     kinds = {c: encodings.get(c, "exact") for c in features}
-    if unknown := sorted(set(kinds.values()) - {"exact", "ranges", "hashed"}):
+    if unknown := sorted(set(kinds.values()) - set(_KINDS)):
         raise ValueError(f"unknown encodings {unknown}")
-    exact, ranged, hashed = (
-        [c for c in features if kinds[c] == kind] for kind in ("exact", "ranges", "hashed")
+    exact, listed, ranged, hashed = (
+        [c for c in features if kinds[c] == kind] for kind in _KINDS
     )
 
     def named(columns, suffix):
@@ -102,6 +105,17 @@ def encoder(
             ),
         ]
         parts += named(exact, "onehot")
+    if listed:
+        stages += [
+            DictionaryEncoder(columns=listed, suffix="__listed"),
+            OneHotEncoder(
+                inputCols=named(listed, "listed"),
+                outputCols=named(listed, "onehot"),
+                dropLast=False,
+                handleInvalid="keep",
+            ),
+        ]
+        parts += named(listed, "onehot")
     if ranged:
         # A missing number has a class of its own, as nan; null would stop the encoder.
         numbers = ", ".join(
@@ -138,24 +152,44 @@ def encoder(
 
 
 def fit_encoder(df: DataFrame, stages: Pipeline) -> PipelineModel:
-    """The fitted stages; raises if an exact feature has too many values."""
-    model = stages.fit(df)
-    for stage in model.stages:
-        if isinstance(stage, StringIndexerModel):
-            for name, values in zip(stage.getInputCols(), stage.labelsArray):
-                if len(values) > MAX_VOCABULARY:
-                    raise ValueError(
-                        f"{name} has {len(values)} values; declare it as ranges or hashed"
-                    )
-    return model
+    """The fitted stages.
+
+    Raises if an exact feature has too many values, which are counted before any of them is
+    brought to the driver.
+    """
+    for stage in stages.getStages():
+        if isinstance(stage, StringIndexer):
+            _check_vocabulary(df, stage.getInputCols())
+    return stages.fit(df)
+
+
+def _check_vocabulary(df: DataFrame, columns: Sequence[str]) -> None:
+    estimates = df.agg(*[F.approx_count_distinct(quoted(c)).alias(c) for c in columns]).first()
+    # Those that may have too many are counted exactly.
+    many = [c for c in columns if estimates[c] > MAX_VOCABULARY / 2]
+    if not many:
+        return
+    pairs = [F.struct(F.lit(c).alias("column"), F.col(quoted(c)).cast("string")) for c in many]
+    found = (
+        df.select(F.inline(F.array(*pairs))).na.drop().distinct().groupBy("column").count()
+    )
+    counts = {row["column"]: row["count"] for row in found.collect()}
+    for name in many:
+        if counts.get(name, 0) > MAX_VOCABULARY:
+            raise ValueError(
+                f"{name} has {counts[name]} values; declare it as dictionary, ranges or hashed"
+            )
 
 
 def encoded_features(df: DataFrame, features: Sequence[str], keep: Sequence[str]) -> DataFrame:
-    """``keep`` and for each exact feature the number of its value, from 0."""
-    model = fit_encoder(df, encoder(features, {}))
-    return model.transform(df).select(
-        *keep, *[F.col(f"{c}__index").cast("int").alias(c) for c in features]
-    )
+    """``keep`` and for each feature the number of its value, from 0; null for null.
+
+    The numbers are joined from a stored table (see ``dictionary``), so that there may be any
+    number of values. Runs the jobs that store it.
+    """
+    numbers = value_numbers(df, features)
+    out = numbered(df.select(*keep, *features), numbers, features)
+    return out.select(*keep, *[F.col(quoted(f"{c}__number")).cast("int").alias(c) for c in features])
 
 
 def params_to_lr(params: dict[str, float], rows: int) -> dict:

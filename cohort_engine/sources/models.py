@@ -8,13 +8,19 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from cohort_engine.operators.dictionary import DictionaryModel
+
 
 def model_path(root: str, name: str, version: int | str) -> str:
     return f"{root.rstrip('/')}/{name}/v{version}"
 
 
 def save_model(model: PipelineModel, root: str, name: str, version: int | str = 1) -> str:
+    """Store a model; tables of values that it uses are stored beside it."""
     path = model_path(root, name, version)
+    for i, stage in enumerate(model.stages):
+        if isinstance(stage, DictionaryModel):
+            stage.copy_table(SparkSession.active(), f"{path}-values-{i}")
     model.write().overwrite().save(path)
     return path
 
