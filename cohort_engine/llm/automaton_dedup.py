@@ -158,8 +158,9 @@ def remove_passages(
     each input row: id, n_words, n_removed, kept_sha256, and removed spans (words from 0,
     end exclusive).
     """
-    buckets = B.buckets_of(docs.sparkSession)
+    R.check_lengths(length, gram)
     blocks = B.build(docs, id_col, text_col, "passage-blocks")
+    buckets = B.buckets_of(blocks)
     owned = stored(R.owners(blocks), "owners")
     windows = R.Windows(_words, length, gram)
     answers = stored(
@@ -213,9 +214,10 @@ def remove_passages(
                     )
 
     def resolved(batches):
-        parts = [row for batch in batches for row in batch.to_pylist()]
-        if not parts:
-            return
+        for parts in B.by_bucket(batches):
+            yield from of_bucket(parts)
+
+    def of_bucket(parts):
         grams, other = (
             np.frombuffer(b"".join(p[n] for p in parts), np.uint64) for n in ("grams", "other")
         )

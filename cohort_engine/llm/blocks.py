@@ -22,7 +22,9 @@ from pyspark.sql import functions as F
 from cohort_engine.llm.common import chunks, stored, text_of
 
 BLOCK_BYTES = 2 << 20
-# A row key is block << ROW_BITS | number in the block.
+# Text whose keys are one bucket. Keys of a bucket are in memory at once.
+BUCKET_BYTES = 64 << 20
+# A row key is block << ROW_BITS | number in the block, which has fewer rows than that.
 ROW_BITS = 20
 
 _SCHEMA = (
@@ -79,7 +81,9 @@ def build(
     def packed(batches):
         first = TaskContext.get().partitionId() << 20
         tool = zstandard.ZstdCompressor(level=5)
-        for number, batch in enumerate(chunks(batches, "text", BLOCK_BYTES), first):
+        for number, batch in enumerate(
+            chunks(batches, "text", BLOCK_BYTES, (1 << ROW_BITS) - 1), first
+        ):
             texts = [t.encode() for t in batch.column("text").to_pylist()]
             found, counts = marks(texts)
             yield pa.RecordBatch.from_pydict(
@@ -155,6 +159,31 @@ def split(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     return order, np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=np.uint64))
 
 
-def buckets_of(spark) -> int:
-    """As many buckets as any shuffle has partitions."""
+def partitions_of(spark) -> int:
+    """As many as any shuffle has."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def buckets_of(blocks: DataFrame) -> int:
+    """Buckets of keys for the texts of ``blocks``: one for BUCKET_BYTES, at least as many as
+    any shuffle has partitions. Runs a job over the sizes."""
+    size = F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x)
+    total = blocks.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
+    return max(partitions_of(blocks.sparkSession), -(-total // BUCKET_BYTES))
+
+
+def by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[list[dict]]:
+    """The rows of one bucket after the other, which come in this order.
+
+    Only one bucket is in memory, however many a task has.
+    """
+    held: list[dict] = []
+    for batch in batches:
+        for i in range(batch.num_rows):
+            row = batch.slice(i, 1).to_pylist()[0]
+            if held and held[-1]["bucket"] != row["bucket"]:
+                yield held
+                held = []
+            held.append(row)
+    if held:
+        yield held

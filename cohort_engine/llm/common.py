@@ -69,16 +69,17 @@ def rows_in(documents: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 def chunks(
-    batches: Iterator[pa.RecordBatch], text: str, limit: int = 1 << 20
+    batches: Iterator[pa.RecordBatch], text: str, limit: int = 1 << 20, rows: int = 1 << 19
 ) -> Iterator[pa.RecordBatch]:
-    """Slices of at most ``limit`` bytes of text, or of one row, to bound memory."""
+    """Slices of at most ``limit`` bytes of text, or of one row, and at most ``rows`` rows,
+    to bound memory."""
     for batch in batches:
         if batch.num_rows == 0:
             continue
         sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0)
         start, held = 0, 0
         for row, size in enumerate(sizes.to_pylist()):
-            if held and held + size > limit:
+            if (held and held + size > limit) or row - start == rows:
                 yield batch.slice(start, row - start)
                 start, held = row, 0
             held += size

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,9 +20,9 @@ from cohort_engine.llm.words import word_hashes, word_spans
 
 WORDS = 5
 PERCENT = 80
-# Sets of a family that are compared in one task; larger families are cut into parts of
-# this size, and every two parts are compared.
-TOGETHER = 2_000
+# Sets of a family that are compared in one task; larger families are cut into parts of about
+# this size, of which those with sets of similar sizes are compared.
+TOGETHER = 500
 
 
 def shingles(data: bytes, starts: np.ndarray, sizes: np.ndarray, words: int) -> list[np.ndarray]:
@@ -174,9 +175,10 @@ def _frequencies(blocks: DataFrame, words: int, buckets: int) -> DataFrame:
                     )
 
     def answered(batches):
-        parts = [row for batch in batches for row in batch.to_pylist()]
-        if not parts:
-            return
+        for parts in B.by_bucket(batches):
+            yield from of_bucket(parts)
+
+    def of_bucket(parts):
         low = np.frombuffer(b"".join(p["low"] for p in parts), np.uint32)
         high = np.frombuffer(b"".join(p["high"] for p in parts), np.uint8)
         counts = np.frombuffer(b"".join(p["counts"] for p in parts), np.uint16)
@@ -297,9 +299,10 @@ def _families(candidates: DataFrame, percent: int, buckets: int) -> DataFrame:
                 )
 
     def joined(batches):
-        parts = [row for batch in batches for row in batch.to_pylist()]
-        if not parts:
-            return
+        for parts in B.by_bucket(batches):
+            yield from of_bucket(parts)
+
+    def of_bucket(parts):
         tokens = np.frombuffer(b"".join(p["tokens"] for p in parts), np.uint64)
         keys = np.frombuffer(b"".join(p["keys"] for p in parts), np.int64)
         n = np.frombuffer(b"".join(p["n"] for p in parts), np.int64)
@@ -328,17 +331,49 @@ def _links(
 ) -> DataFrame:
     """(a, b, links): edges that join the similar sets, and links to count for a.
 
-    Each family is compared in one task, or in one task for every two of its parts.
+    A family of up to ``limit`` sets is compared in one task. Larger ones are divided into
+    bands of sizes, each as wide as similar sets may differ, and these by hash into parts of
+    about ``limit`` sets. There is a task for every two parts of a band, and of neighbouring
+    bands; sets of bands further apart can't be similar and never meet.
     """
-    parts = families.groupBy("family").agg(
+    counts = families.groupBy("family").agg(F.count(F.lit(1)).alias("sets"))
+    # A little wider, so that rounding can't part sets of just allowed sizes.
+    width = math.log(100 / percent * (1 + 1e-6))
+    sized = (
+        families.join(counts, "family")
+        .join(candidates.select("key", "n"), "key")
+        .withColumn(
+            "band",
+            F.when(F.col("sets") > limit, F.floor(F.log("n") / width)).otherwise(0).cast("long"),
+        )
+        .select("key", "family", "band")
+    )
+    bands = sized.groupBy("family", "band").agg(
         F.ceil(F.count(F.lit(1)) / limit).cast("int").alias("parts")
     )
-    placed = families.join(parts, "family").withColumn(
-        "part", F.pmod(F.xxhash64("key"), "parts").cast("int")
+    # The parts of a band itself and of the two beside it.
+    near = bands.select(
+        "family",
+        F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"),
+        F.struct(F.col("band").alias("of"), "parts").alias("beside"),
+    )
+    near = near.groupBy("family", "band").agg(F.collect_list("beside").alias("beside"))
+    placed = (
+        sized.join(bands, ["family", "band"])
+        .join(near, ["family", "band"])
+        .withColumn("part", F.pmod(F.xxhash64("key"), "parts") + F.col("band") * (1 << 32))
     )
-    others = F.transform(
-        F.sequence(F.lit(0), F.col("parts") - 1),
-        lambda p: F.struct(F.least("part", p).alias("i"), F.greatest("part", p).alias("j")),
+    others = F.flatten(
+        F.transform(
+            "beside",
+            lambda b: F.transform(
+                F.sequence(F.lit(0).cast("long"), b["parts"].cast("long") - 1),
+                lambda p: F.struct(
+                    F.least("part", p + b["of"] * (1 << 32)).alias("i"),
+                    F.greatest("part", p + b["of"] * (1 << 32)).alias("j"),
+                ),
+            ),
+        )
     )
     placed = placed.withColumn("task", F.explode(others)).select(
         "key", "part", "family", "task.i", "task.j"
@@ -403,7 +438,6 @@ def similar_documents(
     are linked directly), first (one row of each component: that with the smallest id,
     null ids last).
     """
-    buckets = B.buckets_of(docs.sparkSession)
 
     def marks(texts: list[bytes]) -> tuple[list[bytes], list[int]]:
         sizes = np.array([len(t) for t in texts], np.int64)
@@ -414,6 +448,7 @@ def similar_documents(
         )
 
     blocks = B.build(docs, id_col, text_col, "shingle-blocks", marks)
+    buckets = B.buckets_of(blocks)
     texts = stored(B.rows(blocks), "texts")
     worded = texts.filter("count > 0")
     classes = stored(

@@ -173,6 +173,10 @@ def mixed_documents(
 ) -> DataFrame:
     """The rows of ``docs`` as often as ``mix`` takes them, with all their columns.
 
+    Repeated rows are rows of their own; documents without words (null, empty or blank text)
+    have size 0 and are not taken. A null source is a source of its own, ids may be null. An
+    empty table gives an empty result. Columns may have any names.
+
     Runs jobs, one of which stores the documents with row numbers.
     """
     documents = numbered(docs, "documents")

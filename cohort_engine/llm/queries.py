@@ -32,6 +32,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words, symbols, repeated lines and words of all documents, and the verdict."""
     return quality_rules.quality_rules(_table(spark, sf_dir, "documents")).select(
         "doc_id",
         "n_words",
@@ -45,44 +46,53 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of all documents, plain and in encoded layers."""
     return secrets.secrets_digest(secrets.scan_secrets(_table(spark, sf_dir, "documents")))
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the mix takes of each document."""
     return mixing.mix(_table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken"
     )
 
 
 def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What stays of each document without bytes that start earlier."""
     return suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents")).drop("spans")
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of equal texts of all documents."""
     return exact_dedup.exact_duplicates(_table(spark, sf_dir, "documents"))
 
 
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score of each document by a model of the labels not held out."""
     docs = _table(spark, sf_dir, "documents")
     model = quality_model.train(docs, _table(spark, sf_dir, "labels"))
     return quality_model.score(docs, model)
 
 
 def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of similar documents."""
     return jaccard.similar_documents(_table(spark, sf_dir, "documents")).select(
         "doc_id", "n_shingles", "component_id", "n_links"
     )
 
 
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal identifiers of all documents, plain and disguised."""
     return pii.identifiers_digest(pii.scan_identifiers(_table(spark, sf_dir, "documents")))
 
 
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What stays of each document without repeated windows."""
     return automaton_dedup.remove_passages(_table(spark, sf_dir, "documents")).drop("spans")
 
 
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts and digests of all documents."""
     return bpe.encode_documents(
         _table(spark, sf_dir, "documents"),
         public_tokenizers.path(RANKS),

@@ -56,9 +56,23 @@ def _summary(found: Runs) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarra
     return grams[begin], wholes[begin], state.astype(np.uint8), places
 
 
+# Longer windows than this don't fit in the stretches that anchors are sought in.
+MAX_WINDOW = 1 << 15
+
+
+def check_lengths(window: int, gram: int) -> None:
+    if not 1 <= gram <= window <= MAX_WINDOW:
+        raise ValueError(f"1 <= {gram} (gram) <= {window} (window) <= {MAX_WINDOW} does not hold")
+
+
 def together(df: DataFrame, buckets: int) -> DataFrame:
-    """Rows of a bucket in one partition, and one bucket in each."""
-    return df.repartitionById(buckets, F.col("bucket"))
+    """Rows of a bucket in one partition, one bucket after the other."""
+    partitions = B.partitions_of(df.sparkSession)
+    if buckets <= partitions:
+        return df.repartitionById(buckets, F.col("bucket"))
+    return df.repartitionById(
+        partitions, F.pmod("bucket", F.lit(partitions))
+    ).sortWithinPartitions("bucket")
 
 
 def anchor_states(
@@ -93,9 +107,10 @@ def anchor_states(
                     )
 
     def answered(batches):
-        parts = [row for batch in batches for row in batch.to_pylist()]
-        if not parts:
-            return
+        for parts in B.by_bucket(batches):
+            yield from of_bucket(parts)
+
+    def of_bucket(parts):
         grams = np.frombuffer(b"".join(p["grams"] for p in parts), np.uint64)
         wholes = np.frombuffer(b"".join(p["wholes"] for p in parts), np.uint64)
         states = np.frombuffer(b"".join(p["states"] for p in parts), np.uint8)

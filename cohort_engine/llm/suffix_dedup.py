@@ -26,6 +26,40 @@ def _bytes(block: B.Block):
     return _VALUES[np.frombuffer(block.data, np.uint8)], block.starts, block.sizes
 
 
+def _nearest_smaller(rank: np.ndarray, lcp: np.ndarray) -> np.ndarray:
+    """For each place the common prefix with the nearest place before it of smaller rank.
+
+    ``lcp[i]`` is the common prefix of the suffixes at places i - 1 and i. Pointers jump over
+    places of greater rank, whose own pointers skip only greater ones in turn; 0 without a
+    smaller one.
+    """
+    place = np.arange(len(rank)) - 1
+    reach = lcp.copy()
+    reach[:1] = 0
+    while True:
+        going = np.flatnonzero((place >= 0) & (reach > 0))
+        going = going[rank[place[going]] > rank[going]]
+        if not len(going):
+            break
+        over = place[going]
+        reach[going] = np.minimum(reach[going], reach[over])
+        place[going] = place[over]
+    reach[place < 0] = 0
+    return reach
+
+
+def longest_previous(rank: np.ndarray, lcp: np.ndarray) -> np.ndarray:
+    """Longest-previous-factor array of suffixes in sorted order.
+
+    The longest prefix that a suffix shares with one of smaller rank is shared with its
+    previous smaller or its next smaller place in sorted order.
+    """
+    backwards = np.append(0, lcp[1:][::-1])
+    return np.maximum(
+        _nearest_smaller(rank, lcp), _nearest_smaller(rank[::-1], backwards)[::-1]
+    )
+
+
 def earlier(contexts: np.ndarray, rank: np.ndarray, low: np.ndarray, high: np.ndarray,
             length: int) -> np.ndarray:
     """Which windows of the contexts have an equal one of smaller rank.
@@ -34,10 +68,9 @@ def earlier(contexts: np.ndarray, rank: np.ndarray, low: np.ndarray, high: np.nd
     start at columns ``low[i]`` to ``high[i]``; the answer is true at [i, column].
 
     Suffixes are sorted from the last column to the first: the order at a column is the
-    order of the next, stably sorted by the byte of the column. In each order, windows
-    that share ``length`` bytes with a neighbour stand in runs. The longest previous
-    factor of a window reaches ``length`` just if its run holds a smaller rank before
-    (previous smaller position) or after it (next smaller position).
+    order of the next, stably sorted by the byte of the column. In each order the common
+    prefixes of neighbours, as far as ``length``, give the longest previous factor of each
+    suffix; where it reaches ``length``, an equal window is earlier.
     """
     n, width = contexts.shape
     found = np.zeros((n, width - length + 1), bool)
@@ -50,12 +83,10 @@ def earlier(contexts: np.ndarray, rank: np.ndarray, low: np.ndarray, high: np.nd
         if len(here) < 2:
             continue
         part = contexts[:, column : column + length]
-        new = np.ones(len(here), bool)
-        new[1:] = (part[here[1:]] != part[here[:-1]]).any(axis=1)
-        begin = np.flatnonzero(new)
-        sizes = np.diff(np.append(begin, len(here)))
-        least = np.repeat(np.minimum.reduceat(rank[here], begin), sizes)
-        found[here, column] = rank[here] > least
+        differs = part[here[1:]] != part[here[:-1]]
+        lcp = np.zeros(len(here), np.int64)
+        lcp[1:] = np.where(differs.any(axis=1), differs.argmax(axis=1), length)
+        found[here, column] = longest_previous(rank[here], lcp) >= length
     return found
 
 
@@ -73,7 +104,8 @@ def remove_repeats(
     Texts are compared as UTF-8 by whole strings inside one text; earlier means a smaller
     id, then the place in the text. Of rows with equal ids the one that was read first
     is the earlier. A null id is smaller than any other. A null text is empty, and texts
-    shorter than ``length`` stay whole. An empty table gives an empty result. Other
+    shorter than ``length`` stay whole. ``gram`` is at most ``length``, which is at most
+    MAX_WINDOW. An empty table gives an empty result. Other
     columns are ignored. Ids must be integers.
 
     1. Texts are packed into blocks. Of equal texts only the first goes on; the others
@@ -81,8 +113,8 @@ def remove_repeats(
     2. Blocks send the anchors of their windows (see ``anchors``) to buckets, which answer
        which of them occur more than once, and whether always amid the same bytes.
     3. Blocks send the windows around those to buckets by anchor: all equal windows
-       meet. There the longest-previous-factor test over suffixes in sorted order finds
-       the later ones.
+       meet. There longest-previous-factor arrays, by the previous and next smaller ranks in
+       the order of the suffixes, find the later ones.
     4. Where an anchor is always amid the same bytes, its place is sent without them, and
        only the first of a block. So are the single windows of an anchor that is in more
        than ``hot_blocks`` blocks or ``hot_places`` places, by 128 bits of hashes: no
@@ -93,9 +125,9 @@ def remove_repeats(
     each input row: id, n_bytes, n_removed, n_spans, kept_sha256, and the removed spans
     (bytes, end exclusive).
     """
-    spark = docs.sparkSession
-    buckets = B.buckets_of(spark)
+    R.check_lengths(length, gram)
     blocks = B.build(docs, id_col, text_col, "suffix-blocks")
+    buckets = B.buckets_of(blocks)
     owned = stored(R.owners(blocks), "owners")
     windows = R.Windows(_bytes, length, gram)
     answers = stored(
@@ -142,21 +174,23 @@ def remove_repeats(
                             "ids": [block.ids[text[part]].tobytes()],
                             "keys": [block.keys[text[part]].tobytes()],
                             "at": [(at[part] - block.starts[text[part]]).tobytes()],
-                            "low": [before[part].astype(np.uint8).tobytes()],
-                            "high": [after[part].astype(np.uint8).tobytes()],
+                            "low": [before[part].astype(np.int32).tobytes()],
+                            "high": [after[part].astype(np.int32).tobytes()],
                             "mixed": [mixed[part].tobytes()],
                             "bytes": [around[at[part][mixed[part]]].tobytes()],
                         }
                     )
 
+    kinds = {
+        "grams": np.uint64, "other": np.uint64, "ids": np.int64, "keys": np.int64,
+        "at": np.int64, "low": np.int32, "high": np.int32, "mixed": bool, "bytes": np.uint8,
+    }
+
     def resolved(batches):
-        kinds = {
-            "grams": np.uint64, "other": np.uint64, "ids": np.int64, "keys": np.int64,
-            "at": np.int64, "low": np.uint8, "high": np.uint8, "mixed": bool, "bytes": np.uint8,
-        }
-        parts = [row for batch in batches for row in batch.to_pylist()]
-        if not parts:
-            return
+        for parts in B.by_bucket(batches):
+            yield from of_bucket(parts)
+
+    def of_bucket(parts):
         grams, other, ids, keys, at, before, after, mixed, data = (
             np.frombuffer(b"".join(p[n] for p in parts), kind) for n, kind in kinds.items()
         )

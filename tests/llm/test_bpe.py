@@ -56,3 +56,22 @@ def test_encode_documents(documents, mess):
     assert all(len(r.ids) == r.n_tokens for r in out.collect())
     nothing = bpe.encode_documents(documents([]), PATH, public_tokenizers.PATTERN, with_ids=False)
     assert nothing.count() == 0 and "ids" not in nothing.columns
+
+
+@pytest.mark.parametrize("chunk, overlap", [(16, 4), (40, 16), (64, 40)])
+def test_chunks_of_long_texts_are_rows(documents, chunk, overlap):
+    """Encoded chunk by chunk by different tasks: the ids of the whole, cuts or not."""
+    tool = bpe.Codec(bpe.parse_ranks(open(PATH, "rb").read()), public_tokenizers.PATTERN)
+    texts = [*TEXTS, "x" * 1_000, "ab" * 300 + " some words then " + "y" * 500 + " z", "it's " * 200]
+    rows = [(i, text, "s") for i, text in enumerate(texts)] + [(0, texts[3], "s"), (None, texts[2], "s")]
+    out = bpe.encode_documents(
+        documents(rows), PATH, public_tokenizers.PATTERN, chunk=chunk, overlap=overlap
+    ).collect()
+    got = sorted((str(r.doc_id), list(r.ids), r.ids_sha256, r.decoded_sha256) for r in out)
+    expected = []
+    for i, text, _ in rows:
+        ids = tool.encoding.encode_ordinary(text)
+        joined = hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+        expected.append((str(i), ids, joined, hashlib.sha256(text.encode()).hexdigest()))
+    assert got == sorted(expected)
+    assert sum(len(t) > bpe.PARALLEL * chunk for t in texts) >= 6

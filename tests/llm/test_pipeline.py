@@ -120,3 +120,48 @@ def test_stages_and_the_whole(spark, documents, tmp_path):
     )
     found = corpus_pipeline.run(spark, folder).collect()
     assert sorted((r.doc_id, r.decoded_sha256) for r in found) == expected
+
+
+def test_stages_with_nulls_ties_and_nothing(spark, documents, mess, tmp_path):
+    """Each stage on rows with nulls, empty texts, ties and copies, and on an empty table."""
+    from pyspark.sql import functions as F
+
+    rows = [r for r in mess if len(r[1] or "") < 5_000]
+    docs = documents(rows)
+    labels = spark.createDataFrame(
+        [(i, i % 2) for i in range(30)] + [(None, 1), (3, None)], "doc_id long, quality int"
+    )
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    empty = docs.filter("false")
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, str(tmp_path))
+        kept = out.collect()
+        assert stage(spark, empty, str(tmp_path)).count() == 0
+        if name == "bpe":
+            nothing = [r for r in kept if r.doc_id in (400, 401)]
+            assert len(kept) == len(rows) and [r.n_tokens for r in nothing] == [0, 0]
+            continue
+        assert out.columns == docs.columns
+        got = [(r.doc_id, r.text, r.source) for r in kept]
+        assert set(got) <= set(rows)
+        if name == "exact_dedup":
+            texts = [t or "" for _, t, _ in got]
+            assert len(set(texts)) == len(texts) and set(texts) == {t or "" for _, t, _ in rows}
+        if name == "ngram_jaccard_join":
+            # Documents without words are like no other and stay.
+            blank = [r for r in rows if not (r[1] or "").strip()]
+            assert sorted(map(str, (g for g in got if not (g[1] or "").strip()))) == sorted(map(str, blank))
+    found = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert {r.doc_id for r in found} <= {r[0] for r in rows}
+    empty.write.parquet(f"{tmp_path}/none/documents.parquet")
+    labels.filter(F.lit(False)).write.parquet(f"{tmp_path}/none/labels.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
+
+
+def test_scans_of_nothing(documents):
+    from cohort_engine.llm import pii, secrets
+
+    empty = documents([(1, "a", "s")]).filter("false")
+    assert secrets.secrets_digest(secrets.scan_secrets(empty)).collect() == []
+    assert pii.identifiers_digest(pii.scan_identifiers(empty)).collect() == []

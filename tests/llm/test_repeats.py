@@ -189,3 +189,78 @@ def test_anchors_of_many_places_are_hot(spark, documents):
         for places in (1_000, 5)
     ]
     assert results[0] == results[1] and results[0][1][1] > 0
+
+
+@pytest.mark.parametrize("length, gram", [(100, 32), (287, 32), (288, 32), (600, 32), (600, 600)])
+def test_long_windows(documents, length, gram):
+    """Windows whose anchors may be over 255 bytes from their ends."""
+    rng = random.Random(length)
+
+    def noise(n):
+        return "".join(rng.choice("abcdefgh ") for _ in range(n))
+
+    shared = [noise(rng.randrange(length - 20, length + 150)) for _ in range(6)]
+    texts = [
+        noise(rng.randrange(300)) + rng.choice(shared) + noise(rng.randrange(200)) for _ in range(50)
+    ]
+    expected = [summary(t.encode(), g) for t, g in zip(
+        texts, brute_bytes([t.encode() for t in texts], length))]
+    got = suffix_dedup.remove_repeats(
+        documents([(i, t, "s") for i, t in enumerate(texts)]), length=length, gram=gram
+    )
+    found = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got.collect()}
+    assert [found[i] for i in range(50)] == expected
+    assert any(e[1] for e in expected)
+
+
+def test_lengths_are_checked(documents):
+    docs = documents([(1, "a", "s")])
+    for length, gram in ((10, 11), (1 << 16, 32), (5, 0)):
+        with pytest.raises(ValueError):
+            suffix_dedup.remove_repeats(docs, length=length, gram=gram)
+        with pytest.raises(ValueError):
+            automaton_dedup.remove_passages(docs, length=length, gram=gram)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(0, 3), min_size=1, max_size=30), st.randoms())
+def test_longest_previous_factors(text, rng):
+    """The array by PSV and NSV in suffix order against all pairs."""
+    n = len(text)
+    rank_of = list(range(n))
+    rng.shuffle(rank_of)
+    order = sorted(range(n), key=lambda i: text[i:])
+
+    def common(i, j):
+        k = 0
+        while max(i, j) + k < n and text[i + k] == text[j + k]:
+            k += 1
+        return k
+
+    lcp = np.array([0] + [common(a, b) for a, b in zip(order, order[1:])])
+    got = suffix_dedup.longest_previous(np.array([rank_of[i] for i in order]), lcp)
+    for place, i in enumerate(order):
+        others = [common(i, j) for j in range(n) if rank_of[j] < rank_of[i]]
+        assert got[place] == max(others, default=0)
+
+
+def test_more_buckets_than_partitions(documents, mess, monkeypatch):
+    """Buckets follow the bytes of the texts; a task goes through its buckets one by one."""
+    expected = sorted(map(str, suffix_dedup.remove_repeats(documents(mess), length=40, gram=9).collect()))
+    words = sorted(map(str, automaton_dedup.remove_passages(documents(mess)).collect()))
+    monkeypatch.setattr(B, "BUCKET_BYTES", 10_000)
+    blocks = B.build(documents(mess), "doc_id", "text", "few")
+    assert B.buckets_of(blocks) > 2 * B.partitions_of(blocks.sparkSession)
+    seen = suffix_dedup.remove_repeats(documents(mess), length=40, gram=9).collect()
+    # Of rows with equal ids the one read first is the earlier: the same in both runs.
+    assert sorted(map(str, seen)) == expected
+    assert sorted(map(str, automaton_dedup.remove_passages(documents(mess)).collect())) == words
+
+
+def test_rows_of_a_block_are_bounded():
+    from cohort_engine.llm.common import chunks
+
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_pydict({"text": [""] * 25})
+    assert [c.num_rows for c in chunks([batch], "text", rows=10)] == [10, 10, 5]

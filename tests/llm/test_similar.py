@@ -1,4 +1,3 @@
-import random
 import re
 
 import numpy as np
@@ -125,3 +124,28 @@ def test_graph_components(spark):
     }
     assert got == {n: root(n) for n in linked}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+@pytest.mark.parametrize("limit, percent", [(4, 80), (4, 60), (1, 100)])
+def test_large_families_of_many_sizes(documents, limit, percent):
+    """A family from a chain of texts that grow: bands of sizes lose no link."""
+    rng = random.Random(limit + percent)
+    line = [f"w{i}" for i in range(400)]
+    rows = []
+    for i in range(70):
+        size = 10 + int(10 * 1.05**i)
+        words = line[: min(size, 400)] + [f"e{rng.randrange(10**6)}" for _ in range(i % 3)]
+        rows.append((i, " ".join(words), "s"))
+    sets = [
+        {tuple(t.split()[p : p + 5]) for p in range(len(t.split()) - 4)} for _, t, _ in rows
+    ]
+    got = {
+        r.doc_id: r.n_links
+        for r in jaccard.similar_documents(documents(rows), limit=limit, percent=percent).collect()
+    }
+    for i, a in enumerate(sets):
+        expected = sum(
+            100 * len(a & b) >= percent * len(a | b) for j, b in enumerate(sets) if i != j
+        )
+        assert got[i] == expected
+    assert percent == 100 or sum(got.values()) > 70
