@@ -214,8 +214,7 @@ def remove_passages(
                     )
 
     def resolved(batches):
-        for parts in B.by_bucket(batches):
-            yield from of_bucket(parts)
+        return B.each_bucket(batches, of_bucket)
 
     def of_bucket(parts):
         grams, other = (

@@ -172,18 +172,25 @@ def buckets_of(blocks: DataFrame) -> int:
     return max(partitions_of(blocks.sparkSession), -(-total // BUCKET_BYTES))
 
 
-def by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[list[dict]]:
-    """The rows of one bucket after the other, which come in this order.
+def each_bucket(
+    batches: Iterator[pa.RecordBatch], task: Callable[[list[dict]], Iterator[pa.RecordBatch]]
+) -> Iterator[pa.RecordBatch]:
+    """What ``task`` makes of the rows of one bucket after the other; they come in this order.
 
-    Only one bucket is in memory, however many a task has.
+    Only one bucket is in memory, however many a task has, and only ``task`` holds it.
     """
-    held: list[dict] = []
+    # The last list is the bucket that is not complete.
+    lists: list[list[dict]] = [[]]
     for batch in batches:
-        for i in range(batch.num_rows):
-            row = batch.slice(i, 1).to_pylist()[0]
-            if held and held[-1]["bucket"] != row["bucket"]:
-                yield held
-                held = []
-            held.append(row)
-    if held:
-        yield held
+        rows = batch.to_pylist()
+        del batch
+        for row in rows:
+            if lists[-1] and lists[-1][-1]["bucket"] != row["bucket"]:
+                lists.append([])
+            lists[-1].append(row)
+            del row
+        del rows
+        while len(lists) > 1:
+            yield from task(lists.pop(0))
+    if lists[-1]:
+        yield from task(lists.pop())

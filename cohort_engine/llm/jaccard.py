@@ -175,8 +175,7 @@ def _frequencies(blocks: DataFrame, words: int, buckets: int) -> DataFrame:
                     )
 
     def answered(batches):
-        for parts in B.by_bucket(batches):
-            yield from of_bucket(parts)
+        return B.each_bucket(batches, of_bucket)
 
     def of_bucket(parts):
         low = np.frombuffer(b"".join(p["low"] for p in parts), np.uint32)
@@ -299,8 +298,7 @@ def _families(candidates: DataFrame, percent: int, buckets: int) -> DataFrame:
                 )
 
     def joined(batches):
-        for parts in B.by_bucket(batches):
-            yield from of_bucket(parts)
+        return B.each_bucket(batches, of_bucket)
 
     def of_bucket(parts):
         tokens = np.frombuffer(b"".join(p["tokens"] for p in parts), np.uint64)

@@ -107,8 +107,7 @@ def anchor_states(
                     )
 
     def answered(batches):
-        for parts in B.by_bucket(batches):
-            yield from of_bucket(parts)
+        return B.each_bucket(batches, of_bucket)
 
     def of_bucket(parts):
         grams = np.frombuffer(b"".join(p["grams"] for p in parts), np.uint64)

@@ -69,8 +69,8 @@ def earlier(contexts: np.ndarray, rank: np.ndarray, low: np.ndarray, high: np.nd
 
     Suffixes are sorted from the last column to the first: the order at a column is the
     order of the next, stably sorted by the byte of the column. In each order the common
-    prefixes of neighbours, as far as ``length``, give the longest previous factor of each
-    suffix; where it reaches ``length``, an equal window is earlier.
+    prefixes of neighbours give the longest previous factor of each suffix; where it reaches
+    ``length``, an equal window is earlier. Common prefixes below that are taken as 0.
     """
     n, width = contexts.shape
     found = np.zeros((n, width - length + 1), bool)
@@ -83,10 +83,11 @@ def earlier(contexts: np.ndarray, rank: np.ndarray, low: np.ndarray, high: np.nd
         if len(here) < 2:
             continue
         part = contexts[:, column : column + length]
-        differs = part[here[1:]] != part[here[:-1]]
-        lcp = np.zeros(len(here), np.int64)
-        lcp[1:] = np.where(differs.any(axis=1), differs.argmax(axis=1), length)
-        found[here, column] = longest_previous(rank[here], lcp) >= length
+        equal = np.append(False, (part[here[1:]] == part[here[:-1]]).all(axis=1))
+        near = equal | np.append(equal[1:], False)
+        here, equal = here[near], equal[near]
+        if len(here):
+            found[here, column] = longest_previous(rank[here], equal * length) >= length
     return found
 
 
@@ -187,8 +188,7 @@ def remove_repeats(
     }
 
     def resolved(batches):
-        for parts in B.by_bucket(batches):
-            yield from of_bucket(parts)
+        return B.each_bucket(batches, of_bucket)
 
     def of_bucket(parts):
         grams, other, ids, keys, at, before, after, mixed, data = (
