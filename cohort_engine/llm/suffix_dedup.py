@@ -26,38 +26,30 @@ def _bytes(block: B.Block):
     return _VALUES[np.frombuffer(block.data, np.uint8)], block.starts, block.sizes
 
 
-def _nearest_smaller(rank: np.ndarray, lcp: np.ndarray) -> np.ndarray:
-    """For each place the common prefix with the nearest place before it of smaller rank.
+def reaches(rank: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Whether the longest previous factor of each suffix reaches a certain length.
 
-    ``lcp[i]`` is the common prefix of the suffixes at places i - 1 and i. Pointers jump over
-    places of greater rank, whose own pointers skip only greater ones in turn; 0 without a
-    smaller one.
+    The suffixes are in sorted order, in stretches that share that length; ``first`` marks
+    where a stretch begins. The longest prefix that a suffix shares with one of smaller rank
+    is shared with the previous or the next place of smaller rank, so that one of these has
+    to be in the stretch.
+
+    Previous smaller places are found by pointers that jump over greater ranks, whose own
+    pointers skip only greater ones in turn. A place without one is a minimum of all before it
+    in the stretch; its next smaller place is the next such minimum.
     """
     place = np.arange(len(rank)) - 1
-    reach = lcp.copy()
-    reach[:1] = 0
-    while True:
-        going = np.flatnonzero((place >= 0) & (reach > 0))
+    place[first] = -1
+    going = np.flatnonzero(place >= 0)
+    while len(going):
         going = going[rank[place[going]] > rank[going]]
-        if not len(going):
-            break
-        over = place[going]
-        reach[going] = np.minimum(reach[going], reach[over])
-        place[going] = place[over]
-    reach[place < 0] = 0
-    return reach
-
-
-def longest_previous(rank: np.ndarray, lcp: np.ndarray) -> np.ndarray:
-    """Longest-previous-factor array of suffixes in sorted order.
-
-    The longest prefix that a suffix shares with one of smaller rank is shared with its
-    previous smaller or its next smaller place in sorted order.
-    """
-    backwards = np.append(0, lcp[1:][::-1])
-    return np.maximum(
-        _nearest_smaller(rank, lcp), _nearest_smaller(rank[::-1], backwards)[::-1]
-    )
+        place[going] = place[place[going]]
+        going = going[place[going] >= 0]
+    least = np.flatnonzero(place < 0)
+    stretch = np.cumsum(first)[least]
+    found = place >= 0
+    found[least[:-1]] = stretch[1:] == stretch[:-1]
+    return found
 
 
 def earlier(contexts: np.ndarray, rank: np.ndarray, low: np.ndarray, high: np.ndarray,
@@ -68,9 +60,9 @@ def earlier(contexts: np.ndarray, rank: np.ndarray, low: np.ndarray, high: np.nd
     start at columns ``low[i]`` to ``high[i]``; the answer is true at [i, column].
 
     Suffixes are sorted from the last column to the first: the order at a column is the
-    order of the next, stably sorted by the byte of the column. In each order the common
-    prefixes of neighbours give the longest previous factor of each suffix; where it reaches
-    ``length``, an equal window is earlier. Common prefixes below that are taken as 0.
+    order of the next, stably sorted by the byte of the column. In each order neighbours
+    that share ``length`` bytes stand in stretches; where the longest previous factor of a
+    suffix reaches ``length``, an equal window is earlier.
     """
     n, width = contexts.shape
     found = np.zeros((n, width - length + 1), bool)
@@ -87,7 +79,7 @@ def earlier(contexts: np.ndarray, rank: np.ndarray, low: np.ndarray, high: np.nd
         near = equal | np.append(equal[1:], False)
         here, equal = here[near], equal[near]
         if len(here):
-            found[here, column] = longest_previous(rank[here], equal * length) >= length
+            found[here, column] = reaches(rank[here], ~equal)
     return found
 
 

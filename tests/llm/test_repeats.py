@@ -222,10 +222,10 @@ def test_lengths_are_checked(documents):
             automaton_dedup.remove_passages(docs, length=length, gram=gram)
 
 
-@settings(max_examples=200, deadline=None)
-@given(st.lists(st.integers(0, 3), min_size=1, max_size=30), st.randoms())
-def test_longest_previous_factors(text, rng):
-    """The array by PSV and NSV in suffix order against all pairs."""
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.integers(0, 2), min_size=1, max_size=40), st.integers(1, 4), st.randoms())
+def test_longest_previous_factors(text, length, rng):
+    """By previous and next smaller places in suffix order, against all pairs."""
     n = len(text)
     rank_of = list(range(n))
     rng.shuffle(rank_of)
@@ -237,11 +237,11 @@ def test_longest_previous_factors(text, rng):
             k += 1
         return k
 
-    lcp = np.array([0] + [common(a, b) for a, b in zip(order, order[1:])])
-    got = suffix_dedup.longest_previous(np.array([rank_of[i] for i in order]), lcp)
+    first = np.array([True] + [common(a, b) < length for a, b in zip(order, order[1:])])
+    got = suffix_dedup.reaches(np.array([rank_of[i] for i in order]), first)
     for place, i in enumerate(order):
         others = [common(i, j) for j in range(n) if rank_of[j] < rank_of[i]]
-        assert got[place] == max(others, default=0)
+        assert got[place] == (max(others, default=0) >= length)
 
 
 def test_more_buckets_than_partitions(documents, mess, monkeypatch):
