@@ -334,32 +334,34 @@ def _links(
     about ``limit`` sets. There is a task for every two parts of a band, and of neighbouring
     bands; sets of bands further apart can't be similar and never meet.
     """
-    counts = families.groupBy("family").agg(F.count(F.lit(1)).alias("sets"))
+    # A row for each large family, and for each of its bands: short tables, stored so that
+    # Spark knows their size and the sets of a family need not meet to be divided.
+    sets = families.groupBy("family").agg(F.count(F.lit(1)).alias("sets"))
+    large = stored(sets.filter(F.col("sets") > limit), "large-families")
+    marked = families.join(large, "family", "left")
     # A little wider, so that rounding can't part sets of just allowed sizes.
     width = math.log(100 / percent * (1 + 1e-6))
     sized = (
-        families.join(counts, "family")
+        marked.filter(F.col("sets").isNotNull())
         .join(candidates.select("key", "n"), "key")
-        .withColumn(
-            "band",
-            F.when(F.col("sets") > limit, F.floor(F.log("n") / width)).otherwise(0).cast("long"),
-        )
-        .select("key", "family", "band")
-    )
-    bands = sized.groupBy("family", "band").agg(
-        F.ceil(F.count(F.lit(1)) / limit).cast("int").alias("parts")
+        .select("key", "family", F.floor(F.log("n") / width).cast("long").alias("band"))
     )
+    parts = F.ceil(F.count(F.lit(1)) / limit).cast("int").alias("parts")
+    bands = sized.groupBy("family", "band").agg(parts)
     # The parts of a band itself and of the two beside it.
-    near = bands.select(
-        "family",
-        F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"),
-        F.struct(F.col("band").alias("of"), "parts").alias("beside"),
+    near = stored(
+        bands.select(
+            "family",
+            F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"),
+            F.struct(F.col("band").alias("of"), "parts").alias("beside"),
+        )
+        .groupBy("family", "band")
+        .agg(F.collect_list("beside").alias("beside"))
+        .join(bands, ["family", "band"]),
+        "bands",
     )
-    near = near.groupBy("family", "band").agg(F.collect_list("beside").alias("beside"))
-    placed = (
-        sized.join(bands, ["family", "band"])
-        .join(near, ["family", "band"])
-        .withColumn("part", F.pmod(F.xxhash64("key"), "parts") + F.col("band") * (1 << 32))
+    divided = sized.join(near, ["family", "band"]).withColumn(
+        "part", F.pmod(F.xxhash64("key"), "parts") + F.col("band") * (1 << 32)
     )
     others = F.flatten(
         F.transform(
@@ -373,9 +375,15 @@ def _links(
             ),
         )
     )
-    placed = placed.withColumn("task", F.explode(others)).select(
+    divided = divided.withColumn("task", F.explode(others)).select(
         "key", "part", "family", "task.i", "task.j"
     )
+    none = F.lit(0).cast("long")
+    placed = (
+        marked.filter(F.col("sets").isNull())
+        .select("key", none.alias("part"), "family", none.alias("i"), none.alias("j"))
+        .unionByName(divided)
+    )
 
     def compared(table: pa.Table) -> pa.Table:
         table = table.sort_by("key")
