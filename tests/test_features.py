@@ -177,3 +177,21 @@ def test_balance_does_not_shuffle_rows(spark, tmp_path):
     main = plan.split("Subquery")[0]
     assert "Exchange" not in main and "Sort" not in main
     assert balanced.count() == 20
+
+
+def test_rows_meet_their_history_without_what_follows_from_them(spark, encounters):
+    """Flags and dates are made again after the join, so that the shuffle lacks them."""
+    df = encounters([("a", "2020-01-01", "X"), ("a", "2020-01-03", None), (None, None, "X y")])
+    built = features.build(df, ["X"], RiskConfig("x", 1))
+    assert built.columns == [
+        *df.columns, "comorbidity_0", "EARLIEST_TIME", "day", "patient_age", "START_YEAR",
+        "START_MONTH", "recent_0", "label",
+    ]
+    assert by_id(built, "comorbidity_0", "day", "recent_0", "label", "ZIP") == {
+        "e0": (1, 0, 0, 1, "2138"), "e1": (0, 2, 1, 0, "2138"), "e2": (1, None, 1, 1, "2138"),
+    }
+    plan = built._jdf.queryExecution().optimizedPlan()
+    while "Join" not in plan.nodeName():
+        plan = plan.children().apply(0)
+    left = plan.children().apply(0).output().mkString(" ")
+    assert "comorbidity" not in left and "START_YEAR" not in left and "Enc_Id" in left
