@@ -186,3 +186,20 @@ def test_log_run(spark, tmp_path):
     assert runs["tuning"].metrics == {"loss": -0.5} and runs["tuning"].model is None
     assert runs["training"].params == {"C": "-1.0"} and runs["training"].model == "m/v1"
     assert runs["training"].logged_at is not None
+
+
+def test_the_encoded_training_set_is_balanced_once(spark, monkeypatch):
+    """The numbers and the rows come from a stored table, not each from the balance again."""
+    from verification import queries
+
+    names = ml.feature_names(queries.CONFIG.num_conditions)
+    features = spark.range(20).select(
+        F.concat(F.lit("e"), "id").alias("Enc_Id"),
+        *[(F.col("id") % 3).alias(c) for c in names],
+        (F.col("id") < 5).cast("int").alias("label"),
+    )
+    monkeypatch.setattr(queries, "_stored_features", lambda *_: features)
+    found = queries.encoded_features(spark, "")
+    assert "md5" not in found._jdf.queryExecution().optimizedPlan().toString()
+    rows = found.collect()
+    assert len(rows) == 10 and {r.RACE for r in rows} == {0, 1, 2}
