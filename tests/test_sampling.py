@@ -128,3 +128,57 @@ def test_balance_and_cohort_read_the_table_few_times(spark, tmp_path):
     assert len(rows) == 180 and sum(r.is_positive for r in rows) == 90
     # One aggregation by patient serves all.
     assert _records_read(cohort) <= 2 * 3_000
+
+
+@pytest.mark.parametrize("n", [0, 1, 17, 299, 300, 301])
+def test_cutoff_of_a_stored_table(spark, n):
+    """The same as of any table, with copies of keys and without keys."""
+    from cohort_engine.operators.sampling import hash_cutoff
+
+    df = spark.range(300).selectExpr("if(id % 7 = 0, null, id div 2) AS id")
+    one, two = (
+        df.select(hash_cutoff(df, "id", n, stored=stored).alias("c")).first().c
+        for stored in (False, True)
+    )
+    assert one == two
+
+
+def _rows_shuffled(df):
+    """Rows that the exchanges of ``df`` have written, which has run once."""
+    found = {}
+
+    def visit(plan):
+        name = plan.getClass().getSimpleName()
+        if name in ("ReusedExchangeExec", "ReusedSubqueryExec"):
+            return
+        if name == "ShuffleExchangeExec":
+            found[plan.id()] = plan.metrics().apply("shuffleRecordsWritten").value()
+        inside = {"AdaptiveSparkPlanExec": "executedPlan", "SubqueryExec": "child"}
+        if name.endswith("QueryStageExec"):
+            visit(plan.plan())
+        elif name in inside:
+            visit(getattr(plan, inside[name])())
+        for part in (plan.children(), plan.subqueries()):
+            for i in range(part.size()):
+                visit(part.apply(i))
+
+    visit(df._jdf.queryExecution().executedPlan())
+    return sum(found.values())
+
+
+def test_balance_of_stored_rows_does_not_shuffle_all_hashes(spark, tmp_path, monkeypatch):
+    from cohort_engine.operators import sampling
+    from cohort_engine.operators.features import balance
+
+    monkeypatch.setattr(sampling, "DIGITS", 2)
+    path = str(tmp_path / "rows")
+    spark.range(20_000).selectExpr(
+        "cast(id AS string) AS Enc_Id", "cast(id % 5 = 0 AS int) AS label"
+    ).repartition(1).write.parquet(path)
+    df = spark.read.parquet(path)
+    plain, stored = balance(df), balance(df, stored=True)
+    assert sorted(stored.collect()) == sorted(plain.collect()) and stored.count() == 8_000
+    assert _rows_shuffled(plain) > 20_000
+    # 256 buckets, and the hashes of one of them: about 80.
+    assert _rows_shuffled(stored) < 2_000
+    assert _records_read(stored) <= 3 * 20_000
