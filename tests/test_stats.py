@@ -139,3 +139,19 @@ def test_small_and_tiny_p_values(spark):
             series = 1 - 1 / (2 * z * z) + 3 / (2 * z * z) ** 2 - 15 / (2 * z * z) ** 3
             expected = -z * z - math.log(z * math.sqrt(math.pi)) + math.log(series)
             assert math.isclose(r.l, expected, rel_tol=1e-9)
+
+
+def test_comorbid_conditions_of_pairs_shuffle_no_pairs(spark, encounters, tmp_path):
+    rows = [("a", None, "Flu"), ("a", None, "Flu"), ("a", None, "Ache"), ("b", None, "Flu"),
+            ("b", None, None), (None, None, "Flu"), (None, None, "Cough"), ("c", None, "Ache")]
+    df = encounters(rows)
+    df.select("PATIENT", "REASONDESCRIPTION").distinct().write.parquet(str(tmp_path / "pairs"))
+    pairs = spark.read.parquet(str(tmp_path / "pairs"))
+    found = stats.comorbid_conditions(pairs, "flu", 10, exclude_index=False, paired=True)
+    assert found.collect() == stats.comorbid_conditions(df, "flu", 10, exclude_index=False).collect()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(PATIENT" in plan  # the patients of the cases
+    assert not any(
+        "hashpartitioning(PATIENT" in line and "REASONDESCRIPTION" in line
+        for line in plan.splitlines()
+    )
