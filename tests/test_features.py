@@ -117,6 +117,36 @@ def test_independent_of_partitioning(encounters):
     assert one == many
 
 
+def test_stretches_of_days_meet(encounters):
+    start = dt.date(2000, 1, 1)
+    ends = [0, features.STRETCH - 1, features.STRETCH, 2 * features.STRETCH + 3]
+    days = [end + step for end in ends for step in (-40, -3, 0, 1, 2, 29)]
+    rows = [
+        (patient, str(start + dt.timedelta(days=d)), "X" if d % 2 == 0 else None)
+        for patient in ("a", "b", None)
+        for d in days
+    ] + [("a", None, "X"), (None, None, None)]
+    df = dated(encounters(rows), ["X"])
+    got = by_id(features.add_history(df, 1, 30, 5), "recent_0", "label")
+    assert got == brute_force(rows, 30, 5)
+    earlier = df.withColumn("day", F.col("day") - features.STRETCH - 7)
+    assert by_id(features.add_history(earlier, 1, 30, 5), "recent_0", "label") == got
+
+
+def test_rows_of_a_patient_stay_together_on_their_way(spark, encounters):
+    """What a patient's rows share is then compressed in the shuffle."""
+    df = dated(encounters(random_rows(50, 5)), ["X"])
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = features.add_history(df, 1, 30, 5)._jdf.queryExecution().optimizedPlan()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    joins = [line for line in plan.toString().splitlines() if "Join LeftOuter" in line]
+    assert len(joins) == 1
+    assert "history_stretch" in joins[0] and "history_day" not in joins[0]
+
+
 def test_adding_again_replaces(encounters):
     df = dated(encounters(random_rows(50, 5)), ["X"])
     once = features.add_recent(df, 1, 20)
