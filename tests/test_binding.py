@@ -4,6 +4,7 @@ import datetime as dt
 
 import pytest
 
+from cohort_engine.operators import curation
 from verification import binding, queries
 
 
@@ -96,3 +97,28 @@ def test_encounters_are_joined_and_features_stored_as_needed(
     features = kept["encounter_features"]
     assert features.columns == found.columns
     assert all(f.endswith(".zstd.parquet") for f in features.inputFiles())
+
+
+def test_ids_and_ends_are_made_after_the_patients_are_joined(spark, tables):
+    spark.createDataFrame(
+        [(5, "c5", 3, "MACHINERY")],
+        "c_custkey long, c_name string, c_nationkey int, c_mktsegment string",
+    ).write.parquet(f"{tables}/customer.parquet")
+    spark.createDataFrame(
+        [(7, "s7", 3)], "s_suppkey long, s_name string, s_nationkey int"
+    ).write.parquet(f"{tables}/supplier.parquet")
+    spark.createDataFrame([(3, "N3")], "n_nationkey int, n_name string").write.parquet(
+        f"{tables}/nation.parquet"
+    )
+    wide = binding.patient_encounters(spark, tables)
+    raw = curation.curate_encounters(binding.raw_encounters(spark, tables))
+    ours = [c for c in raw.columns if c not in ("ORGANIZATION", "PATIENT")]
+    assert wide.columns[: len(ours) + 2] == ["ORGANIZATION", "PATIENT", *ours]
+    by_patient = raw.filter("PATIENT = 5").select(*ours)
+    assert wide.select(*ours).exceptAll(by_patient).count() == 0 < wide.count() == by_patient.count()
+    plan = wide._jdf.queryExecution().optimizedPlan()
+    while "Join" not in plan.nodeName():
+        assert plan.children().size() == 1
+        plan = plan.children().apply(0)
+    moved = " ".join(plan.children().apply(i).output().mkString(" ") for i in range(2))
+    assert "l_linenumber" in moved and "Enc_Id" not in moved and "END_TIME" not in moved

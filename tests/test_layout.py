@@ -45,6 +45,14 @@ def test_same_rows_in_narrower_files(spark, stored, tmp_path):
     )
 
 
+def test_clustered_files_are_compact(spark, stored, tmp_path):
+    path = str(tmp_path / "clustered")
+    zorder_write(stored, ["a", "b"], path)
+    assert all(f.endswith(".zstd.parquet") for f in load(spark, path).inputFiles())
+    tie = stored.select(layout._tie(stored).alias("tie"))
+    assert tie.dtypes == [("tie", "int")] and tie.distinct().count() > 7_000
+
+
 def test_all_key_types(spark, stored, tmp_path):
     path = str(tmp_path / "clustered")
     zorder_write(stored, ["d", "t", "b"], path, bits=3)
