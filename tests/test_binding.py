@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 
 from cohort_engine.operators import curation
+from cohort_engine.sources.io import read_tables
 from verification import binding, queries
 
 
@@ -122,3 +123,14 @@ def test_ids_and_ends_are_made_after_the_patients_are_joined(spark, tables):
         plan = plan.children().apply(0)
     moved = " ".join(plan.children().apply(i).output().mkString(" ") for i in range(2))
     assert "l_linenumber" in moved and "Enc_Id" not in moved and "END_TIME" not in moved
+
+
+def test_raw_files_are_compressed(spark):
+    raw = spark.sql(
+        "SELECT cast(id AS string) AS Id, id / 4 AS COST, if(id = 3, null, 'é \"x\", y') AS REASONDESCRIPTION"
+        " FROM range(50)"
+    )
+    folder = queries._written_csv(spark, {"encounters": raw})
+    table = read_tables(spark, folder)["encounters"]
+    assert all(f.endswith(".csv.gz") for f in table.inputFiles())
+    assert table.exceptAll(raw).count() == raw.exceptAll(table).count() == 0

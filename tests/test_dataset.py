@@ -3,6 +3,7 @@ import hashlib
 import pytest
 
 from cohort_engine import CohortDataset
+from cohort_engine.sources.schemas import ENTITIES
 
 
 @pytest.fixture
@@ -142,3 +143,11 @@ def test_register_finishes_what_was_interrupted(dataset, csv_folder, monkeypatch
     dataset.register()
     assert dataset.patients.inputFiles() != old
     assert dataset.patient_encounters.count() == 3
+
+
+def test_refreshed_tables_are_compact(spark, tmp_path, csv_folder):
+    data = CohortDataset(spark, "compact_files", str(tmp_path / "lake"))
+    data.refresh(csv_folder)
+    for entity in ENTITIES:
+        assert all(f.endswith(".zstd.parquet") for f in data.table(entity).inputFiles())
+    data.drop_all_tables()
